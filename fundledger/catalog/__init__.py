@@ -6,7 +6,7 @@ from importlib import import_module
 
 from fundledger.catalog import registry
 
-SECTIONS = ("holdings",)
+SECTIONS = ("holdings", "funds", "securities", "filings")
 
 
 def _load() -> None:

@@ -41,7 +41,7 @@ def top_n(df: DataFrame, value: str, key: str, n: int, largest: bool = True) ->
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A repeatable random sample of ``n`` rows, chosen by a hash of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.col(key), F.lit(seed))), key).limit(n)
 
 
 def running_share(df: DataFrame, value: str, key: str) -> DataFrame:

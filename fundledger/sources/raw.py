@@ -157,7 +157,10 @@ def flatten_submissions(parsed: DataFrame) -> DataFrame:
 def explode_filings(parsed: DataFrame) -> DataFrame:
     """One row per filing from the parallel arrays; an absent or empty array is a column of nulls."""
     recent = F.col("s.filings.recent")
-    arrays = [recent.getField(f).alias(f) for f in schemas.FILING_FIELDS]
+    arrays = [
+        F.coalesce(recent.getField(f), F.array().cast(f"array<{schemas.filing_type(f)}>")).alias(f)
+        for f in schemas.FILING_FIELDS
+    ]
     zipped = parsed.select(F.col("s.cik").alias("_cik"), *arrays).select(
         "_cik", F.posexplode(F.arrays_zip(*schemas.FILING_FIELDS)).alias("position", "_f")
     )

@@ -52,7 +52,7 @@ ADDRESS_FIELDS = [
 ]
 
 
-def _filing_type(field: str) -> str:
+def filing_type(field: str) -> str:
     return "bigint" if field in WHOLE_NUMBERS else "string"
 
 
@@ -63,8 +63,8 @@ def _scalar_type(field: str) -> str:
 TICKERS = "cik bigint, name string, ticker string, exchange string"
 TICKER_MAP = "map<string, struct<cik_str: string, ticker: string, title: string>>"
 INDEX_ROWS = "path string, line bigint, cik string, company_name string, form string, date_filed string, filename string"
-FILINGS = ", ".join(f"{f} {_filing_type(f)}" for f in FILING_FIELDS)
-_RECENT = ", ".join(f"{f}: array<{_filing_type(f)}>" for f in FILING_FIELDS)
+FILINGS = ", ".join(f"{f} {filing_type(f)}" for f in FILING_FIELDS)
+_RECENT = ", ".join(f"{f}: array<{filing_type(f)}>" for f in FILING_FIELDS)
 _ADDRESS = ", ".join(f"{f}: string" for f in ADDRESS_FIELDS)
 SUBMISSION = ", ".join(
     [
