@@ -101,7 +101,7 @@ register(
     f"""WITH {_INDEX} SELECT {d('filing_date')} AS path, o_orderkey + 10 AS line, cik, entity AS company_name, form, {d('filing_date')} AS date_filed,
     'doc' || CAST(o_orderkey AS VARCHAR) || '.htm' AS filename FROM idx""",
 )
-_DAILY = f"""{_INDEX}, firsts AS (SELECT year(filing_date) AS y, cik, form, MIN(o_orderkey) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3),
+_DAILY = f"""{_INDEX}, firsts AS (SELECT year(filing_date) AS y, cik, form, MIN({{'a': filing_date, 'b': o_orderkey}}) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3),
 daily AS (SELECT CAST(y AS VARCHAR) AS ingestion_date, cik, MIN(entity) AS company_name, '["' || string_agg(form, '","' ORDER BY k) || '"]' AS forms_filed FROM firsts GROUP BY 1, 2)"""
 register("daily_changes", lambda spark, sf: fi.daily_changes(_index(spark, sf)), "filings", f"WITH {_DAILY} SELECT * FROM daily")
 
@@ -130,10 +130,10 @@ register(
     f"WITH {_UNIVERSE} SELECT DISTINCT cik FROM filings WHERE cik IN (SELECT cik FROM universe)",
 )
 register(
-    "companies_without_filings",
-    lambda spark, sf: anti_join(_universe(spark, sf), v.filings(spark, sf), "cik"),
+    "companies_without_merger",
+    lambda spark, sf: anti_join(_universe(spark, sf), v.filings(spark, sf).where("form = 'SC 13E-3'"), "cik"),
     "filings tickers",
-    f"WITH {_UNIVERSE} SELECT cik, name FROM universe WHERE cik NOT IN (SELECT cik FROM filings)",
+    f"WITH {_UNIVERSE} SELECT cik, name FROM universe WHERE cik NOT IN (SELECT cik FROM filings WHERE form = 'SC 13E-3')",
 )
 register(
     "pending_companies",

@@ -331,7 +331,7 @@ def filing_docs(spark: SparkSession, sf: str) -> DataFrame:
             F.sort_array(F.collect_list(F.struct("filingDate", "accessionNumber", *fields[2:])), asc=False).alias("f")
         )
     )
-    recent = F.struct(*[F.transform("f", lambda x, n=n: x[n]).alias(n) for n in fields])
+    recent = F.struct(*[F.col(f"f.{n}").alias(n) for n in fields])
     doc = F.struct(
         F.col("cik"),
         F.concat(F.lit("Company "), "cik").alias("name"),

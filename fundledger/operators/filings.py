@@ -17,11 +17,10 @@ def daily_changes(index: DataFrame) -> DataFrame:
     per company is its distinct forms, not its lines.
     """
     firsts = index.groupBy("ingestion_date", "cik", "form").agg(
-        F.min(F.struct("line", "company_name")).alias("_first")
-    )
-    forms = F.sort_array(
-        F.collect_list(F.when(F.col("form") != "", F.struct(F.col("_first.line").alias("line"), "form")))
+        F.min(F.struct("path", "line", "company_name")).alias("_first")
     )
+    seen = F.struct(F.col("_first.path").alias("path"), F.col("_first.line").alias("line"), "form")
+    forms = F.sort_array(F.collect_list(F.when(F.col("form") != "", seen)))
     return firsts.groupBy("ingestion_date", "cik").agg(
         F.min("_first").getField("company_name").alias("company_name"),
         F.to_json(F.transform(forms, lambda x: x["form"])).alias("forms_filed"),

@@ -154,18 +154,21 @@ def flatten_submissions(parsed: DataFrame) -> DataFrame:
     )
 
 
-def explode_filings(parsed: DataFrame) -> DataFrame:
-    """One row per filing from the parallel arrays; an absent or empty array is a column of nulls."""
+def explode_filings(parsed: DataFrame, also: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """One row per filing from the parallel arrays; an absent or empty array is a column of nulls.
+
+    ``also`` names columns of the input to keep beside the filing's own.
+    """
     recent = F.col("s.filings.recent")
     arrays = [
         F.coalesce(recent.getField(f), F.array().cast(f"array<{schemas.filing_type(f)}>")).alias(f)
         for f in schemas.FILING_FIELDS
     ]
-    zipped = parsed.select(F.col("s.cik").alias("_cik"), *arrays).select(
-        "_cik", F.posexplode(F.arrays_zip(*schemas.FILING_FIELDS)).alias("position", "_f")
+    zipped = parsed.select(*also, F.col("s.cik").alias("_cik"), *arrays).select(
+        *also, "_cik", F.posexplode(F.arrays_zip(*schemas.FILING_FIELDS)).alias("position", "_f")
     )
     return zipped.select(
-        cik10("_cik").alias("cik"), "position", *[F.col(f"_f.{f}").alias(f) for f in schemas.FILING_FIELDS]
+        *also, cik10("_cik").alias("cik"), "position", *[F.col(f"_f.{f}").alias(f) for f in schemas.FILING_FIELDS]
     )
 
 
