@@ -138,7 +138,7 @@ register(
     lambda spark, sf: counting.data_histogram(f.with_units(_now(spark, sf)).where("aum > 0"), "aum_bn", 60),
     "last_funds",
     f"""WITH x AS (SELECT {_AUM} AS a FROM last_funds WHERE aum > 0), b AS (SELECT MIN(a) AS lo, MAX(a) AS hi FROM x)
-    SELECT CAST(COALESCE(LEAST(floor((a - lo) * 60 / NULLIF(hi - lo, 0)) + 1, 60), 1) AS BIGINT) AS bucket, {r('MIN(a)')} AS bucket_min, {r('MAX(a)')} AS bucket_max,
+    SELECT CAST(LEAST(COALESCE(floor((a - lo) * 60 / NULLIF(hi - lo, 0)) + 1, 1), 60) AS BIGINT) AS bucket, {r('MIN(a)')} AS bucket_min, {r('MAX(a)')} AS bucket_max,
     COUNT(*) AS n FROM x, b GROUP BY 1""",
 )
 register(

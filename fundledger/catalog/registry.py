@@ -12,17 +12,21 @@ from fundledger.catalog.views import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Numbers this large have too few binary digits left for seven decimals.
+LARGE = 1e8
+
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Plain types for comparing results: numbers as long or double to 7 places, dates and lists as text."""
+    """Plain types for comparing results: numbers as long or rounded double, dates and lists as text."""
 
     def plain(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 7)
+            c = c.cast("double")
+            c = F.when(F.abs(c) >= LARGE, F.round(c, 2)).otherwise(F.round(c, 7))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.DateType):
@@ -46,8 +50,9 @@ def register(name: str, run: Query, views: str = "", check: str | None = None) -
 
 
 def r(expr: str) -> str:
-    """SQL: a number as double to 7 places."""
-    return f"ROUND(CAST({expr} AS DOUBLE), 7)"
+    """SQL: a number as double, to 7 places or to 2 when it is large."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"CASE WHEN ABS({x}) >= 1e8 THEN ROUND({x}, 2) ELSE ROUND({x}, 7) END"
 
 
 def d(expr: str) -> str:

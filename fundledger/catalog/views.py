@@ -240,8 +240,8 @@ def filings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         _digits("o_custkey", 10).alias("cik"),
         F.concat(_digits("o_custkey", 10), F.lit("-"), _digits("o_orderkey", 12)).alias("accessionNumber"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("filingDate"),
-        F.when(key % 20 < 18, F.date_format(F.date_sub(F.to_date("o_orderdate"), 30), "yyyy-MM-dd")).alias("reportDate"),
+        F.to_date("o_orderdate").cast("string").alias("filingDate"),
+        F.when(key % 20 < 18, F.date_sub(F.to_date("o_orderdate"), 30).cast("string")).alias("reportDate"),
         form.alias("form"),
         F.when((key % 20).between(10, 15), item).otherwise("").alias("items"),
         (key % 2).alias("isXBRL"),
@@ -267,13 +267,13 @@ def _fact_rows(spark: SparkSession, sf: str) -> DataFrame:
         _pick([c[1] for c in CONCEPTS], concept).alias("concept"),
         _pick([c[1] for c in CONCEPTS], concept).alias("label"),
         _pick([c[2] for c in CONCEPTS], concept).alias("unit"),
-        F.date_format(end, "yyyy-MM-dd").alias("end"),
-        F.when(span != 0, F.date_format(F.date_sub(end, days), "yyyy-MM-dd")).alias("start"),
+        end.cast("string").alias("end"),
+        F.when(span != 0, F.date_sub(end, days).cast("string")).alias("start"),
         F.col("l_extendedprice").cast("decimal(22,2)").alias("val"),
         F.concat(_digits("o_custkey", 10), F.lit("-"), _digits("o_orderkey", 12)).alias("accn"),
-        _pick(FACT_FORMS, F.col("o_orderkey") % 4).alias("form"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed"),
-        F.when(span >= 3, F.concat(F.lit("CY"), F.date_format(end, "yyyy"))).alias("frame"),
+        _pick(FACT_FORMS, F.col("l_orderkey") % 4).alias("form"),
+        F.to_date("o_orderdate").cast("string").alias("filed"),
+        F.when(span >= 3, F.concat(F.lit("CY"), F.year(end).cast("string"))).alias("frame"),
         F.col("o_orderkey").alias("_orderkey"),
         F.col("o_custkey").alias("_custkey"),
     )

@@ -26,12 +26,18 @@ def period_type(start: Column | str, end: Column | str) -> Column:
     days = period_days(start, end)
     return (
         F.when(as_column(start).isNull(), "instant")
-        .when(days.between(*ANNUAL_DAYS), "annual")
-        .when(days.between(*QUARTER_DAYS), "quarterly")
+        .when(_within(days, ANNUAL_DAYS), "annual")
+        .when(_within(days, QUARTER_DAYS), "quarterly")
         .otherwise("other")
     )
 
 
+def _within(days: Column, bounds: tuple[int, int]) -> Column:
+    """``days`` inside inclusive bounds, naming ``days`` once: a filter repeats what it names twice."""
+    low, high = bounds
+    return F.abs(days * 2 - (low + high)) <= high - low
+
+
 def fiscal_period(kind: Column | str, end: Column | str, form: Column | str) -> Column:
     """FY for yearly reports, else Q1..Q4 by the month the period ends in."""
     quarter = F.concat(F.lit("Q"), F.quarter(as_column(end)).cast("string"))

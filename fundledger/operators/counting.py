@@ -154,7 +154,7 @@ def data_histogram(df: DataFrame, value: Column | str, n: int) -> DataFrame:
     hi = values.agg(F.max("_x")).scalar()
     place = F.floor((F.col("_x") - lo) * n / F.nullif(hi - lo, F.lit(0.0))) + 1
     return (
-        values.withColumn("bucket", F.coalesce(F.least(place, F.lit(n)), F.lit(1)).cast("long"))
+        values.withColumn("bucket", F.least(F.coalesce(place, F.lit(1)), F.lit(n)).cast("long"))
         .groupBy("bucket")
         .agg(F.min("_x").alias("bucket_min"), F.max("_x").alias("bucket_max"), F.count("*").alias("n"))
     )

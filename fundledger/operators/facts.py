@@ -99,11 +99,8 @@ def mapped_facts(facts: DataFrame) -> DataFrame:
     year-to-date sums drop out. The mapping has 24 rows and is broadcast, before any shuffle.
     """
     mapping = concept_frame(facts.sparkSession)
-    kind = period_type("start", "end")
-    fits = (kind == "instant") | (
-        F.col("form").isin(ANNUAL_FORMS) & (kind == "annual")
-    ) | (F.col("form").isin(QUARTERLY_FORMS) & (kind == "quarterly"))
-    rows = facts.where(F.col("form").isin(*ANNUAL_FORMS, *QUARTERLY_FORMS) & fits)
+    own = F.when(F.col("form").isin(ANNUAL_FORMS), "annual").when(F.col("form").isin(QUARTERLY_FORMS), "quarterly")
+    rows = facts.where(own.isNotNull() & period_type("start", "end").isin(own, F.lit("instant")))
     return rows.join(F.broadcast(mapping), ["namespace", "concept"])
 
 

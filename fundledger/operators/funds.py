@@ -14,6 +14,7 @@ from fundledger.operators.joining import semi_join
 from fundledger.operators.quantiles import median_by, with_quantiles
 from fundledger.operators.ranking import latest_per_key, page, top_n
 from fundledger.operators.snapshots import at_latest
+from fundledger.session import cut_lineage
 
 # Screener filters and the column each one tests.
 LIST_FILTERS = {
@@ -142,7 +143,11 @@ def key_findings(funds: DataFrame, holdings: DataFrame) -> DataFrame:
         F.sum(F.col("aum") / 1e12).alias("total_aum_trn"),
         (F.count_if(F.col("asset_class") == "Equity") * 100.0 / F.count("*")).alias("equity_pct"),
     )
-    per_fund = actual_holdings(holdings)
+    per_fund = cut_lineage(
+        actual_holdings(holdings)
+        .select("composite_ticker", "actual_holdings")
+        .join(concentration(holdings), "composite_ticker")
+    )
     facts = holdings.agg(
         F.count("*").alias("n"), F.count_distinct("constituent_ticker").alias("d")
     )
@@ -153,8 +158,8 @@ def key_findings(funds: DataFrame, holdings: DataFrame) -> DataFrame:
         facts.select("d").scalar().alias("securities"),
         semi_join(funds, per_fund, "composite_ticker").agg(F.count("*")).scalar().alias("matched_funds"),
     )
-    card = with_quantiles(card, per_fund, [], {"median_holdings": ("actual_holdings", 0.5)})
-    return with_quantiles(card, concentration(holdings), [], {"median_top10": ("top10_weight", 0.5)})
+    medians = {"median_holdings": ("actual_holdings", 0.5), "median_top10": ("top10_weight", 0.5)}
+    return with_quantiles(card, per_fund, [], medians)
 
 
 def current_funds(funds: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from fundledger.operators.joining import join_keys
 from fundledger.operators.quantiles import with_quantiles
 from fundledger.operators.ranking import top_n, top_per_group
 from fundledger.operators.snapshots import at_best, at_latest
+from fundledger.session import cut_lineage
 
 
 
@@ -58,8 +59,16 @@ def fund_summary(funds: DataFrame, holdings: DataFrame, n: int = 10) -> DataFram
 
 
 def asset_class_summary(funds: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Funds, assets and four medians per asset class, over funds with assets and positions."""
-    joined = fund_summary(funds, at_best(holdings)).where(F.col("aum_bn") > 0)
+    """Funds, assets and four medians per asset class, over funds with assets and positions.
+
+    The joined table has one row per fund and is written once, so that the totals and the two
+    passes of the medians do not go back to the holdings.
+    """
+    joined = cut_lineage(
+        fund_summary(funds, at_best(holdings))
+        .where(F.col("aum_bn") > 0)
+        .select("asset_class", "aum_bn", "actual_holdings", "net_expenses_bps", "top10_weight")
+    )
     totals = joined.groupBy("asset_class").agg(
         F.count("*").alias("fund_count"), F.sum("aum_bn").alias("total_aum_bn")
     )

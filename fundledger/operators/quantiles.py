@@ -100,7 +100,8 @@ def with_quantiles(
     found = quantiles(df, by, wanted)
     if by:
         return join_keys(summary, found, by, "left")
-    return summary.select("*", *[found.select(name).scalar().alias(name) for name in wanted])
+    row = found.select(F.struct(*wanted)).scalar()
+    return summary.select("*", row.alias("_q")).select(*summary.columns, *[F.col(f"_q.{n}") for n in wanted])
 
 
 def median_by(df: DataFrame, by: str, value: str, min_count: int = 1, n: int | None = None) -> DataFrame:

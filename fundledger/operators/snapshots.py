@@ -9,6 +9,7 @@ from fundledger.functions.numbers import bucket, clip
 from fundledger.operators.joining import semi_join
 from fundledger.operators.quantiles import quantiles, with_quantiles
 from fundledger.operators.ranking import top_per_group
+from fundledger.session import cut_lineage
 
 POSITION = ["as_of_date", "composite_ticker", "constituent_ticker"]
 
@@ -102,7 +103,7 @@ def snapshot_trend(holdings: DataFrame, row_weighted: bool = False) -> DataFrame
     each fund's figures once per row they describe, made from the rollup instead of a join to the
     detail rows.
     """
-    rollup = fund_rollup(holdings)
+    rollup = cut_lineage(fund_rollup(holdings))
     steady = semi_join(rollup, stable_funds(rollup), "composite_ticker")
     if row_weighted:
         steady = semi_join(holdings.select("as_of_date", "composite_ticker"), stable_funds(rollup), "composite_ticker")
@@ -119,10 +120,17 @@ def snapshot_trend(holdings: DataFrame, row_weighted: bool = False) -> DataFrame
 
 def first_last_delta(holdings: DataFrame) -> DataFrame:
     """Holdings of each stable fund on the first and the best snapshot, and the difference."""
-    rollup = fund_rollup(holdings)
+    rollup = cut_lineage(fund_rollup(holdings))
     steady = semi_join(rollup, stable_funds(rollup), "composite_ticker")
-    first = holdings.agg(F.min("as_of_date")).scalar()
-    last = best_snapshot(holdings).scalar()
+    first = rollup.agg(F.min("as_of_date")).scalar()
+    last = (
+        rollup.groupBy("as_of_date")
+        .agg(F.sum("num_holdings").alias("n"))
+        .orderBy(F.desc("n"), F.desc("as_of_date"))
+        .limit(1)
+        .select("as_of_date")
+        .scalar()
+    )
     return (
         steady.groupBy("composite_ticker")
         .agg(
