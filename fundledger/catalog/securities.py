@@ -301,13 +301,20 @@ register(
     "securities",
     "SELECT COALESCE(inactive_reason, 'Unknown') AS inactive_reason, COUNT(*) AS n FROM securities WHERE NOT active_flag GROUP BY 1",
 )
+_GONE = "s.constituent_ticker, s.constituent_name, s.inactive_reason, s.asset_class, s.security_type, s.edgar_cik"
 register(
     "inactive_with_funds",
     lambda spark, sf: sec.inactive_with_funds(v.securities(spark, sf), v.holdings(spark, sf)),
     "securities newest",
-    """SELECT s.constituent_ticker, ANY_VALUE(s.constituent_name) AS constituent_name, ANY_VALUE(s.inactive_reason) AS inactive_reason, ANY_VALUE(s.asset_class) AS asset_class,
-    ANY_VALUE(s.security_type) AS security_type, ANY_VALUE(s.edgar_cik) AS edgar_cik, string_agg(DISTINCT n.composite_ticker, '|' ORDER BY n.composite_ticker) AS funds,
-    COUNT(DISTINCT n.composite_ticker) AS fund_count FROM securities s LEFT JOIN newest n ON n.constituent_ticker = s.constituent_ticker WHERE NOT s.active_flag GROUP BY 1""",
+    f"""SELECT {_GONE}, n.composite_ticker, {r('n.weight')} AS weight FROM securities s LEFT JOIN newest n ON n.constituent_ticker = s.constituent_ticker
+    WHERE NOT s.active_flag""",
+)
+register(
+    "inactive_fund_counts",
+    lambda spark, sf: sec.inactive_fund_counts(v.securities(spark, sf), v.holdings(spark, sf)),
+    "securities newest",
+    f"""SELECT {_GONE}, COUNT(n.composite_ticker) AS fund_count FROM securities s LEFT JOIN newest n ON n.constituent_ticker = s.constituent_ticker
+    WHERE NOT s.active_flag GROUP BY ALL""",
 )
 register(
     "fund_inactive",

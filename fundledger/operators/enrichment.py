@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fundledger.functions.codes import DEREGISTRATION_FORMS, REPORT_FORMS
 from fundledger.functions.dates import iso_date
 from fundledger.functions.keys import cik_plain
-from fundledger.functions.text import class_place, join_distinct, strip_markup, ticker_spellings
+from fundledger.functions.text import CLASS_PLACES, class_place, join_distinct, strip_markup, ticker_spellings
 from fundledger.operators.ranking import top_per_group
 
 # Enrichment columns of the security master and their types.
@@ -113,7 +113,11 @@ def label_activity(resolved: DataFrame, companies: DataFrame, flags: DataFrame)
 
 
 def _latest_points(points: DataFrame) -> DataFrame:
-    """The five smallest values of each company's and concept's latest filing, ranked, with their number."""
+    """The five smallest values of each company's and concept's latest filing, ranked, with their number.
+
+    Five places cover every share class, and whether a filing has one value or several shows in
+    those rows too, so nothing beyond them is needed.
+    """
     usable = points.where(
         F.col("form").isin(REPORT_FORMS) & (F.col("val") != 0) & F.col("filed").isNotNull()
     )
@@ -122,15 +126,14 @@ def _latest_points(points: DataFrame) -> DataFrame:
     same = usable.join(newest, key).where(
         (F.col("filed") == F.col("_new.filed")) & (F.col("form") == F.col("_new.form"))
     )
-    counts = same.groupBy(*key).agg(F.count("*").alias("_points"))
     ranked = top_per_group(
         same.select(*key, "val", "end", "accn"),
         key,
         [F.asc("val"), F.asc("end"), F.asc("accn")],
-        5,
+        max(CLASS_PLACES.values()) + 1,
         rank="_place",
     )
-    return ranked.join(counts, key)
+    return ranked.withColumn("_points", F.count("*").over(Window.partitionBy(*key)))
 
 
 def shares_outstanding(points: DataFrame, resolved: DataFrame, concepts: list[str]) -> DataFrame:

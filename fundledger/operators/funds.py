@@ -159,7 +159,7 @@ def key_findings(funds: DataFrame, holdings: DataFrame) -> DataFrame:
         semi_join(funds, per_fund, "composite_ticker").agg(F.count("*")).scalar().alias("matched_funds"),
     )
     medians = {"median_holdings": ("actual_holdings", 0.5), "median_top10": ("top10_weight", 0.5)}
-    return with_quantiles(card, per_fund, [], medians)
+    return with_quantiles(card, per_fund, [], medians, settled=True)
 
 
 def current_funds(funds: DataFrame) -> DataFrame:

@@ -82,6 +82,7 @@ def asset_class_summary(funds: DataFrame, holdings: DataFrame) -> DataFrame:
             "median_expense_bps": ("net_expenses_bps", 0.5),
             "median_top10_weight": ("top10_weight", 0.5),
         },
+        settled=True,
     )
 
 

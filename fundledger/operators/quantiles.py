@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fundledger.operators.joining import join_keys
 
 BINS_PER_OCTAVE = 1024
+SMALL_TABLE = 100_000
 _LOWEST_OCTAVE = 1100
 
 
@@ -32,22 +33,15 @@ def quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str
     """
     values = list(dict.fromkeys(str(v) for v, _ in wanted.values()))
     columns = {str(v): (F.col(v) if isinstance(v, str) else v) for v, _ in wanted.values()}
-    long = (
-        df.select(
-            *by,
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("m"), columns[name].cast("double").alias("v"))
-                        for i, name in enumerate(values)
-                    ]
-                )
-            ).alias("_x"),
-        )
-        .select(*by, F.col("_x.m").alias("_m"), F.col("_x.v").alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .withColumn("_bin", _value_bin(F.col("_v")))
-    )
+    if len(values) == 1:
+        long = df.select(*by, F.lit(0).alias("_m"), columns[values[0]].cast("double").alias("_v"))
+    else:
+        cells = [
+            F.struct(F.lit(i).alias("_m"), columns[name].cast("double").alias("_v"))
+            for i, name in enumerate(values)
+        ]
+        long = df.select(*by, F.inline(F.array(*cells)))
+    long = long.where(F.col("_v").isNotNull()).withColumn("_bin", _value_bin(F.col("_v")))
     group = [*by, "_m"]
     ordered = Window.partitionBy(*group).orderBy("_bin")
     counts = (
@@ -93,11 +87,33 @@ def quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str
     return ranked.groupBy(*by).agg(*out)
 
 
+def settled_quantiles(
+    df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str, float]]
+) -> DataFrame:
+    """``quantiles`` of a table that is already written out, whose size is cheap to look up.
+
+    Up to SMALL_TABLE rows one aggregation buffer holds them all and Spark's own percentile is used;
+    beyond that the ranks are found as above.
+    """
+    if df.limit(SMALL_TABLE + 1).count() > SMALL_TABLE:
+        return quantiles(df, by, wanted)
+    return df.groupBy(*by).agg(
+        *[F.percentile(F.col(v) if isinstance(v, str) else v, F.lit(p)).alias(name) for name, (v, p) in wanted.items()]
+    )
+
+
 def with_quantiles(
-    summary: DataFrame, df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str, float]]
+    summary: DataFrame,
+    df: DataFrame,
+    by: list[str],
+    wanted: dict[str, tuple[Column | str, float]],
+    settled: bool = False,
 ) -> DataFrame:
-    """Add quantiles of ``df`` to a summary of the same groups; groups without values get nulls."""
-    found = quantiles(df, by, wanted)
+    """Add quantiles of ``df`` to a summary of the same groups; groups without values get nulls.
+
+    ``settled`` says that ``df`` is written out already (see ``settled_quantiles``).
+    """
+    found = (settled_quantiles if settled else quantiles)(df, by, wanted)
     if by:
         return join_keys(summary, found, by, "left")
     row = found.select(F.struct(*wanted)).scalar()

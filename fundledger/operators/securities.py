@@ -168,25 +168,33 @@ def inactive_by_reason(table: DataFrame) -> DataFrame:
     return value_counts(table.where(~F.col("active_flag")), "inactive_reason", null_label="Unknown")
 
 
-def inactive_with_funds(table: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Inactive securities with every fund that holds them at the latest snapshot.
-
-    Only inactive securities' positions are gathered, as distinct tickers. One list is bounded by
-    the number of funds, the size of the answer itself.
-    """
+def _inactive_positions(table: DataFrame, holdings: DataFrame) -> tuple[DataFrame, DataFrame]:
     gone = table.where(~F.col("active_flag")).select(
         "constituent_ticker", "constituent_name", "inactive_reason", "asset_class", "security_type", "edgar_cik"
     )
     held = (
         at_latest(holdings)
-        .select("constituent_ticker", "composite_ticker")
+        .select("constituent_ticker", "composite_ticker", "weight")
         .join(gone.select("constituent_ticker"), "constituent_ticker", "left_semi")
-        .groupBy("constituent_ticker")
-        .agg(F.sort_array(F.collect_set("composite_ticker")).alias("funds"))
-    )
-    return gone.join(held, "constituent_ticker", "left").withColumn(
-        "fund_count", F.when(F.col("funds").isNull(), 0).otherwise(F.size("funds"))
     )
+    return gone, held
+
+
+def inactive_with_funds(table: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Inactive securities with each fund that holds them at the latest snapshot, a row per fund.
+
+    Rows instead of one list per security: a security held by very many funds stays spread out. An
+    inactive security that no fund holds has one row without a fund.
+    """
+    gone, held = _inactive_positions(table, holdings)
+    return gone.join(held, "constituent_ticker", "left")
+
+
+def inactive_fund_counts(table: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Inactive securities with the number of funds that hold them at the latest snapshot."""
+    gone, held = _inactive_positions(table, holdings)
+    counts = held.groupBy("constituent_ticker").agg(F.count("*").alias("fund_count"))
+    return gone.join(counts, "constituent_ticker", "left").fillna(0, subset=["fund_count"])
 
 
 def fund_inactive(holdings: DataFrame, table: DataFrame) -> DataFrame:

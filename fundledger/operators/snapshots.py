@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundledger.functions.numbers import bucket, clip
 from fundledger.operators.joining import semi_join
-from fundledger.operators.quantiles import quantiles, with_quantiles
+from fundledger.operators.quantiles import quantiles, settled_quantiles, with_quantiles
 from fundledger.operators.ranking import top_per_group
 from fundledger.session import cut_lineage
 
@@ -111,11 +111,10 @@ def snapshot_trend(holdings: DataFrame, row_weighted: bool = False) -> DataFrame
             rollup.select("as_of_date", "composite_ticker", "num_holdings", "total_weight"),
             ["as_of_date", "composite_ticker"],
         )
-    return quantiles(
-        steady,
-        ["as_of_date"],
-        {"median_holdings": ("num_holdings", 0.5), "median_total_weight": ("total_weight", 0.5)},
-    )
+    wanted = {"median_holdings": ("num_holdings", 0.5), "median_total_weight": ("total_weight", 0.5)}
+    if row_weighted:
+        return quantiles(steady, ["as_of_date"], wanted)
+    return settled_quantiles(steady, ["as_of_date"], wanted)
 
 
 def first_last_delta(holdings: DataFrame) -> DataFrame:
@@ -189,11 +188,11 @@ def holding_changes(holdings: DataFrame) -> DataFrame:
         .withColumn("_is", F.lit(None).cast("double"))
     )
     both = now.unionByName(before)
+    seen = holdings.select("as_of_date", "composite_ticker").distinct()
     compared = (
-        both.groupBy("as_of_date", "composite_ticker")
-        .agg(F.count("_is").alias("_n_is"), F.count("_was").alias("_n_was"))
-        .where((F.col("_n_is") > 0) & (F.col("_n_was") > 0))
-        .select("as_of_date", "composite_ticker")
+        seen.join(F.broadcast(follow), "as_of_date")
+        .select(F.col("_next").alias("as_of_date"), "composite_ticker")
+        .join(seen, ["as_of_date", "composite_ticker"], "left_semi")
     )
     changed = (
         both.groupBy(*POSITION)
