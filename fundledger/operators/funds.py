@@ -136,10 +136,10 @@ def leverage_counts(funds: DataFrame, n: int = 10) -> DataFrame:
 
 def key_findings(funds: DataFrame, holdings: DataFrame) -> DataFrame:
     """The figures of the closing summary, in one row, for one snapshot of both tables."""
-    assets = funds.agg(F.sum("aum")).scalar()
     top3 = issuers(funds, 3).agg(F.sum("total_aum")).scalar()
     card = funds.agg(
         F.count("*").alias("fund_rows"),
+        F.sum("aum").alias("_assets"),
         F.sum(F.col("aum") / 1e12).alias("total_aum_trn"),
         (F.count_if(F.col("asset_class") == "Equity") * 100.0 / F.count("*")).alias("equity_pct"),
     )
@@ -153,11 +153,11 @@ def key_findings(funds: DataFrame, holdings: DataFrame) -> DataFrame:
     )
     card = card.select(
         "*",
-        F.try_divide(top3 * 100.0, assets).alias("top3_issuer_pct"),
+        F.try_divide(top3 * 100.0, F.col("_assets")).alias("top3_issuer_pct"),
         facts.select("n").scalar().alias("holding_rows"),
         facts.select("d").scalar().alias("securities"),
         semi_join(funds, per_fund, "composite_ticker").agg(F.count("*")).scalar().alias("matched_funds"),
-    )
+    ).drop("_assets")
     medians = {"median_holdings": ("actual_holdings", 0.5), "median_top10": ("top10_weight", 0.5)}
     return with_quantiles(card, per_fund, [], medians, settled=True)
 
