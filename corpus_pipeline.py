@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fundledger.llm import byte_bpe, exact_dedup, language, mixing, simhash
 from fundledger.llm.common import cut_lineage, table
-from fundledger.llm.queries import BPE_FILE, MIX_SEED, TARGETS
+from fundledger.llm.queries import BPE_FILE, MIX_RATE, MIX_SEED, TARGETS
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that sources, languages and topics have their target shares of tokens."""
-    return mixing.mix(docs, TARGETS, seed=MIX_SEED).where("kept").select(*COLUMNS)
+    return mixing.mix(docs, TARGETS, rate=MIX_RATE, seed=MIX_SEED).where("kept").select(*COLUMNS)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Token counts of documents are summed into cells of source, language and topic. Raking scales the cells
 in turn until their sums over each dimension have the target shares. A document of a cell is then kept
-with a probability proportional to fitted weight over present weight; the draw is a hash of the id, so
-it repeats on any cluster.
+with a probability proportional to fitted over present share, calibrated so that the wanted part of all
+tokens is expected to stay; a cell that would need more than all its documents keeps all. The draw is a
+hash of the id, so it repeats on any cluster.
 
 The cells are bounded by the targets: a value that a dimension's targets do not name counts as
 ``OTHER``, so their number is at most the product of the targets' sizes, whatever the table's size.
@@ -76,6 +77,18 @@ def rake(cells: dict[tuple[str, ...], float], targets: list[dict[str, float]], r
     return {key: float(grid[tuple(k.index(x) for k, x in zip(kinds, key))]) for key in cells}
 
 
+def calibrated(present: dict[tuple[str, ...], float], ratio: dict[tuple[str, ...], float], rate: float) -> dict[tuple[str, ...], float]:
+    """Probabilities min(1, c * ratio), with c such that ``rate`` of all tokens is expected to stay."""
+    rest, weighed = rate * sum(present.values()), sum(present[k] * ratio[k] for k in present)
+    scale = 0.0
+    for key in sorted(present, key=lambda k: -ratio[k]):
+        scale = rest / weighed if weighed > 1e-12 else float("inf")
+        if ratio[key] * scale <= 1:
+            break
+        rest, weighed = rest - present[key], weighed - present[key] * ratio[key]
+    return {k: min(1.0, r * scale) if r > 0 else 0.0 for k, r in ratio.items()}
+
+
 def draw(id_col: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the id alone: 48 bits of a salted hash."""
     text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit("")))
@@ -88,14 +101,14 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     topic: Column | None = None,
-    rate: float = 1.0,
+    rate: float = 0.7,
     seed: int = 20,
 ) -> DataFrame:
     """``docs`` with n_tokens, topic, weight, probability and kept.
 
     ``targets`` maps a column of ``docs``, or "topic", to target shares by value. ``weight`` is the
-    cell's fitted share over its present share; ``probability`` is weight over the largest weight, times
-    ``rate``; ``kept`` is whether the id's draw lies below it.
+    cell's fitted share over its present share; ``probability`` is proportional to it, at most 1, and
+    keeps ``rate`` of all tokens; ``kept`` is whether the id's draw lies below it.
     """
     dims = list(targets)
     work = docs.withColumns(
@@ -108,9 +121,9 @@ def mix(
     present = {tuple(r[k] for k in keys): float(r["n"]) for r in rows}
     fitted, total = rake(present, [targets[d] for d in dims]), sum(present.values())
     ratio = {key: (fitted[key] / (n / total) if n else 0.0) for key, n in present.items()}
-    top = max(ratio.values(), default=0.0)
+    chance = calibrated(present, ratio, rate)
     spark = docs.sparkSession
     schema = ", ".join(f"{k} string" for k in keys) + ", weight double, probability double"
-    weights = [(*key, w, min(1.0, rate * w / top) if top else 0.0) for key, w in sorted(ratio.items())]
+    weights = [(*key, w, chance[key]) for key, w in sorted(ratio.items())]
     joined = marked.join(F.broadcast(spark.createDataFrame(weights, schema)), keys, "left").drop(*keys)
     return joined.withColumn("kept", draw(F.col(f"`{id_col}`"), seed) < F.col("probability"))

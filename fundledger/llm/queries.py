@@ -12,11 +12,13 @@ from fundledger.llm.common import table
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
 # Target shares of tokens. Values not named here share OTHER's part.
-SOURCES = {f"src{i}": 0.24 if i == 0 else 0.04 for i in range(20)}
+SOURCES = {f"src{i}": 0.297 if i == 0 else 0.037 for i in range(20)}
 LANGUAGES = {"en": 0.52, "fr": 0.17, "es": 0.14, "de": 0.17}
-TOPICS = {"prose": 0.8, "table": 0.1, "shouting": 0.05, "list": 0.05}
+TOPICS = {"prose": 0.92, "table": 0.03, "shouting": 0.04, "list": 0.01}
 TARGETS = {"source": SOURCES, "lang": LANGUAGES, "topic": TOPICS}
 MIX_SEED = 20
+# The part of all tokens that stays.
+MIX_RATE = 0.8
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), TARGETS, seed=MIX_SEED)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), TARGETS, rate=MIX_RATE, seed=MIX_SEED)
     weight, probability = F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability")
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", weight, probability, "kept")
 
@@ -60,15 +62,18 @@ def _shares(name: str, targets: dict[str, float]) -> str:
 
 OP7_SQL = rf"""
 WITH RECURSIVE {_shares('s_t', SOURCES)}, {_shares('l_t', LANGUAGES)}, {_shares('t_t', TOPICS)},
-d AS (
+e AS (
   SELECT doc_id, source, lang, coalesce(text, '') AS x,
          CASE WHEN (length(x) - length(replace(x, '|', ''))) * 40 > greatest(length(x), 1) THEN 'table'
               WHEN (length(x) - length(replace(x, '!', ''))) * 40 > greatest(length(x), 1) THEN 'shouting'
               WHEN (length(x) - length(replace(x, chr(10), ''))) * 60 > greatest(length(x), 1) THEN 'list'
               ELSE 'prose' END AS topic,
-         CAST(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
-         coalesce(s_t.v, 'other') AS cs, coalesce(l_t.v, 'other') AS cl, coalesce(t_t.v, 'other') AS ct
-  FROM documents LEFT JOIN s_t ON s_t.v = source LEFT JOIN l_t ON l_t.v = lang LEFT JOIN t_t ON t_t.v = topic
+         CAST(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents
+),
+d AS (
+  SELECT e.*, coalesce(s_t.v, 'other') AS cs, coalesce(l_t.v, 'other') AS cl, coalesce(t_t.v, 'other') AS ct
+  FROM e LEFT JOIN s_t ON s_t.v = source LEFT JOIN l_t ON l_t.v = lang LEFT JOIN t_t ON t_t.v = topic
 ),
 cells AS (SELECT cs, cl, ct, sum(n_tokens) / sum(sum(n_tokens)) OVER () AS p FROM d GROUP BY ALL),
 aims AS (
@@ -89,7 +94,16 @@ fit AS (
                     ELSE w * c / sum(w) OVER (PARTITION BY ct) END, a, b, c
   FROM fit WHERE i < 240
 ),
-final AS (SELECT cs, cl, ct, w / p AS ratio, w / p / max(w / p) OVER () AS chance FROM fit WHERE i = 240)
+ends AS (SELECT cs, cl, ct, p, w / p AS ratio, row_number() OVER (ORDER BY w / p DESC, cs, cl, ct) AS n FROM fit WHERE i = 240),
+scales AS (
+  SELECT n, ratio, ({MIX_RATE} - coalesce(sum(p) OVER above, 0))
+                   / (sum(p * ratio) OVER () - coalesce(sum(p * ratio) OVER above, 0)) AS scale
+  FROM ends WINDOW above AS (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+final AS (
+  SELECT cs, cl, ct, ratio, least(1.0, ratio * (SELECT scale FROM scales WHERE ratio * scale <= 1 ORDER BY n LIMIT 1)) AS chance
+  FROM ends
+)
 SELECT doc_id, source, lang, topic, n_tokens, round(ratio, 6) AS weight, round(chance, 6) AS probability,
        CAST('0x' || sha256('{MIX_SEED}:' || doc_id)[1:12] AS BIGINT) / 281474976710656.0 < chance AS kept
 FROM d JOIN final USING (cs, cl, ct)
