@@ -242,20 +242,26 @@ def narrowed(pattern: str) -> str:
     return out
 
 
-class Encoder:
-    """Encodes texts, remembering a bounded number of pre-tokens."""
+class Splitter:
+    """Finds a pattern's matches: the pre-tokens of a text."""
 
-    def __init__(self, ranks: Ranks, pattern: str):
-        self.ranks, self.seen = ranks, {}
+    def __init__(self, pattern: str):
         self.wide, self.narrow = regex.compile(pattern).findall, re.compile(narrowed(pattern)).findall
 
-    def find(self, text: str) -> list[str]:
+    def __call__(self, text: str) -> list[str]:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return self.wide(text)
         return self.narrow(text)
 
+
+class Encoder:
+    """Encodes texts, remembering a bounded number of pre-tokens."""
+
+    def __init__(self, ranks: Ranks, pattern: str):
+        self.ranks, self.seen, self.find = ranks, {}, Splitter(pattern)
+
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Several texts; their new pre-tokens are encoded together."""
         found = [self.find(t or "") for t in texts]

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundledger.llm import byte_bpe, exact_dedup, language, mixing, simhash
+from fundledger.llm import (
+    byte_bpe,
+    exact_dedup,
+    language,
+    mixing,
+    posting_lists,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    tool_chat,
+)
 from fundledger.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
@@ -38,6 +49,75 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+# The tools that a conversation's turns are read as calls of, and what their arguments must be.
+SCHEMAS = {
+    "lookup": {"chars": tool_chat.Field("integer", least=1, most=160), "query": tool_chat.Field("string", least=1)},
+    "write": {"chars": tool_chat.Field("integer", least=1, most=400), "lines": tool_chat.Field("integer"), "query": tool_chat.Field("string", least=1)},
+}
+
+
+def op3_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn is a tool call, and each assistant turn the result of the turn before it.
+
+    A call follows the call two turns earlier. One line is looked up, several lines are written.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    name = lambda back: F.concat_ws(":", F.lit("call"), F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    chars = F.length("text")
+    one = F.to_json(F.struct(chars.alias("chars"), F.col("text").alias("query")))
+    several = F.to_json(F.struct(chars.alias("chars"), lines.alias("lines"), F.col("text").alias("query")))
+    calls = turns.where("role = 'user'").select(
+        F.when(known, name(0)).alias("call_id"),
+        F.when(lines > 1, "write").otherwise("lookup").alias("tool"),
+        F.when(lines > 1, several).otherwise(one).alias("arguments"),
+        F.when(known, name(2)).alias("after_id"),
+    )
+    results = turns.where("role = 'assistant'").select(F.when(known, name(1)).alias("call_id"), F.col("text").alias("result"))
+    made = tool_chat.format_calls(calls, results, SCHEMAS)
+    return made.withColumn("errors", F.array_join("errors", "; "))
+
+
+OP3_SQL = """
+WITH u AS (
+  SELECT conv_id, turn, text, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
+         'call:' || conv_id || ':' || turn AS call_id
+  FROM conversations WHERE role = 'user'
+),
+c AS (
+  SELECT call_id, conv_id, turn, count(*) AS n_calls,
+         min(struct_pack(tool := CASE WHEN lines > 1 THEN 'write' ELSE 'lookup' END, a := CASE WHEN lines > 1
+             THEN CAST(json_object('chars', chars, 'lines', lines, 'query', text) AS VARCHAR)
+             ELSE CAST(json_object('chars', chars, 'query', text) AS VARCHAR) END, chars := chars)) AS x
+  FROM u GROUP BY ALL
+),
+r AS (
+  SELECT 'call:' || conv_id || ':' || (turn - 1) AS call_id, min(text) AS result, count(*) AS n_results
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+),
+chains AS (
+  SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM c
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS level FROM chains
+)
+SELECT call_id, 'call' AS kind, level, n_calls, coalesce(n_results, 0) AS n_results, n_results IS NOT NULL AS linked,
+       concat_ws('; ', CASE WHEN x.chars < 1 THEN 'chars: too small' END,
+                 CASE WHEN x.chars > (CASE x.tool WHEN 'write' THEN 400 ELSE 160 END) THEN 'chars: too large' END,
+                 CASE WHEN x.chars < 1 THEN 'query: too small' END) AS errors,
+       CAST(json_object('arguments', CAST(x.a AS JSON), 'id', call_id, 'result', result, 'tool', x.tool) AS VARCHAR) AS message
+FROM placed LEFT JOIN r USING (call_id)
+UNION ALL
+SELECT call_id, 'orphan', NULL, 0, n_results, false, 'no call', CAST(json_object('id', call_id, 'result', result) AS VARCHAR)
+FROM r ANTI JOIN c USING (call_id)
+"""
+
+
+def op4_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -116,5 +196,34 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "lang_second", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_simhash, op5_exact_dedup, op7_mixing, op8_language)}
-CHECKS = {"op5_exact_dedup": OP5_SQL, "op7_mixing": OP7_SQL}
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BPE_FILE)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=("doc_id",))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_simhash,
+        op3_tool_chat,
+        op4_posting_lists,
+        op5_exact_dedup,
+        op6_substring_dedup,
+        op7_mixing,
+        op8_language,
+        op9_suffix_dedup,
+        op10_token_counts,
+    )
+}
+CHECKS = {"op3_tool_chat": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mixing": OP7_SQL}
