@@ -8,7 +8,7 @@ from fundledger.catalog import views as v
 from fundledger.catalog.registry import d, r, register
 from fundledger.functions.codes import CONCEPT_COLUMNS, EVENT_RULES, PILOT_CONCEPTS
 from fundledger.functions.dates import period_type
-from fundledger.functions.keys import filing_url, security_id
+from fundledger.functions.keys import cik10, filing_url, security_id
 from fundledger.operators import enrichment as en, facts as fa, filings as fi
 from fundledger.operators.counting import ratio_report, recency, value_counts
 from fundledger.operators.joining import anti_join, changed_in_universe, load_keys, pending
@@ -17,16 +17,27 @@ from fundledger.sources import raw
 from fundledger.sources.layers import ensure_columns, upsert
 
 DAY, NEXT_DAY, AS_OF = "2024-01-25", "2024-01-26", "2003-01-01"
+STAMP, NEXT_STAMP = f"{DAY} 06:30:00", f"{NEXT_DAY} 06:30:00"
 
 # --- security dimension
 
 _ID = "left(sha256({cik} || '|{cls}'), 16)"
-_DIM = f"""dim AS (SELECT {_ID.format(cik="lpad(CAST(cik AS VARCHAR), 10, '0')", cls='PRIMARY')} AS security_id, lpad(CAST(cik AS VARCHAR), 10, '0') AS cik, ticker,
+_DIM = f"""dim AS (SELECT {_ID.format(cik="lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0')", cls='PRIMARY')} AS security_id, lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik, ticker,
   name AS company_name, exchange FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq'))"""
 
 
+def _companies(spark, sf):
+    parsed = raw.submission_faults(raw.parse_submissions(v.company_docs(spark, sf)))
+    return raw.flatten_submissions(parsed.where("fault IS NULL"))
+
+
+_SENT = """sent AS (SELECT c_custkey AS k, CAST(1000 + c_custkey % 12 * 100 AS VARCHAR) AS sic, 'Industry ' || CAST(c_custkey % 12 AS VARCHAR) AS sic_description,
+  CASE WHEN c_custkey % 2 = 0 THEN 'operating' ELSE 'other' END AS entity_type, list_extract(['DE', 'NY', 'CA', 'TX', 'NV'], c_custkey % 5 + 1) AS state_of_incorporation,
+  lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') || '28' AS fiscal_year_end FROM customer WHERE c_custkey % 211 <> 7)"""
+
+
 def _dim(spark, sf):
-    return layers.dim_security(v.tickers(spark, sf), DAY)
+    return layers.dim_security(v.tickers(spark, sf), DAY, companies=_companies(spark, sf), stamp=STAMP)
 
 
 register("listed_tickers", lambda spark, sf: layers.listed_only(v.tickers(spark, sf)), "tickers", "SELECT * FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')")
@@ -34,37 +45,39 @@ register(
     "security_ids",
     lambda spark, sf: v.tickers(spark, sf).select("cik", security_id("cik").alias("security_id"), security_id("cik", F.lit(" b ")).alias("class_b_id")),
     "tickers",
-    f"""SELECT cik, {_ID.format(cik="lpad(CAST(cik AS VARCHAR), 10, '0')", cls='PRIMARY')} AS security_id,
-    {_ID.format(cik="lpad(CAST(cik AS VARCHAR), 10, '0')", cls='B')} AS class_b_id FROM tickers""",
+    f"""SELECT cik, {_ID.format(cik="lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0')", cls='PRIMARY')} AS security_id,
+    {_ID.format(cik="lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0')", cls='B')} AS class_b_id FROM tickers""",
 )
 register(
     "dim_security",
     _dim,
     "tickers",
-    f"""WITH {_DIM} SELECT *, CAST(NULL AS VARCHAR) AS ticker_class, TRUE AS active_flag, '{DAY}' AS first_seen_date, '{DAY}' AS last_seen_date FROM dim""",
+    f"""WITH {_DIM}, {_SENT} SELECT dim.*, CAST(NULL AS VARCHAR) AS ticker_class, TRUE AS active_flag, '{DAY}' AS first_seen_date, '{DAY}' AS last_seen_date,
+    sic, entity_type, '{STAMP}' AS created_at, '{STAMP}' AS updated_at FROM dim LEFT JOIN sent ON k = CAST(cik AS BIGINT)""",
 )
 register(
     "dim_security_classes",
     lambda spark, sf: layers.dim_security(v.tickers(spark, sf), DAY, classes=True).select("security_id", "cik", "ticker", "ticker_class"),
     "tickers",
-    """SELECT left(sha256(lpad(CAST(cik AS VARCHAR), 10, '0') || '|' || CASE WHEN ticker LIKE '%-B' THEN 'B' ELSE 'PRIMARY' END), 16) AS security_id,
-    lpad(CAST(cik AS VARCHAR), 10, '0') AS cik, ticker, CASE WHEN ticker LIKE '%-B' THEN 'B' END AS ticker_class FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')""",
+    """SELECT left(sha256(lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') || '|' || CASE WHEN ticker LIKE '%-B' THEN 'B' ELSE 'PRIMARY' END), 16) AS security_id,
+    lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik, ticker, CASE WHEN ticker LIKE '%-B' THEN 'B' END AS ticker_class FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')""",
 )
 
 
 def _dim_next(spark, sf):
     """A first day that listed one exchange, then a day that lists both."""
     everyone = v.tickers(spark, sf)
-    first = layers.dim_security(everyone.where("exchange = 'NYSE'"), DAY)
-    return layers.dim_security(everyone.withColumn("name", F.upper("name")), NEXT_DAY, previous=first)
+    first = layers.dim_security(everyone.where("exchange = 'NYSE'"), DAY, stamp=STAMP)
+    return layers.dim_security(everyone.withColumn("name", F.upper("name")), NEXT_DAY, first, companies=_companies(spark, sf), stamp=NEXT_STAMP)
 
 
 register(
     "dim_security_upsert",
-    lambda spark, sf: _dim_next(spark, sf).select("security_id", "cik", "ticker", "company_name", "exchange", "first_seen_date", "last_seen_date"),
+    lambda spark, sf: _dim_next(spark, sf).drop("ticker_class", "active_flag"),
     "tickers",
-    f"""WITH {_DIM} SELECT security_id, cik, ticker, upper(company_name) AS company_name, exchange,
-    CASE WHEN exchange = 'NYSE' THEN '{DAY}' ELSE '{NEXT_DAY}' END AS first_seen_date, '{NEXT_DAY}' AS last_seen_date FROM dim""",
+    f"""WITH {_DIM}, {_SENT} SELECT security_id, cik, ticker, upper(company_name) AS company_name, exchange,
+    CASE WHEN exchange = 'NYSE' THEN '{DAY}' ELSE '{NEXT_DAY}' END AS first_seen_date, '{NEXT_DAY}' AS last_seen_date, sic, entity_type,
+    CASE WHEN exchange = 'NYSE' THEN '{STAMP}' ELSE '{NEXT_STAMP}' END AS created_at, '{NEXT_STAMP}' AS updated_at FROM dim LEFT JOIN sent ON k = CAST(cik AS BIGINT)""",
 )
 
 # --- index files and change lists
@@ -91,7 +104,7 @@ def index_lines(spark, sf):
 
 
 def _index(spark, sf):
-    return raw.parse_index(index_lines(spark, sf)).withColumn("ingestion_date", F.substring("date_filed", 1, 4))
+    return raw.parse_index(index_lines(spark, sf)).withColumn("ingestion_date", F.col("date_filed"))
 
 
 register(
@@ -101,16 +114,16 @@ register(
     f"""WITH {_INDEX} SELECT {d('filing_date')} AS path, o_orderkey + 10 AS line, cik, entity AS company_name, form, {d('filing_date')} AS date_filed,
     'doc' || CAST(o_orderkey AS VARCHAR) || '.htm' AS filename FROM idx""",
 )
-_DAILY = f"""{_INDEX}, firsts AS (SELECT year(filing_date) AS y, cik, form, MIN({{'a': filing_date, 'b': o_orderkey}}) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3),
+_DAILY = f"""{_INDEX}, firsts AS (SELECT filing_date AS y, cik, form, MIN({{'a': filing_date, 'b': o_orderkey}}) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3),
 daily AS (SELECT CAST(y AS VARCHAR) AS ingestion_date, cik, MIN(entity) AS company_name, '["' || string_agg(form, '","' ORDER BY k) || '"]' AS forms_filed FROM firsts GROUP BY 1, 2)"""
 register("daily_changes", lambda spark, sf: fi.daily_changes(_index(spark, sf)), "filings", f"WITH {_DAILY} SELECT * FROM daily")
 
 
 def _universe(spark, sf):
-    return layers.listed_only(v.tickers(spark, sf)).select(F.lpad(F.col("cik").cast("string"), 10, "0").alias("cik"), "name")
+    return layers.listed_only(v.tickers(spark, sf)).select(cik10("cik").alias("cik"), "name")
 
 
-_UNIVERSE = "universe AS (SELECT lpad(CAST(cik AS VARCHAR), 10, '0') AS cik, name FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq'))"
+_UNIVERSE = "universe AS (SELECT lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik, name FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq'))"
 register(
     "change_list",
     lambda spark, sf: fi.change_list(_index(spark, sf), _universe(spark, sf)),
@@ -181,7 +194,8 @@ register(
     lambda spark, sf: fi.corporate_actions(_silver_filings(spark, sf)),
     "filings tickers",
     f"""WITH {_EVENTS} SELECT security_id, cik, event_type, {d('event_date')} AS event_date, effective_date, accession_number, form_type, {d('filed_date')} AS filed_date,
-    description FROM events""",
+    CAST(NULL AS BIGINT) AS counterparty_cik, CAST(NULL AS VARCHAR) AS counterparty_name, CAST(NULL AS BIGINT) AS split_ratio_numerator,
+    CAST(NULL AS BIGINT) AS split_ratio_denominator, description FROM events""",
 )
 register(
     "corporate_events",
@@ -239,24 +253,23 @@ _REVENUE = f"""revenue AS (SELECT *, CAST(val AS DOUBLE) / 1e9 AS bn FROM facts
   QUALIFY ROW_NUMBER() OVER (PARTITION BY cik ORDER BY period_end DESC, filed DESC, accn DESC, val DESC) <= 5)"""
 register(
     "annual_revenue",
-    lambda spark, sf: fa.annual_revenue(v.facts(spark, sf), 5).drop("revenue_bn"),
+    lambda spark, sf: fa.annual_revenue(v.facts(spark, sf), 5),
     "facts",
-    f"""WITH {_REVENUE} SELECT cik, {d('period_end')} AS "end", {r('val')} AS val, form, {d('filed')} AS filed, frame FROM revenue""",
+    f"""WITH {_REVENUE} SELECT cik, {d('period_end')} AS "end", {r('val')} AS val, form, {d('filed')} AS filed, frame, {r('bn')} AS revenue_bn FROM revenue""",
 )
-_YEARS = list(range(1995, 2002))
 register(
     "revenue_by_year",
-    lambda spark, sf: fa.pivot_years(fa.annual_revenue(v.facts(spark, sf), 5).withColumn("revenue_k", F.col("revenue_bn") * 1e6), _YEARS, "revenue_k"),
+    lambda spark, sf: fa.pivot_years(fa.annual_revenue(v.facts(spark, sf), 5).withColumn("revenue_k", F.col("revenue_bn") * 1e6), "revenue_k"),
     "facts",
     f"""WITH {_REVENUE}, one AS (SELECT * FROM revenue QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, period_end ORDER BY filed DESC, bn DESC) = 1)
-    SELECT cik, {', '.join(f'{r(f"MAX(bn * 1e6) FILTER (year(period_end) = {y})")} AS "{y}"' for y in _YEARS)} FROM one GROUP BY 1""",
+    PIVOT (SELECT cik, year(period_end) AS y, {r('bn * 1e6')} AS k FROM one) ON y USING MAX(k) GROUP BY cik""",
 )
 register(
     "pilot_facts",
-    lambda spark, sf: fa.pilot_facts(v.facts(spark, sf)).drop("label"),
+    lambda spark, sf: fa.pilot_facts(v.facts(spark, sf)),
     "facts",
     f"""WITH x AS (SELECT *, {_KIND} AS kind FROM facts WHERE namespace IN ('us-gaap', 'ifrs-full') AND concept IN ({', '.join(repr(c) for c in PILOT_CONCEPTS)}))
-    SELECT cik, concept, unit, {d('period_end')} AS end_date, {r('val')} AS value, accn, form, {d('filed')} AS filed, kind AS period_type FROM x
+    SELECT cik, concept, concept AS label, unit, {d('period_end')} AS end_date, {r('CAST(val AS DECIMAL(38,4))')} AS value, accn, form, {d('filed')} AS filed, kind AS period_type FROM x
     WHERE kind IN ('annual', 'instant') AND (namespace = 'us-gaap' OR cik NOT IN (SELECT cik FROM x WHERE namespace = 'us-gaap' AND kind IN ('annual', 'instant')))""",
 )
 _MAPPING = ", ".join(f"('{n}', '{c}', '{col}', {i})" for col, choices in CONCEPT_COLUMNS.items() for i, (n, c) in enumerate(choices))
@@ -270,11 +283,11 @@ def _sql_column(c: str) -> str:
 _WIDE = f"""picked AS (SELECT f.*, col FROM facts f JOIN (VALUES {_MAPPING}) m(ns, co, col, prio) ON namespace = ns AND concept = co
   WHERE ({_KIND} = 'instant' AND form IN ('10-K', '10-K/A', '10-Q', '10-Q/A')) OR ({_KIND} = 'annual' AND form IN ('10-K', '10-K/A')) OR ({_KIND} = 'quarterly' AND form IN ('10-Q', '10-Q/A'))
   QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, period_end, form, col ORDER BY prio, filed DESC, accn DESC, val DESC, period_start DESC NULLS LAST) = 1),
-latest AS (SELECT cik, period_end, form, MAX(filed) AS filed_date FROM facts JOIN (VALUES {_MAPPING}) m(ns, co, col, prio) ON namespace = ns AND concept = co
+latest AS (SELECT cik, period_end, form, MAX(filed) AS filed_date, MAX({{'filed': filed, 'fy': fy, 'fp': fp}}) FILTER (fp IS NOT NULL) AS said FROM facts JOIN (VALUES {_MAPPING}) m(ns, co, col, prio) ON namespace = ns AND concept = co
   WHERE ({_KIND} = 'instant' AND form IN ('10-K', '10-K/A', '10-Q', '10-Q/A')) OR ({_KIND} = 'annual' AND form IN ('10-K', '10-K/A')) OR ({_KIND} = 'quarterly' AND form IN ('10-Q', '10-Q/A'))
   GROUP BY 1, 2, 3),
-wide AS (SELECT p.cik, p.period_end, MAX(period_start) AS period_start, p.form AS form_type, ANY_VALUE(l.filed_date) AS filed_date, year(p.period_end) AS fiscal_year,
-  CASE WHEN p.form IN ('10-K', '10-K/A') THEN 'FY' ELSE 'Q' || CAST(quarter(p.period_end) AS VARCHAR) END AS fiscal_period,
+wide AS (SELECT p.cik, p.period_end, MAX(period_start) AS period_start, p.form AS form_type, ANY_VALUE(l.filed_date) AS filed_date, COALESCE(ANY_VALUE(l.said).fy, year(p.period_end)) AS fiscal_year,
+  COALESCE(ANY_VALUE(l.said).fp, CASE WHEN p.form IN ('10-K', '10-K/A') THEN 'FY' ELSE 'Q' || CAST(quarter(p.period_end) AS VARCHAR) END) AS fiscal_period,
   CASE WHEN MIN(CASE WHEN namespace = 'ifrs-full' THEN 1 ELSE 0 END) = 1 THEN 'ifrs-full' ELSE 'us-gaap' END AS taxonomy,
   {', '.join(_sql_column(c) for c in CONCEPT_COLUMNS)}
   FROM picked p JOIN latest l ON p.cik = l.cik AND p.period_end = l.period_end AND p.form = l.form GROUP BY p.cik, p.period_end, p.form)"""
@@ -295,7 +308,8 @@ _STATEMENT_HEAD = f"""security_id, cik, ticker, company_name, exchange, fiscal_y
 
 
 def _sql_ratio(n: str, m: str, zero: str) -> str:
-    plain = f"ROUND(CAST({n} AS DOUBLE) / NULLIF(CAST({m} AS DOUBLE), 0), 6)"
+    exact = f"ROUND(CAST({n} AS DOUBLE) / NULLIF(CAST({m} AS DOUBLE), 0), 6)"
+    plain = f"CASE WHEN ABS({exact}) < 10000 THEN {exact} END"  # what the declared type can hold
     return plain if zero == "null" else f"CASE WHEN {m} = 0 THEN 0 ELSE {plain} END"
 
 
@@ -315,16 +329,45 @@ register(
     f"""WITH {_SILVER_FACTS} SELECT {_STATEMENT_HEAD}, fiscal_period FROM sf WHERE form_type IN ('10-Q', '10-Q/A')
     QUALIFY ROW_NUMBER() OVER (PARTITION BY security_id ORDER BY sf.period_end DESC, form_type) <= 8""",
 )
+def _flags_sql(gone: str, stale: str) -> str:
+    return f"""flags AS (SELECT cik, dereg IS NULL AND COALESCE(report >= DATE '2001-01-01', FALSE) AS active_flag,
+      CASE WHEN dereg IS NOT NULL THEN '{gone}' || dereg WHEN NOT COALESCE(report >= DATE '2001-01-01', FALSE) THEN '{stale}' END AS inactive_reason
+      FROM (SELECT cik, (list(form ORDER BY filing_date DESC, accession DESC) FILTER (form IN ('15', '15-12G', '15-12B', '15F-12G', '15F-12B')))[1] AS dereg,
+      MAX(filing_date) FILTER (form IN ('10-K', '10-Q', '10-K/A', '10-Q/A')) AS report FROM filings GROUP BY 1))"""
+
+
+_FLAGS = _flags_sql("deregistration_", "no_recent_10k_10q")
 _LAST = "(list({c} ORDER BY period_end DESC, filed_date DESC, form_type DESC) FILTER ({c} IS NOT NULL))[1]"
 register(
     "company_profile",
-    lambda spark, sf: fa.company_profile(_dim(spark, sf), _silver_filings(spark, sf), _silver_facts(spark, sf)),
+    lambda spark, sf: fa.company_profile(
+        _dim(spark, sf), _silver_filings(spark, sf), _silver_facts(spark, sf), _companies(spark, sf), en.active_flags(v.filings(spark, sf), AS_OF)
+    ),
     "facts filings tickers",
-    f"""WITH {_SILVER_FACTS}, d10 AS (SELECT cik, MAX(filing_date) FILTER (form = '10-K') AS k, MAX(filing_date) FILTER (form = '10-Q') AS q FROM filings GROUP BY 1),
+    f"""WITH {_SILVER_FACTS}, {_SENT}, {_FLAGS}, d10 AS (SELECT cik, MAX(filing_date) FILTER (form = '10-K') AS k, MAX(filing_date) FILTER (form = '10-Q') AS q FROM filings GROUP BY 1),
     fig AS (SELECT security_id, {', '.join(f'{_LAST.format(c=c)} AS {c}' for c in ('revenues', 'total_assets', 'shares_outstanding', 'eps_diluted'))} FROM sf GROUP BY 1)
-    SELECT dim.security_id, dim.cik, ticker, company_name, exchange, TRUE AS active_flag, {d('k')} AS latest_10k_date, {d('q')} AS latest_10q_date,
+    SELECT dim.security_id, dim.cik, ticker, company_name, exchange, sic, sic_description, state_of_incorporation, fiscal_year_end,
+    COALESCE(flags.active_flag, TRUE) AS active_flag, inactive_reason, {d('d10.k')} AS latest_10k_date, {d('q')} AS latest_10q_date,
     {r('revenues')} AS latest_revenues, {r('total_assets')} AS latest_total_assets, {r('shares_outstanding')} AS latest_shares_outstanding, {r('eps_diluted')} AS latest_eps_diluted
-    FROM dim LEFT JOIN d10 ON dim.cik = d10.cik LEFT JOIN fig ON dim.security_id = fig.security_id""",
+    FROM dim LEFT JOIN d10 ON dim.cik = d10.cik LEFT JOIN fig ON dim.security_id = fig.security_id LEFT JOIN sent ON sent.k = CAST(dim.cik AS BIGINT)
+    LEFT JOIN flags ON flags.cik = dim.cik""",
+)
+
+
+def _facts_upsert(spark, sf):
+    """Facts of the first form letters are loaded, then all facts come with doubled figures."""
+    facts = _silver_facts(spark, sf)
+    later = facts.withColumns({"revenues": F.col("revenues") * 2, "eps_diluted": F.lit(0).cast("decimal(14,4)")})
+    merged = layers.upsert_facts(facts.where("form_type like '10-K%'"), later)
+    return merged.select("security_id", "period_end", "form_type", "filed_date", "revenues", "total_assets", "eps_diluted")
+
+
+register(
+    "facts_upsert",
+    _facts_upsert,
+    "facts tickers",
+    f"""WITH {_SILVER_FACTS} SELECT security_id, {d('period_end')} AS period_end, form_type, {d('filed_date')} AS filed_date, {r('revenues * 2')} AS revenues,
+    {r('total_assets')} AS total_assets, CASE WHEN form_type LIKE '10-K%' THEN COALESCE({r('eps_diluted')}, 0) ELSE 0 END AS eps_diluted FROM sf""",
 )
 
 # --- enrichment
@@ -332,31 +375,18 @@ register(
 CONCEPTS = ["EntityCommonStockSharesOutstanding", "CommonStockSharesOutstanding"]
 _RESOLVED = """spelled AS (SELECT constituent_ticker, unnest([constituent_ticker, replace(constituent_ticker, ' ', '-'), replace(constituent_ticker, '.', '-'),
   replace(constituent_ticker, ' ', ''), replace(constituent_ticker, '.', ''), replace(constituent_ticker, ' ', '.')]) AS t, unnest([1, 2, 3, 4, 5, 6]) AS p FROM securities),
-hits AS (SELECT constituent_ticker, arg_min(lpad(CAST(cik AS VARCHAR), 10, '0'), p) AS cik FROM spelled JOIN tickers ON ticker = t GROUP BY 1),
+hits AS (SELECT constituent_ticker, arg_min(lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0'), p) AS cik FROM spelled JOIN tickers ON ticker = t GROUP BY 1),
 resolved AS (SELECT s.constituent_ticker, hits.cik FROM securities s LEFT JOIN hits ON s.constituent_ticker = hits.constituent_ticker)"""
 
 
 def _map(spark, sf):
-    return v.tickers(spark, sf).select("ticker", F.lpad(F.col("cik").cast("string"), 10, "0").alias("cik"))
+    return v.tickers(spark, sf).select("ticker", cik10("cik").alias("cik"))
 
 
 def _resolved(spark, sf):
     return en.resolve_cik(v.securities(spark, sf).select("constituent_ticker"), _map(spark, sf))
 
 
-def _companies(spark, sf):
-    parsed = raw.submission_faults(raw.parse_submissions(v.company_docs(spark, sf)))
-    return raw.flatten_submissions(parsed.where("fault IS NULL"))
-
-
-def _flags_sql(gone: str, stale: str) -> str:
-    return f"""flags AS (SELECT cik, dereg IS NULL AND COALESCE(report >= DATE '2001-01-01', FALSE) AS active_flag,
-      CASE WHEN dereg IS NOT NULL THEN '{gone}' || dereg WHEN NOT COALESCE(report >= DATE '2001-01-01', FALSE) THEN '{stale}' END AS inactive_reason
-      FROM (SELECT cik, (list(form ORDER BY filing_date DESC, accession DESC) FILTER (form IN ('15', '15-12G', '15-12B', '15F-12G', '15F-12B')))[1] AS dereg,
-      MAX(filing_date) FILTER (form IN ('10-K', '10-Q', '10-K/A', '10-Q/A')) AS report FROM filings GROUP BY 1))"""
-
-
-_FLAGS = _flags_sql("deregistration_", "no_recent_10k_10q")
 register(
     "enrichment_targets",
     lambda spark, sf: en.enrichment_targets(v.securities(spark, sf)).select("constituent_ticker"),
@@ -387,9 +417,9 @@ register(
     "facts securities tickers",
     f"WITH {_RESOLVED}, {_SHARES} SELECT constituent_ticker, shares_outstanding, {d('shares_as_of_date')} AS shares_as_of_date FROM shares",
 )
-_COMPANIES = f"""companies AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_name AS edgar_name, CAST(1000 + c_custkey % 12 * 100 AS VARCHAR) AS sic_code,
+_COMPANIES = f"""companies AS (SELECT lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 10) AS INTEGER), '0') AS cik, c_name AS edgar_name, CAST(1000 + c_custkey % 12 * 100 AS VARCHAR) AS sic_code,
   'Industry ' || CAST(c_custkey % 12 AS VARCHAR) AS sic_description, list_extract(['DE', 'NY', 'CA', 'TX', 'NV'], c_custkey % 5 + 1) AS state_of_inc,
-  lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, CASE WHEN c_custkey % 2 = 0 THEN 'operating' ELSE 'other' END AS entity_type,
+  lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 9) AS INTEGER), '0') AS ein, CASE WHEN c_custkey % 2 = 0 THEN 'operating' ELSE 'other' END AS entity_type,
   CASE WHEN t.exchange IS NULL OR t.exchange = 'CBOE' THEN 'CBOE' ELSE t.exchange || '|CBOE' END AS listed_exchanges,
   list_extract(['Large accelerated filer', 'Accelerated filer / Smaller reporting company', 'Non-accelerated filer'], c_custkey % 3 + 1) AS filer_category
   FROM customer JOIN tickers t ON t.cik = c_custkey WHERE c_custkey % 211 <> 7)"""

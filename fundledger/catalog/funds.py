@@ -114,9 +114,9 @@ register(
 )
 register(
     "largest_funds",
-    lambda spark, sf: top_n(_now(spark, sf).select("composite_ticker", F.substring("description", 1, 40).alias("description"), "issuer", "aum"), "aum", "composite_ticker", 15),
+    lambda spark, sf: top_n(_now(spark, sf).select("composite_ticker", "description", "issuer", "aum"), "aum", "composite_ticker", 15),
     "last_funds",
-    f"SELECT composite_ticker, left(description, 40) AS description, issuer, {r('aum')} AS aum FROM last_funds ORDER BY last_funds.aum DESC, composite_ticker LIMIT 15",
+    f"SELECT composite_ticker, description, issuer, {r('aum')} AS aum FROM last_funds ORDER BY last_funds.aum DESC, composite_ticker LIMIT 15",
 )
 register(
     "aum_card",
@@ -336,9 +336,13 @@ register(
 )
 register(
     "question_sector_exposure",
-    lambda spark, sf: top_n(_now(spark, sf).where("sector_exposure = 'Technology'").select("composite_ticker", "aum"), "aum", "composite_ticker", 10),
-    "last_funds",
-    f"SELECT composite_ticker, {r('aum')} AS aum FROM last_funds WHERE sector_exposure = 'Technology' ORDER BY last_funds.aum DESC NULLS LAST, composite_ticker LIMIT 10",
+    lambda spark, sf: top_n(
+        h.sector_exposure(s.at_latest(v.holdings(spark, sf)), v.securities(spark, sf)).where("sector = 'Industry 3'").select("composite_ticker", "weight"),
+        "weight", "composite_ticker", 10,
+    ),
+    "newest securities",
+    f"""SELECT composite_ticker, {r('SUM(weight)')} AS weight FROM newest SEMI JOIN (FROM securities WHERE sic_description = 'Industry 3') USING (constituent_ticker)
+    GROUP BY 1 ORDER BY SUM(weight) DESC NULLS LAST, composite_ticker LIMIT 10""",
 )
 register(
     "question_overlap_above",

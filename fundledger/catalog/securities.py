@@ -179,9 +179,9 @@ register(
 
 # --- places
 
-_ISO = ", ".join(f"('{a}', '{b}')" for a, b in (pair.split() for pair in COUNTRY_CODES.split(",")))
-_REGION = ", ".join(f"('{c}', '{name}')" for name, codes in REGIONS.items() for c in codes.split())
-_CENTRE = ", ".join(f"('{c}', {lon}, {lat})" for c, lon, lat in (e.split() for e in CENTROIDS.split(",")))
+_ISO = ", ".join(f"('{a}', '{b}')" for a, b in COUNTRY_CODES.items())
+_REGION = ", ".join(f"('{c}', '{name}')" for c, name in REGIONS.items())
+_CENTRE = ", ".join(f"('{c}', {lon}, {lat})" for c, (lon, lat) in CENTROIDS.items())
 register(
     "country_codes",
     lambda spark, sf: map_codes(v.securities(spark, sf).select("constituent_ticker", "country_of_exchange"), country_frame(spark), "country_of_exchange", default="Other"),
@@ -338,7 +338,9 @@ _ALERTS = f"""{_CHANGES}, sized AS (
   SELECT change AS type, composite_ticker AS fund, constituent_ticker AS security, as_of_date AS detected_on, COALESCE(weight_now, weight_before) AS size, 1.0 AS warn, 5.0 AS crit FROM changes
   UNION ALL SELECT 'aum_change', composite_ticker, NULL, as_of_date, pct, 25.0, 75.0 FROM (SELECT composite_ticker, as_of_date, CAST(aum - p AS DOUBLE) * 100 / NULLIF(CAST(ABS(p) AS DOUBLE), 0) AS pct
     FROM (SELECT *, LAG(aum) OVER (PARTITION BY composite_ticker ORDER BY as_of_date) AS p FROM funds)) WHERE ABS(pct) >= 25
-  UNION ALL SELECT 'inactive_security', composite_ticker, NULL, ANY_VALUE(as_of_date), SUM(weight), 1.0, 5.0 FROM newest
+  UNION ALL SELECT 'inactive_security', composite_ticker, constituent_ticker, as_of_date, weight, 1.0, 5.0 FROM newest
+    SEMI JOIN (FROM securities WHERE NOT active_flag) USING (constituent_ticker)
+  UNION ALL SELECT 'inactive_total', composite_ticker, NULL, ANY_VALUE(as_of_date), SUM(weight), 1.0, 5.0 FROM newest
     WHERE constituent_ticker IN (SELECT constituent_ticker FROM securities WHERE NOT active_flag) GROUP BY 2),
 found AS (SELECT type, CASE WHEN ABS(size) >= crit THEN 'critical' WHEN ABS(size) >= warn THEN 'warning' ELSE 'info' END AS severity, fund, security, detected_on, size FROM sized)"""
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fundledger.catalog import views as v
 from fundledger.catalog.filings import _INDEX, index_lines
 from fundledger.catalog.registry import d, r, register
-from fundledger.operators.counting import ratio_report, schema_rows, value_counts
+from fundledger.functions.keys import cik10
+from fundledger.operators.counting import ratio_report, value_counts
 from fundledger.operators.filings import daily_changes
 from fundledger.operators.funds import screen
 from fundledger.plans import layers as plans
@@ -20,8 +21,8 @@ from fundledger.session import scratch_path
 from fundledger.sources import layers, raw, schemas
 from fundledger.sources.layers import ensure_columns
 
-DAY, NEXT_DAY = "2024-01-25", "2024-01-26"
-_CIK = "lpad(CAST(c_custkey AS VARCHAR), 10, '0')"
+DAY, NEXT_DAY, STAMP = "2024-01-25", "2024-01-26", "2024-01-25 06:30:00"
+_CIK = "lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 10) AS INTEGER), '0')"
 
 # --- raw documents
 
@@ -30,7 +31,7 @@ register(
     "ticker_map_documents",
     lambda spark, sf: raw.ticker_map(v.ticker_map_docs(spark, sf)),
     "tickers",
-    "SELECT ticker, lpad(CAST(cik AS VARCHAR), 10, '0') AS cik FROM tickers",
+    "SELECT ticker, lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik FROM tickers",
 )
 
 
@@ -50,35 +51,35 @@ def _map_files(spark: SparkSession, sf: str) -> DataFrame:
     return raw.read_ticker_map(spark, path)
 
 
-register("ticker_map_files", _map_files, "tickers", "SELECT ticker, lpad(CAST(cik AS VARCHAR), 10, '0') AS cik FROM tickers")
+register("ticker_map_files", _map_files, "tickers", "SELECT ticker, lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik FROM tickers")
 
 
 INDEX_PAGE = 100_000
 
 
 def _index_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Index files of a year, each with its header and at most INDEX_PAGE orders, read back as text."""
+    """Index files of a day, each with its header and at most INDEX_PAGE orders, read back as text."""
     path = scratch_path(spark, "index")
     rows = index_lines(spark, sf).where("line >= 10").select(
-        F.substring("path", 1, 4).alias("year"),
+        F.col("path").alias("day"),
         F.lpad(F.floor((F.col("line") - 10) / INDEX_PAGE).cast("string"), 9, "0").alias("file"),
         "line",
         "value",
     )
     head = F.array(F.lit("Description: daily index"), F.lit("CIK|Company Name|Form Type|Date Filed|Filename"), F.lit("---|---|---"))
-    heads = rows.select("year", "file").distinct().select("year", "file", F.posexplode(head).alias("line", "value"))
+    heads = rows.select("day", "file").distinct().select("day", "file", F.posexplode(head).alias("line", "value"))
     lines = heads.withColumn("line", F.col("line").cast("long")).unionByName(rows)
-    ordered = lines.repartition("year", "file").sortWithinPartitions("year", "file", "line")
-    ordered.select("year", "file", "value").write.partitionBy("year", "file").text(path)
+    ordered = lines.repartition("day", "file").sortWithinPartitions("day", "file", "line")
+    ordered.select("day", "file", "value").write.partitionBy("day", "file").text(path)
     found = raw.read_daily_index(spark, path)
-    return daily_changes(found.withColumn("ingestion_date", F.substring("date_filed", 1, 4)))
+    return daily_changes(found.withColumn("ingestion_date", F.col("date_filed")))
 
 
 register(
     "index_files",
     _index_files,
     "filings",
-    f"""WITH {_INDEX}, firsts AS (SELECT year(filing_date) AS y, cik, form, MIN(o_orderkey) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3)
+    f"""WITH {_INDEX}, firsts AS (SELECT filing_date AS y, cik, form, MIN(o_orderkey) AS k, MIN(entity) AS entity FROM idx GROUP BY 1, 2, 3)
     SELECT CAST(y AS VARCHAR) AS ingestion_date, cik, MIN(entity) AS company_name, '["' || string_agg(form, '","' ORDER BY k) || '"]' AS forms_filed FROM firsts GROUP BY 1, 2""",
 )
 register(
@@ -105,11 +106,11 @@ register(
     '[]' AS "formerNames", list_extract(['Large accelerated filer', 'Accelerated filer<br>Smaller reporting company', 'Non-accelerated filer'], c_custkey % 3 + 1) AS category,
     CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS filing_files_count, CAST(NULL AS VARCHAR) AS addr_mailing_city,
     CAST(c_custkey AS VARCHAR) || ' Main St' AS addr_business_street1, list_extract(['DE', 'NY', 'CA', 'TX', 'NV'], c_custkey % 5 + 1) AS "addr_business_stateOrCountry",
-    lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS "addr_business_zipCode" FROM customer JOIN tickers ON cik = c_custkey WHERE c_custkey % 211 <> 7""",
+    lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 5) AS INTEGER), '0') AS "addr_business_zipCode" FROM customer JOIN tickers ON cik = c_custkey WHERE c_custkey % 211 <> 7""",
 )
 register(
     "submission_rejects",
-    lambda spark, sf: _parsed(spark, sf).where("fault IS NOT NULL").select(F.lpad(F.col("s.cik"), 10, "0").alias("cik"), "fault"),
+    lambda spark, sf: _parsed(spark, sf).where("fault IS NOT NULL").select(cik10("s.cik").alias("cik"), "fault"),
     "",
     f"SELECT {_CIK} AS cik, 'no name' AS fault FROM customer WHERE c_custkey % 211 = 7",
 )
@@ -120,11 +121,18 @@ register(
     "submission_filings",
     lambda spark, sf: raw.explode_filings(raw.parse_submissions(v.filing_docs(spark, sf))).select(*_FILING_COLUMNS),
     "filings",
-    f"SELECT {_FILING_HEAD} FROM filings",
+    f"SELECT {_FILING_HEAD} FROM filings WHERE CAST(cik AS BIGINT) % 97 <> 11",
+)
+register(
+    "uneven_filings",
+    lambda spark, sf: value_counts(raw.submission_faults(raw.parse_submissions(v.filing_docs(spark, sf))), "fault", null_label="none"),
+    "filings",
+    """SELECT CASE WHEN CAST(cik AS BIGINT) % 97 = 11 THEN 'filing arrays of unequal length' ELSE 'none' END AS fault, COUNT(*) AS n
+    FROM (SELECT DISTINCT cik, o_orderkey // 1000 AS page FROM filings) GROUP BY 1""",
 )
 
 
-def _with_pages(spark: SparkSession, sf: str, cap: int | None = None) -> DataFrame:
+def _with_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Each company's newest document as its recent filings, the rest as older pages."""
     docs = v.filing_docs(spark, sf)
     newest = docs.groupBy("cik").agg(F.max("page").alias("_last"))
@@ -133,34 +141,26 @@ def _with_pages(spark: SparkSession, sf: str, cap: int | None = None) -> DataFra
     recent = raw.explode_filings(raw.parse_submissions(docs.where("page = _last")))
     older = docs.where("page < _last")
     paged = raw.explode_filings(older.select("page", F.from_json("raw", schemas.SUBMISSION).alias("s")), ["page"])
-    return raw.union_filing_pages(recent, paged, cap)
+    return raw.union_filing_pages(recent, paged)
 
 
 register(
     "filing_pages",
     lambda spark, sf: _with_pages(spark, sf).select(*_FILING_COLUMNS),
     "filings",
-    f"SELECT {_FILING_HEAD} FROM filings",
-)
-register(
-    "filing_pages_capped",
-    lambda spark, sf: value_counts(_with_pages(spark, sf, cap=5), "cik"),
-    "filings",
-    """WITH p AS (SELECT cik, o_orderkey // 1000 AS page FROM filings), q AS (SELECT cik, page, MAX(page) OVER (PARTITION BY cik) AS last FROM p),
-    z AS (SELECT cik, page, last, DENSE_RANK() OVER (PARTITION BY cik ORDER BY page) AS k FROM q)
-    SELECT cik, COUNT(*) AS n FROM z WHERE page = last OR k <= 5 GROUP BY 1""",
+    f"SELECT {_FILING_HEAD} FROM filings WHERE CAST(cik AS BIGINT) % 97 <> 11",
 )
 register(
     "fact_documents",
-    lambda spark, sf: raw.explode_facts(v.fact_docs(spark, sf)).drop("label"),
+    lambda spark, sf: raw.explode_facts(v.fact_docs(spark, sf)),
     "facts",
-    f"""SELECT cik, entity_name, namespace, concept, unit, {d('period_end')} AS "end", {d('period_start')} AS start, {r('val')} AS val, accn, form, {d('filed')} AS filed, frame FROM facts""",
+    f"""SELECT cik, entity_name, namespace, concept, concept AS label, unit, fy, fp, {d('period_end')} AS "end", {d('period_start')} AS start, {r('val')} AS val, accn, form, {d('filed')} AS filed, frame FROM facts""",
 )
 register(
     "concept_documents",
-    lambda spark, sf: raw.explode_concept(v.concept_docs(spark, sf)).select("cik", "namespace", "concept", "val", "end", "form", "filed"),
+    lambda spark, sf: raw.explode_concept(v.concept_docs(spark, sf)).select("cik", "namespace", "concept", "val", "end", "form", "filed", "accn"),
     "facts",
-    f"""SELECT cik, namespace, concept, {r('val')} AS val, {d('period_end')} AS "end", form, {d('filed')} AS filed FROM facts WHERE unit = 'shares'""",
+    f"""SELECT cik, namespace, concept, {r('val')} AS val, {d('period_end')} AS "end", form, {d('filed')} AS filed, accn FROM facts WHERE unit = 'shares'""",
 )
 
 
@@ -253,13 +253,13 @@ def _layered(spark: SparkSession, sf: str) -> tuple[str, dict[str, DataFrame]]:
         layers.write_layer(df, root, "bronze", name, DAY)
     layers.gate(spark, root, DAY, list(bronze))
     read = {name: layers.read_layer(spark, root, "bronze", name, DAY).drop("ingestion_date") for name in bronze}
-    for name, df in plans.to_silver(read["tickers"], read["filings_index"], read["companyfacts"], DAY).items():
+    for name, df in plans.to_silver(read["tickers"], read["filings_index"], read["companyfacts"], DAY, stamp=STAMP).items():
         layers.write_layer(df, root, "silver", name, DAY, mode="overwrite_partition")
     silver = {
         name: layers.read_layer(spark, root, "silver", name, DAY).drop("snapshot_date")
         for name in ("dim_security", "filings_index", "financial_facts", "corporate_actions")
     }
-    gold = plans.to_gold(silver)
+    gold = plans.to_gold(silver, stamp=STAMP)
     for name, df in gold.items():
         layers.write_layer(df, root, "gold", name, DAY, mode="overwrite", sort_by=plans.GOLD_SORT[name])
     return root, gold
@@ -284,7 +284,7 @@ register(
     "gold_layer",
     _gold_counts,
     "filings facts tickers",
-    """WITH dim AS (SELECT lpad(CAST(cik AS VARCHAR), 10, '0') AS cik, exchange FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')),
+    """WITH dim AS (SELECT lpad(CAST(cik AS VARCHAR), CAST(greatest(length(CAST(cik AS VARCHAR)), 10) AS INTEGER), '0') AS cik, exchange FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')),
     kinds AS (SELECT *, CASE WHEN period_start IS NULL THEN 'instant' WHEN period_end - period_start BETWEEN 355 AND 375 THEN 'annual'
       WHEN period_end - period_start BETWEEN 85 AND 100 THEN 'quarterly' ELSE 'other' END AS kind FROM facts),
     wide AS (SELECT DISTINCT cik, period_end, form FROM kinds WHERE (kind = 'instant') OR (kind = 'annual' AND form IN ('10-K', '10-K/A')) OR (kind = 'quarterly' AND form IN ('10-Q', '10-Q/A'))),
@@ -341,10 +341,3 @@ def _loaded_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("load_new_files", _loaded_once, "filings", 'SELECT cik, accession AS "accessionNumber", form FROM filings')
-register(
-    "column_listing",
-    lambda spark, sf: schema_rows(v.table(spark, sf, "lineitem")),
-    "",
-    """SELECT CAST(ordinal_position - 1 AS BIGINT) AS position, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-    WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS data_type FROM information_schema.columns WHERE table_name = 'lineitem'""",
-)

@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 
 from fundledger.catalog import views as v
 from fundledger.catalog.registry import register
+from fundledger.functions.keys import cik10
 from fundledger.plans.layers import listed_only
 from fundledger.session import scratch_path
 from fundledger.streaming import jobs
 
-_ROWS = """lpad(CAST(event_id AS VARCHAR), 12, '0') AS accession_number, lpad(CAST(user_id AS VARCHAR), 10, '0') AS cik, event_type AS form_type,
+_ROWS = """lpad(CAST(event_id AS VARCHAR), CAST(greatest(length(CAST(event_id AS VARCHAR)), 12) AS INTEGER), '0') AS accession_number, lpad(CAST(user_id AS VARCHAR), CAST(greatest(length(CAST(user_id AS VARCHAR)), 10) AS INTEGER), '0') AS cik, event_type AS form_type,
     CAST(CAST(ts AS DATE) AS VARCHAR) AS filed_date, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item"""
 
 
 def _land(spark: SparkSession, sf: str, copies: int = 1) -> str:
-    """The events as a few files in time order, each event ``copies`` times."""
+    """The events as files, each event ``copies`` times."""
     path = scratch_path(spark, "landing")
     rows = v.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     for _ in range(copies - 1):
         rows = rows.unionByName(v.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")))
-    rows.repartitionByRange(4, "ts").write.parquet(path)
+    rows.write.parquet(path)
     return path
 
 
@@ -49,42 +50,31 @@ def _once(spark: SparkSession, sf: str) -> DataFrame:
 register("stream_once_per_accession", _once, "", f"SELECT {_ROWS} FROM events")
 
 
-def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Running counts: every micro-batch replaces the result, the last one is the answer."""
-    root, mark = scratch_path(spark, "daily"), scratch_path(spark, "mark")
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/version={number}")
-
-    jobs.run_batches(jobs.daily_forms(_filings(spark, sf, per_batch=2)), mark, keep, mode="complete")
-    return jobs.latest_version(spark, root).select("filed_date", "form_type", "filings")
+def _parts(spark: SparkSession, sf: str, name: str, reduce) -> DataFrame:
+    """Each micro-batch adds its own part; all parts together are the answer."""
+    root, mark = scratch_path(spark, name), scratch_path(spark, "mark")
+    jobs.run_batches(_filings(spark, sf, per_batch=2), mark, jobs.keep_parts(spark, root, reduce))
+    return jobs.read_parts(spark, root)
 
 
 register(
     "stream_daily_forms",
-    _daily,
+    lambda spark, sf: jobs.daily_forms(_parts(spark, sf, "daily", jobs.daily_parts)),
     "",
-    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS filed_date, event_type AS form_type, COUNT(*) AS filings FROM events GROUP BY 1, 2",
+    """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS filed_date, event_type AS form_type, COUNT(*) AS filings, COUNT(DISTINCT user_id) AS filers
+    FROM events GROUP BY 1, 2""",
 )
-
-
-def _companies(spark: SparkSession, sf: str) -> DataFrame:
-    root, mark = scratch_path(spark, "companies"), scratch_path(spark, "mark")
-    jobs.run_batches(_filings(spark, sf, per_batch=2), mark, jobs.upsert_batches(spark, root))
-    return jobs.latest_version(spark, root)
-
-
 register(
     "stream_upsert_companies",
-    _companies,
+    lambda spark, sf: jobs.merged_companies(_parts(spark, sf, "companies", jobs.seen_companies)),
     "",
-    """SELECT lpad(CAST(user_id AS VARCHAR), 10, '0') AS cik, CAST(MIN(CAST(ts AS DATE)) AS VARCHAR) AS first_seen_date,
+    """SELECT lpad(CAST(user_id AS VARCHAR), CAST(greatest(length(CAST(user_id AS VARCHAR)), 10) AS INTEGER), '0') AS cik, CAST(MIN(CAST(ts AS DATE)) AS VARCHAR) AS first_seen_date,
     CAST(MAX(CAST(ts AS DATE)) AS VARCHAR) AS last_seen_date FROM events GROUP BY 1""",
 )
 
 
 def _in_universe(spark: SparkSession, sf: str) -> DataFrame:
-    universe = listed_only(v.tickers(spark, sf)).select(F.lpad(F.col("cik").cast("string"), 10, "0").alias("cik"))
+    universe = listed_only(v.tickers(spark, sf)).select(cik10("cik").alias("cik"))
     table, mark = scratch_path(spark, "matched"), scratch_path(spark, "mark")
     jobs.run_to_table(jobs.in_universe(_filings(spark, sf), universe), table, mark)
     return spark.read.parquet(table).drop("ts")

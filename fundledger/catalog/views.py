@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundledger.functions.text import pad_zeros
+
 # Values of the views, shared by both sides.
 COUNTRIES = [
     "US", "CN", "JP", "IN", "KR", "HK", "TH", "CA", "TW", "GB", "AU", "DE", "SE",
@@ -55,11 +57,12 @@ def _pick(values: list[str], place: Column) -> Column:
 
 
 def _digits(c: str, n: int) -> Column:
-    return F.lpad(F.col(c).cast("string"), n, "0")
+    return pad_zeros(c, n)
 
 
 def _fund(c: str) -> Column:
-    return F.concat(F.lit("F"), _digits(c, 10))
+    suffix = F.when(F.col(c) % 7 == 3, ".A").when(F.col(c) % 7 == 5, " B").otherwise("")
+    return F.concat(F.lit("F"), _digits(c, 10), suffix)
 
 
 def _security(c: str) -> Column:
@@ -95,14 +98,17 @@ def _positions(spark: SparkSession, sf: str) -> DataFrame:
     positions = lines.groupBy("as_of_date", "l_suppkey", "l_partkey").agg(
         F.sum("price").alias("market_value"), F.sum("l_quantity").alias("shares_held")
     )
-    totals = lines.groupBy("as_of_date", "l_suppkey").agg(F.sum("price").alias("fund_value"))
-    return positions.join(totals, ["as_of_date", "l_suppkey"]).withColumns(
+    # Totals come from the positions, whose aggregation both sides share. Queries that take no weight
+    # need no totals: the left join on a unique key then drops out of their plan.
+    totals = positions.groupBy("as_of_date", "l_suppkey").agg(F.sum("market_value").alias("fund_value"))
+    return positions.join(totals, ["as_of_date", "l_suppkey"], "left").withColumns(
         {
             "composite_ticker": _fund("l_suppkey"),
             **_identity("l_partkey"),
-            "weight": F.lit(100.0)
-            * F.col("market_value").cast("double")
-            / F.col("fund_value").cast("double"),
+            "weight": F.when(
+                F.col("l_partkey") % 71 != 3,
+                F.lit(100.0) * F.col("market_value").cast("double") / F.col("fund_value").cast("double"),
+            ),
         }
     )
 
@@ -269,11 +275,13 @@ def _fact_rows(spark: SparkSession, sf: str) -> DataFrame:
         _pick([c[2] for c in CONCEPTS], concept).alias("unit"),
         end.cast("string").alias("end"),
         F.when(span != 0, F.date_sub(end, days).cast("string")).alias("start"),
-        F.col("l_extendedprice").cast("decimal(22,2)").alias("val"),
+        (F.col("l_extendedprice").cast("double") / F.when(F.col("l_partkey") % 29 == 5, 1e5).otherwise(1.0)).alias("val"),
         F.concat(_digits("o_custkey", 10), F.lit("-"), _digits("o_orderkey", 12)).alias("accn"),
         _pick(FACT_FORMS, F.col("l_orderkey") % 4).alias("form"),
         F.to_date("o_orderdate").cast("string").alias("filed"),
         F.when(span >= 3, F.concat(F.lit("CY"), F.year(end).cast("string"))).alias("frame"),
+        F.when(F.col("l_suppkey") % 11 != 0, F.year(end) + (F.col("o_custkey") % 3 == 0).cast("int")).alias("fy"),
+        F.when(F.col("l_suppkey") % 11 != 0, F.when(F.col("l_orderkey") % 4 % 2 == 0, "FY").otherwise(F.concat(F.lit("Q"), (F.col("o_custkey") % 4 + 1).cast("string")))).alias("fp"),
         F.col("o_orderkey").alias("_orderkey"),
         F.col("o_custkey").alias("_custkey"),
     )
@@ -309,6 +317,7 @@ def company_docs(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(1000) + key % 12 * 100).cast("string").alias("sic"),
         F.concat(F.lit("Industry "), (key % 12).cast("string")).alias("sicDescription"),
         _pick(STATES, key % 5).alias("stateOfIncorporation"),
+        F.concat(F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lit("28")).alias("fiscalYearEnd"),
         _digits("c_custkey", 9).alias("ein"),
         _pick(CATEGORIES, key % 3).alias("category"),
         F.array("ticker").alias("tickers"),
@@ -331,7 +340,11 @@ def filing_docs(spark: SparkSession, sf: str) -> DataFrame:
             F.sort_array(F.collect_list(F.struct("filingDate", "accessionNumber", *fields[2:])), asc=False).alias("f")
         )
     )
-    recent = F.struct(*[F.col(f"f.{n}").alias(n) for n in fields])
+    # Some companies send one item list too many: their arrays differ in length.
+    odd = F.col("cik").cast("bigint") % 97 == 11
+    columns = {n: F.col(f"f.{n}") for n in fields}
+    columns["items"] = F.when(odd, F.concat("f.items", F.array(F.lit("x")))).otherwise(F.col("f.items"))
+    recent = F.struct(*[c.alias(n) for n, c in columns.items()])
     doc = F.struct(
         F.col("cik"),
         F.concat(F.lit("Company "), "cik").alias("name"),
@@ -343,7 +356,7 @@ def filing_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def fact_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Company-facts documents of nested maps; one per company and page."""
-    entry = ["accn", "end", "start", "val", "form", "filed", "frame"]
+    entry = ["accn", "end", "start", "val", "fy", "fp", "form", "filed", "frame"]
     key = ["cik", "entity_name", "page"]
     rows = _fact_rows(spark, sf).withColumn("page", F.floor(F.col("_orderkey") / PAGE_ORDERS))
     units = rows.groupBy(*key, "namespace", "concept", "label", "unit").agg(
@@ -409,7 +422,11 @@ def _list(values: list[str]) -> str:
 
 
 def _sql_pad(c: str, n: int) -> str:
-    return f"lpad(CAST({c} AS VARCHAR), {n}, '0')"
+    return f"lpad(CAST({c} AS VARCHAR), CAST(greatest(length(CAST({c} AS VARCHAR)), {n}) AS INTEGER), '0')"
+
+
+def _sql_fund(k: str) -> str:
+    return f"'F' || {_sql_pad(k, 10)} || CASE {k} % 7 WHEN 3 THEN '.A' WHEN 5 THEN ' B' ELSE '' END"
 
 
 def _sql_identity(k: str) -> str:
@@ -426,9 +443,9 @@ _CUSIP = "CASE WHEN {k} % 3 = 0 THEN '' ELSE 'C' || CAST({k} AS VARCHAR) END AS
 SQL_VIEWS = {
     "lines": ((), """SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS as_of_date, l_suppkey, l_partkey,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS price, l_quantity FROM lineitem"""),
-    "positions": (("lines",), f"""SELECT p.*, t.fund_value, 'F' || {_sql_pad('p.l_suppkey', 10)} AS composite_ticker,
+    "positions": (("lines",), f"""SELECT p.*, t.fund_value, {_sql_fund('p.l_suppkey')} AS composite_ticker,
     {_sql_identity('p.l_partkey')}, {_CUSIP.format(k='p.l_partkey')},
-    100.0 * CAST(market_value AS DOUBLE) / CAST(fund_value AS DOUBLE) AS weight
+    CASE WHEN p.l_partkey % 71 <> 3 THEN 100.0 * CAST(market_value AS DOUBLE) / CAST(fund_value AS DOUBLE) END AS weight
     FROM (SELECT as_of_date, l_suppkey, l_partkey, SUM(price) AS market_value, SUM(l_quantity) AS shares_held FROM lines GROUP BY ALL) p
     JOIN (SELECT as_of_date, l_suppkey, SUM(price) AS fund_value FROM lines GROUP BY ALL) t
     ON p.as_of_date = t.as_of_date AND p.l_suppkey = t.l_suppkey"""),
@@ -440,7 +457,7 @@ SQL_VIEWS = {
     "best": (("holdings",), "SELECT as_of_date FROM holdings GROUP BY 1 ORDER BY COUNT(*) DESC, as_of_date DESC LIMIT 1"),
     "current": (("holdings", "best"), "SELECT * FROM holdings WHERE as_of_date = (SELECT as_of_date FROM best)"),
     "newest": (("holdings",), "SELECT * FROM holdings WHERE as_of_date = (SELECT MAX(as_of_date) FROM holdings)"),
-    "funds": (("lines",), f"""SELECT as_of_date, 'F' || {_sql_pad('s_suppkey', 10)} AS composite_ticker, s_name AS description, n_name AS issuer,
+    "funds": (("lines",), f"""SELECT as_of_date, {_sql_fund('s_suppkey')} AS composite_ticker, s_name AS description, n_name AS issuer,
     CASE WHEN s_suppkey % 4 = 0 THEN 'Fixed Income' WHEN s_suppkey % 4 = 1 THEN 'Alternatives' WHEN s_suppkey % 13 <> 2 THEN 'Equity' END AS asset_class,
     'CAT' || CAST(s_suppkey % 12 AS VARCHAR) AS category, r_name AS region,
     CASE s_suppkey % 3 WHEN 0 THEN 'Developed' WHEN 1 THEN 'Emerging' END AS development_class,
@@ -489,9 +506,11 @@ SQL_VIEWS = {
     list_extract({_list([c[2] for c in CONCEPTS])}, l_partkey % 14 + 1) AS unit,
     CAST(date_trunc('year', l_shipdate) AS DATE) AS period_end,
     CASE WHEN l_suppkey % 5 <> 0 THEN CAST(date_trunc('year', l_shipdate) AS DATE) - CASE l_suppkey % 5 WHEN 1 THEN 90 WHEN 2 THEN 270 ELSE 365 END END AS period_start,
-    CAST(l_extendedprice AS DECIMAL(22,2)) AS val, {_sql_pad('o_custkey', 10)} || '-' || {_sql_pad('o_orderkey', 12)} AS accn,
+    CAST(l_extendedprice AS DOUBLE) / CASE WHEN l_partkey % 29 = 5 THEN CAST(1e5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS val, {_sql_pad('o_custkey', 10)} || '-' || {_sql_pad('o_orderkey', 12)} AS accn,
     list_extract({_list(FACT_FORMS)}, o_orderkey % 4 + 1) AS form, CAST(o_orderdate AS DATE) AS filed,
-    CASE WHEN l_suppkey % 5 >= 3 THEN 'CY' || CAST(year(l_shipdate) AS VARCHAR) END AS frame
+    CASE WHEN l_suppkey % 5 >= 3 THEN 'CY' || CAST(year(l_shipdate) AS VARCHAR) END AS frame,
+    CASE WHEN l_suppkey % 11 <> 0 THEN CAST(year(l_shipdate) + CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) END AS fy,
+    CASE WHEN l_suppkey % 11 <> 0 THEN CASE WHEN o_orderkey % 4 % 2 = 0 THEN 'FY' ELSE 'Q' || CAST(o_custkey % 4 + 1 AS VARCHAR) END END AS fp
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
 }
 

@@ -13,8 +13,9 @@ QUARTER_DAYS = (85, 100)
 
 
 def iso_date(c: Column | str) -> Column:
-    """Date of an ISO text, null when it is not one."""
-    return as_column(c).try_cast("date")
+    """Date of a whole ISO text (``YYYY-MM-DD``), null when it is not one; dates pass through."""
+    text = as_column(c).cast("string")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).try_cast("date")
 
 
 def period_days(start: Column | str, end: Column | str) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fundledger.functions.text import as_column, blank_to_null
+from fundledger.functions.text import as_column, blank_to_null, pad_zeros
 
 
 def cik10(c: Column | str) -> Column:
-    """Company number as ten digits."""
-    return F.lpad(as_column(c).cast("string"), 10, "0")
+    """Company number with leading zeros up to ten digits; longer ones stay whole."""
+    return pad_zeros(c, 10)
 
 
 def cik_plain(c: Column | str) -> Column:
@@ -19,7 +19,7 @@ def cik_plain(c: Column | str) -> Column:
 
 
 def security_id(cik: Column | str, ticker_class: Column | str | None = None) -> Column:
-    """First 16 hex digits of the SHA-256 of ``<ten-digit cik>|<CLASS>``; no class is PRIMARY."""
+    """First 16 hex digits of the SHA-256 of ``<padded cik>|<CLASS>``; no class is PRIMARY."""
     share_class = (
         F.lit("PRIMARY")
         if ticker_class is None

@@ -17,6 +17,12 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.trim(as_column(c)), F.lit(""))
 
 
+def pad_zeros(c: Column | str, n: int) -> Column:
+    """Text of a number with leading zeros up to ``n`` characters; longer text is never cut."""
+    text = as_column(c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(n)), F.lit("0"))
+
+
 def clean_ticker(c: Column | str) -> Column:
     return F.upper(F.trim(as_column(c)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundledger.operators.securities import fund_inactive
+from fundledger.operators.securities import fund_inactive, inactive_with_funds
 from fundledger.operators.snapshots import at_latest, holding_changes
 
 # Thresholds of our own: change of assets in percent, weight of a position in percent.
@@ -31,7 +31,10 @@ def _severity(value, warn: float, critical: float):
 
 
 def alerts(holdings: DataFrame, funds: DataFrame, securities: DataFrame) -> DataFrame:
-    """All alerts of all funds: type, severity, fund, security where there is one, date and size."""
+    """All alerts of all funds: type, severity, fund, security where there is one, date and size.
+
+    An inactive security is one alert for each fund that holds it, beside each fund's total.
+    """
     changed = holding_changes(holdings).select(
         F.col("change").alias("type"),
         _severity(F.coalesce("weight_now", "weight_before"), WARN_WEIGHT, CRITICAL_WEIGHT).alias("severity"),
@@ -49,15 +52,24 @@ def alerts(holdings: DataFrame, funds: DataFrame, securities: DataFrame) -> Data
         F.col("change_pct").alias("size"),
     )
     current = at_latest(holdings)
-    gone = fund_inactive(current, securities).select(
+    held = inactive_with_funds(securities, holdings).where(F.col("composite_ticker").isNotNull())
+    each = held.select(
         F.lit("inactive_security").alias("type"),
+        _severity(F.col("weight"), WARN_WEIGHT, CRITICAL_WEIGHT).alias("severity"),
+        F.col("composite_ticker").alias("fund"),
+        F.col("constituent_ticker").alias("security"),
+        current.agg(F.max("as_of_date")).scalar().alias("detected_on"),
+        F.col("weight").alias("size"),
+    )
+    gone = fund_inactive(current, securities).select(
+        F.lit("inactive_total").alias("type"),
         _severity(F.col("inactive_weight"), WARN_WEIGHT, CRITICAL_WEIGHT).alias("severity"),
         F.col("composite_ticker").alias("fund"),
         F.lit(None).cast("string").alias("security"),
         current.agg(F.max("as_of_date")).scalar().alias("detected_on"),
         F.col("inactive_weight").alias("size"),
     )
-    return changed.unionByName(moved).unionByName(gone)
+    return changed.unionByName(moved).unionByName(each).unionByName(gone)
 
 
 def alert_counts(found: DataFrame) -> DataFrame:

@@ -205,12 +205,6 @@ def ratio_report(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), *[F.count_if(t).alias(k) for k, t in tests.items()])
 
 
-def schema_rows(df: DataFrame) -> DataFrame:
-    """Column names and types of a table, as a table."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
-
-
 def quality_report(
     df: DataFrame, name: str, required: list[str], keys: list[str]
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from fundledger.functions.codes import (
 from fundledger.functions.dates import ANNUAL_DAYS, fiscal_period, iso_date, period_days, period_type
 from fundledger.functions.numbers import half_up, safe_ratio
 from fundledger.operators.ranking import latest_per_key, top_per_group
+from fundledger.sources.layers import ensure_columns
 
 MONEY = "decimal(22,2)"
 PER_SHARE = "decimal(14,4)"
@@ -64,14 +65,17 @@ def first_per(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return top_per_group(df, keys, order, 1)
 
 
-def pivot_years(revenue: DataFrame, years: list[int], value: str = "revenue_bn") -> DataFrame:
-    """One row per company, one column per fiscal year (first row of a year wins by latest end)."""
+def pivot_years(revenue: DataFrame, value: str = "revenue_bn") -> DataFrame:
+    """One row per company, one column per year that occurs (first row of a year wins by latest end).
+
+    Spark looks the years up first, and refuses more than ``spark.sql.pivotMaxValues`` of them.
+    """
     rows = first_per(
         revenue.withColumn("_year", F.year(iso_date("end"))),
         ["cik", "_year"],
         [F.desc("end"), F.desc("filed"), F.desc(value)],
     )
-    return rows.groupBy("cik").pivot("_year", years).agg(F.first(value))
+    return rows.groupBy("cik").pivot("_year").agg(F.first(value))
 
 
 def pilot_facts(facts: DataFrame) -> DataFrame:
@@ -108,8 +112,10 @@ def financial_facts(facts: DataFrame) -> DataFrame:
     """Wide facts per company, period end and form: the first-choice concept's last filed value.
 
     Two aggregations with map-side combine: one per statement column, then the pivot over the fixed
-    twelve columns. An amendment replaces the values it states and leaves the others.
+    twelve columns. An amendment replaces the values it states and leaves the others. Fiscal year and
+    period are those the last filing reports; only where none does, the calendar's.
     """
+    facts = ensure_columns(facts, {"fy": "int", "fp": "string"})
     key = ["cik", "end", "form"]
     best = F.struct(-F.col("priority"), F.col("filed"), F.col("accn"), F.col("val"))
     chosen = (
@@ -122,6 +128,7 @@ def financial_facts(facts: DataFrame) -> DataFrame:
                 )
             ).alias("_top"),
             F.max("filed").alias("_filed"),
+            F.max(F.when(F.col("fp").isNotNull(), F.struct("filed", "fy", "fp"))).alias("_said"),
         )
     )
     columns = [
@@ -130,7 +137,7 @@ def financial_facts(facts: DataFrame) -> DataFrame:
     ]
     foreign = F.min(F.when(F.col("_top.namespace") == "ifrs-full", 1).otherwise(0))
     wide = chosen.groupBy(*key).agg(
-        F.max("_filed").alias("_filed"), F.max("_top.start").alias("_start"), foreign.alias("_foreign"), *columns
+        F.max("_filed").alias("_filed"), F.max("_said").alias("_said"), F.max("_top.start").alias("_start"), foreign.alias("_foreign"), *columns
     )
     end = iso_date("end")
     return wide.select(
@@ -139,8 +146,8 @@ def financial_facts(facts: DataFrame) -> DataFrame:
         iso_date("_start").alias("period_start"),
         F.col("form").alias("form_type"),
         iso_date("_filed").alias("filed_date"),
-        F.year(end).alias("fiscal_year"),
-        fiscal_period(F.lit(None).cast("string"), end, "form").alias("fiscal_period"),
+        F.coalesce("_said.fy", F.year(end)).alias("fiscal_year"),
+        F.coalesce("_said.fp", fiscal_period(F.lit(None).cast("string"), end, "form")).alias("fiscal_period"),
         F.when(F.col("_foreign") == 1, "ifrs-full").otherwise("us-gaap").alias("taxonomy"),
         *CONCEPT_COLUMNS,
     )
@@ -183,10 +190,14 @@ def statements_quarterly(silver: DataFrame, dim: DataFrame, n: int = 8) -> DataF
     )
 
 
-def company_profile(dim: DataFrame, filings: DataFrame, silver: DataFrame) -> DataFrame:
-    """One row per security: last yearly and quarterly report and the last known key figures.
+def company_profile(
+    dim: DataFrame, filings: DataFrame, silver: DataFrame, companies: DataFrame | None = None, flags: DataFrame | None = None
+) -> DataFrame:
+    """One row per security: what the company is, whether it is active, its last reports and key figures.
 
-    Filings and facts are reduced to one row per security before the join.
+    Filings and facts are reduced to one row per security before the join. ``companies`` are flattened
+    submissions and ``flags`` activity flags, one row per company each; without them their columns are
+    null, and the dimension's flag stands.
     """
     dates = filings.groupBy("security_id").agg(
         F.max(F.when(F.col("form_type") == "10-K", F.col("filed_date"))).alias("latest_10k_date"),
@@ -206,11 +217,17 @@ def company_profile(dim: DataFrame, filings: DataFrame, silver: DataFrame) -> Da
         last("shares_outstanding").alias("latest_shares_outstanding"),
         last("eps_diluted").alias("latest_eps_diluted"),
     )
-    return (
-        dim.select("security_id", "cik", "ticker", "company_name", "exchange", "active_flag")
-        .join(dates, "security_id", "left")
-        .join(figures, "security_id", "left")
-    )
+    base = dim.select("security_id", "cik", "ticker", "company_name", "exchange", F.col("active_flag").alias("_known"))
+    named = {"sic": "sic", "sicDescription": "sic_description", "stateOfIncorporation": "state_of_incorporation", "fiscalYearEnd": "fiscal_year_end"}
+    if companies is None:
+        base = base.withColumns({name: F.lit(None).cast("string") for name in named.values()})
+    else:
+        base = base.join(companies.select("cik", *[F.col(c).alias(n) for c, n in named.items()]), "cik", "left")
+    if flags is None:
+        base = base.withColumns({"active_flag": F.col("_known"), "inactive_reason": F.lit(None).cast("string")})
+    else:
+        base = base.join(flags.select("cik", "active_flag", "inactive_reason"), "cik", "left").withColumn("active_flag", F.coalesce("active_flag", "_known"))
+    return base.drop("_known").join(dates, "security_id", "left").join(figures, "security_id", "left")
 
 
 def concept_points(facts: DataFrame, unit: str = "shares") -> DataFrame:

@@ -75,6 +75,11 @@ def corporate_actions(filings: DataFrame) -> DataFrame:
         "accession_number",
         "form_type",
         "filed_date",
+        # The filing index doesn't say who the other party is, nor a split's ratio.
+        F.lit(None).cast("bigint").alias("counterparty_cik"),
+        F.lit(None).cast("string").alias("counterparty_name"),
+        F.lit(None).cast("int").alias("split_ratio_numerator"),
+        F.lit(None).cast("int").alias("split_ratio_denominator"),
         F.concat_ws(" ", "form_type", "items").alias("description"),
     )
 

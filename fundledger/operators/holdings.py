@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundledger.functions.text import fill_unknown
 from fundledger.operators.joining import join_keys
 from fundledger.operators.quantiles import with_quantiles
 from fundledger.operators.ranking import top_n, top_per_group
@@ -82,7 +83,6 @@ def asset_class_summary(funds: DataFrame, holdings: DataFrame) -> DataFrame:
             "median_expense_bps": ("net_expenses_bps", 0.5),
             "median_top10_weight": ("top10_weight", 0.5),
         },
-        settled=True,
     )
 
 
@@ -141,6 +141,13 @@ def country_slots(exposure: DataFrame, n: int = 15) -> DataFrame:
     return top_n(per_country, "total_slots", "country_of_exchange", n)
 
 
+def sector_exposure(holdings: DataFrame, securities: DataFrame) -> DataFrame:
+    """Weight of every fund by the industry of what it holds, as (fund, sector, weight)."""
+    sectors = securities.select("constituent_ticker", fill_unknown("sic_description").alias("sector"))
+    rows = holdings.select("composite_ticker", "constituent_ticker", "weight").join(sectors, "constituent_ticker", "left")
+    return rows.groupBy("composite_ticker", F.coalesce("sector", F.lit("Unknown")).alias("sector")).agg(F.sum("weight").alias("weight"))
+
+
 def exposure_breakdown(holdings: DataFrame, by: list[str]) -> DataFrame:
     """Weight of every fund by each of several dimensions, as (fund, dimension, label, weight)."""
     pairs = F.array(
@@ -153,14 +160,13 @@ def exposure_breakdown(holdings: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def fund_memberships(holdings: DataFrame, funds: DataFrame, latest: bool = True) -> DataFrame:
-    """Positions with what is known of the fund: its latest row, or every row it has.
+def fund_memberships(holdings: DataFrame, funds: DataFrame) -> DataFrame:
+    """Positions with what is known of the fund at the fund table's latest date.
 
-    A fund has one row at a date, so with ``latest`` no position is repeated. A fund with a third of
+    A fund has one row at a date, so no position is repeated. A fund with a third of
     all positions is split over tasks by the adaptive skew join.
     """
-    side = at_latest(funds) if latest else funds
-    facts = side.select(
+    facts = at_latest(funds).select(
         "composite_ticker",
         F.col("description").alias("fund_name"),
         "issuer",

@@ -29,31 +29,50 @@ def _pairs(funds: list[str]):
 
 
 def shared_weights(holdings: DataFrame, funds: list[str]) -> DataFrame:
-    """One row per security held by any of the chosen funds, with its weight in each (null: not held)."""
+    """One row per security held by any of the chosen funds.
+
+    ``held0``, ``w0``, ``held1``, ... say for the chosen funds in sorted order whether each holds it, and
+    with what weight; a held position may have a null weight. Tickers never become column names.
+    """
     names = sorted(set(funds))
-    return (
-        latest_positions(holdings.where(F.col("composite_ticker").isin(names)))
-        .groupBy("constituent_ticker")
-        .agg(*[F.max(F.when(F.col("composite_ticker") == f, F.col("weight"))).alias(f) for f in names])
+    cells = []
+    for i, fund in enumerate(names):
+        own = F.col("composite_ticker") == fund
+        cells += [F.max(own).alias(f"held{i}"), F.max(F.when(own, F.col("weight"))).alias(f"w{i}")]
+    return latest_positions(holdings.where(F.col("composite_ticker").isin(names))).groupBy("constituent_ticker").agg(*cells)
+
+
+def shared_holdings(holdings: DataFrame, fund_a: str, fund_b: str) -> DataFrame:
+    """Securities both funds hold, with the weight in either and the common weight."""
+    if fund_a == fund_b:
+        raise ValueError("compare two different funds")
+    swap = fund_a > fund_b
+    wide = shared_weights(holdings, [fund_a, fund_b]).where("held0 and held1")
+    a, b = ("w1", "w0") if swap else ("w0", "w1")
+    return wide.select(
+        "constituent_ticker", F.col(a).alias("weight_a"), F.col(b).alias("weight_b"), F.when(F.col("w0").isNotNull() & F.col("w1").isNotNull(), F.least("w0", "w1")).alias("common_weight")
     )
 
 
 def overlap(holdings: DataFrame, funds: list[str]) -> DataFrame:
     """For each pair of the chosen funds: shared securities, their weight in either fund, common weight."""
-    pairs = _pairs(funds)
+    pairs, names = _pairs(funds), sorted(set(funds))
     wide = shared_weights(holdings, funds)
     rows = F.array(
         *[
             F.struct(
                 F.lit(a).alias("fund_a"),
                 F.lit(b).alias("fund_b"),
-                F.col(a).alias("_wa"),
-                F.col(b).alias("_wb"),
+                F.col(f"held{names.index(a)}").alias("_ha"),
+                F.col(f"held{names.index(b)}").alias("_hb"),
+                F.col(f"w{names.index(a)}").alias("_wa"),
+                F.col(f"w{names.index(b)}").alias("_wb"),
             )
             for a, b in pairs
         ]
     )
-    both = F.col("_wa").isNotNull() & F.col("_wb").isNotNull()
+    both = F.col("_ha") & F.col("_hb")
+    known = both & F.col("_wa").isNotNull() & F.col("_wb").isNotNull()
     return (
         wide.select(F.inline(rows))
         .groupBy("fund_a", "fund_b")
@@ -61,9 +80,9 @@ def overlap(holdings: DataFrame, funds: list[str]) -> DataFrame:
             F.count_if(both).alias("overlap_count"),
             F.coalesce(F.sum(F.when(both, F.col("_wa"))), F.lit(0.0)).alias("overlap_weight_in_a"),
             F.coalesce(F.sum(F.when(both, F.col("_wb"))), F.lit(0.0)).alias("overlap_weight_in_b"),
-            F.coalesce(F.sum(F.when(both, F.least("_wa", "_wb"))), F.lit(0.0)).alias("overlap_by_weight"),
-            F.count_if(F.col("_wb").isNull() & F.col("_wa").isNotNull()).alias("only_in_a"),
-            F.count_if(F.col("_wa").isNull() & F.col("_wb").isNotNull()).alias("only_in_b"),
+            F.coalesce(F.sum(F.when(known, F.least("_wa", "_wb"))), F.lit(0.0)).alias("overlap_by_weight"),
+            F.count_if(F.col("_ha") & ~F.col("_hb")).alias("only_in_a"),
+            F.count_if(F.col("_hb") & ~F.col("_ha")).alias("only_in_b"),
         )
     )
 
@@ -82,10 +101,10 @@ def common_holdings(holdings: DataFrame, funds: list[str]) -> DataFrame:
 
 def only_in(holdings: DataFrame, fund: str, other: str) -> DataFrame:
     """Securities one fund holds and the other does not."""
-    wide = shared_weights(holdings, [fund, other])
-    return wide.where(F.col(fund).isNotNull() & F.col(other).isNull()).select(
-        "constituent_ticker", F.col(fund).alias("weight")
-    )
+    if fund == other:
+        raise ValueError("compare two different funds")
+    wide, i = shared_weights(holdings, [fund, other]), sorted([fund, other]).index(fund)
+    return wide.where(F.col(f"held{i}") & ~F.col(f"held{1 - i}")).select("constituent_ticker", F.col(f"w{i}").alias("weight"))
 
 
 def overlap_against(holdings: DataFrame, anchor: DataFrame) -> DataFrame:
@@ -106,7 +125,7 @@ def overlap_against(holdings: DataFrame, anchor: DataFrame) -> DataFrame:
             F.count("*").alias("overlap_count"),
             F.sum("weight").alias("weight_in_fund"),
             F.sum("_anchor").alias("weight_in_anchor"),
-            F.sum(F.least("weight", "_anchor")).alias("overlap_by_weight"),
+            F.sum(F.when(F.col("weight").isNotNull() & F.col("_anchor").isNotNull(), F.least("weight", "_anchor"))).alias("overlap_by_weight"),
         )
     )
 

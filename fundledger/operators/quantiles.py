@@ -3,7 +3,8 @@
 Spark's ``median``/``percentile`` keep every distinct value of a group in one aggregation
 buffer. Here the values are first counted in fine, value-ordered bins (a small result whatever
 the input), the bins that hold the wanted ranks are picked, and only the rows of those bins are
-ranked. A group that holds a third of all rows costs no more per task than any other.
+ranked. Bins and ranks read the values one after the other, so a costly input is written out
+once first, by the caller. A group that holds a third of all rows costs no more per task than any other.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from fundledger.operators.joining import join_keys
 
 BINS_PER_OCTAVE = 1024
-SMALL_TABLE = 100_000
 _LOWEST_OCTAVE = 1100
 
 
@@ -87,33 +87,14 @@ def quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str
     return ranked.groupBy(*by).agg(*out)
 
 
-def settled_quantiles(
-    df: DataFrame, by: list[str], wanted: dict[str, tuple[Column | str, float]]
-) -> DataFrame:
-    """``quantiles`` of a table that is already written out, whose size is cheap to look up.
-
-    Up to SMALL_TABLE rows one aggregation buffer holds them all and Spark's own percentile is used;
-    beyond that the ranks are found as above.
-    """
-    if df.limit(SMALL_TABLE + 1).count() > SMALL_TABLE:
-        return quantiles(df, by, wanted)
-    return df.groupBy(*by).agg(
-        *[F.percentile(F.col(v) if isinstance(v, str) else v, F.lit(p)).alias(name) for name, (v, p) in wanted.items()]
-    )
-
-
 def with_quantiles(
     summary: DataFrame,
     df: DataFrame,
     by: list[str],
     wanted: dict[str, tuple[Column | str, float]],
-    settled: bool = False,
 ) -> DataFrame:
-    """Add quantiles of ``df`` to a summary of the same groups; groups without values get nulls.
-
-    ``settled`` says that ``df`` is written out already (see ``settled_quantiles``).
-    """
-    found = (settled_quantiles if settled else quantiles)(df, by, wanted)
+    """Add quantiles of ``df`` to a summary of the same groups; groups without values get nulls."""
+    found = quantiles(df, by, wanted)
     if by:
         return join_keys(summary, found, by, "left")
     row = found.select(F.struct(*wanted)).scalar()

@@ -28,7 +28,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 def page(df: DataFrame, sort_by: str, key: str, ascending: bool = False, number: int = 1, size: int = 50) -> DataFrame:
     """One page of a sorted table, nulls last, ties by key; at most 200 rows a page."""
-    size = min(size, 200)
+    if not 0 < size <= 200 or number < 1:
+        raise ValueError("a page has 1 to 200 rows, and pages count from 1")
     first = F.asc_nulls_last(sort_by) if ascending else F.desc_nulls_last(sort_by)
     return df.orderBy(first, F.asc(key)).offset((number - 1) * size).limit(size)
 

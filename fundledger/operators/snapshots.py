@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundledger.functions.numbers import bucket, clip
 from fundledger.operators.joining import semi_join
-from fundledger.operators.quantiles import quantiles, settled_quantiles, with_quantiles
+from fundledger.operators.quantiles import quantiles, with_quantiles
 from fundledger.operators.ranking import top_per_group
 from fundledger.session import cut_lineage
 
@@ -50,6 +50,7 @@ def at_latest(table: DataFrame) -> DataFrame:
 
 def snapshot_overview(holdings: DataFrame) -> DataFrame:
     """Funds, securities, rows, mean and median weight of every snapshot."""
+    holdings = cut_lineage(holdings.select(*POSITION, "weight"))
     per_date = holdings.groupBy("as_of_date").agg(
         F.count_distinct("composite_ticker").alias("fund_count"),
         F.count_distinct("constituent_ticker").alias("security_count"),
@@ -112,9 +113,7 @@ def snapshot_trend(holdings: DataFrame, row_weighted: bool = False) -> DataFrame
             ["as_of_date", "composite_ticker"],
         )
     wanted = {"median_holdings": ("num_holdings", 0.5), "median_total_weight": ("total_weight", 0.5)}
-    if row_weighted:
-        return quantiles(steady, ["as_of_date"], wanted)
-    return settled_quantiles(steady, ["as_of_date"], wanted)
+    return quantiles(steady, ["as_of_date"], wanted)
 
 
 def first_last_delta(holdings: DataFrame) -> DataFrame:
@@ -170,8 +169,8 @@ def snapshot_calendar(holdings: DataFrame) -> DataFrame:
 def holding_changes(holdings: DataFrame) -> DataFrame:
     """Positions a fund took up or gave up between one snapshot and the next.
 
-    Every position votes +1 at its own date and -1 at the following one; what does not cancel is a
-    change. This is one aggregation on the position's key instead of a full join of two dates, and a
+    Every position is marked as present at its own date and at the following one; what bears only one
+    of the marks is a change, whatever its weight, null included. This is one aggregation on the position's key instead of a full join of two dates, and a
     fund missing from one of the two dates is not compared. The broadcast calendar has one row per
     date, so no more rows than the years covered have days.
     """
@@ -179,13 +178,11 @@ def holding_changes(holdings: DataFrame) -> DataFrame:
     follow = calendar.where(F.col("previous_date").isNotNull()).select(
         F.col("previous_date").alias("as_of_date"), F.col("as_of_date").alias("_next")
     )
+    none, no = F.lit(None).cast("double"), F.lit(0)
     rows = holdings.select(*POSITION, "weight")
-    now = rows.withColumn("_was", F.lit(None).cast("double")).withColumnRenamed("weight", "_is")
-    before = (
-        rows.join(F.broadcast(follow), "as_of_date")
-        .drop("as_of_date")
-        .withColumnsRenamed({"_next": "as_of_date", "weight": "_was"})
-        .withColumn("_is", F.lit(None).cast("double"))
+    now = rows.select(*POSITION, F.col("weight").alias("_is"), none.alias("_was"), F.lit(1).alias("_now"), no.alias("_before"))
+    before = rows.join(F.broadcast(follow), "as_of_date").select(
+        F.col("_next").alias("as_of_date"), *POSITION[1:], none.alias("_is"), F.col("weight").alias("_was"), no.alias("_now"), F.lit(1).alias("_before")
     )
     both = now.unionByName(before)
     seen = holdings.select("as_of_date", "composite_ticker").distinct()
@@ -196,8 +193,14 @@ def holding_changes(holdings: DataFrame) -> DataFrame:
     )
     changed = (
         both.groupBy(*POSITION)
-        .agg(F.max("_is").alias("weight_now"), F.max("_was").alias("weight_before"))
-        .where(F.col("weight_now").isNull() | F.col("weight_before").isNull())
-        .withColumn("change", F.when(F.col("weight_before").isNull(), "new_holding").otherwise("dropped_holding"))
+        .agg(
+            F.max("_is").alias("weight_now"),
+            F.max("_was").alias("weight_before"),
+            F.max("_now").alias("_now"),
+            F.max("_before").alias("_before"),
+        )
+        .where(F.col("_now") != F.col("_before"))
+        .withColumn("change", F.when(F.col("_now") == 1, "new_holding").otherwise("dropped_holding"))
+        .drop("_now", "_before")
     )
     return semi_join(changed, compared, ["as_of_date", "composite_ticker"])

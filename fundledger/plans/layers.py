@@ -23,7 +23,7 @@ from fundledger.operators.filings import (
 from fundledger.sources.layers import upsert
 
 # Columns of the security dimension that a new day may change.
-DIM_UPDATES = ["company_name", "exchange", "last_seen_date"]
+DIM_UPDATES = ["company_name", "exchange", "sic", "entity_type", "last_seen_date", "updated_at"]
 
 
 def listed_only(tickers: DataFrame) -> DataFrame:
@@ -31,11 +31,19 @@ def listed_only(tickers: DataFrame) -> DataFrame:
     return tickers.where(F.col("exchange").isin(LISTED_EXCHANGES))
 
 
-def dim_security(tickers: DataFrame, date: str, previous: DataFrame | None = None, classes: bool = False) -> DataFrame:
+def dim_security(
+    tickers: DataFrame,
+    date: str,
+    previous: DataFrame | None = None,
+    classes: bool = False,
+    companies: DataFrame | None = None,
+    stamp: str | None = None,
+) -> DataFrame:
     """The security dimension as of a day: one row per company, or per company and share class.
 
-    With the previous version given, names, exchanges and the last-seen date move on, the first-seen
-    date stays, and companies no longer listed are kept.
+    ``companies`` (flattened submissions) gives industry and entity type, ``stamp`` the time of the run.
+    With the previous version given, names, exchanges, the last-seen date and the update stamp move on,
+    the first-seen date and the creation stamp stay, and companies no longer listed are kept.
     """
     share_class = F.when(class_place("ticker").isNotNull(), F.element_at(F.split(F.upper("ticker"), r"[ .\-]"), -1))
     rows = listed_only(tickers).select(
@@ -48,18 +56,32 @@ def dim_security(tickers: DataFrame, date: str, previous: DataFrame | None = Non
         F.lit(True).alias("active_flag"),
         F.lit(date).cast("date").alias("first_seen_date"),
         F.lit(date).cast("date").alias("last_seen_date"),
+        F.lit(stamp).cast("timestamp_ntz").alias("created_at"),
+        F.lit(stamp).cast("timestamp_ntz").alias("updated_at"),
     )
+    if companies is None:
+        rows = rows.withColumns({"sic": F.lit(None).cast("string"), "entity_type": F.lit(None).cast("string")})
+    else:
+        rows = rows.join(companies.select("cik", "sic", F.col("entityType").alias("entity_type")), "cik", "left")
     today = rows.groupBy("security_id").agg(
         F.min_by(F.struct(*[c for c in rows.columns if c != "security_id"]), "ticker").alias("_r")
     ).select("security_id", "_r.*")
     if previous is None:
         return today
-    return upsert(previous, today, ["security_id"], DIM_UPDATES, keep=("first_seen_date",))
+    return upsert(previous, today, ["security_id"], DIM_UPDATES, keep=("first_seen_date", "created_at"))
 
 
-def to_silver(tickers: DataFrame, filings: DataFrame, facts: DataFrame, date: str, previous: DataFrame | None = None) -> dict[str, DataFrame]:
+def to_silver(
+    tickers: DataFrame,
+    filings: DataFrame,
+    facts: DataFrame,
+    date: str,
+    previous: DataFrame | None = None,
+    companies: DataFrame | None = None,
+    stamp: str | None = None,
+) -> dict[str, DataFrame]:
     """All silver tables of a day from its bronze tables."""
-    dim = dim_security(tickers, date, previous)
+    dim = dim_security(tickers, date, previous, companies=companies, stamp=stamp)
     indexed = silver_filings(filings, dim)
     return {
         "dim_security": dim,
@@ -69,17 +91,31 @@ def to_silver(tickers: DataFrame, filings: DataFrame, facts: DataFrame, date: st
     }
 
 
-def to_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All gold tables from the silver tables."""
+# What one filing's facts replace, and the columns of it that a later load may change.
+FACT_KEY = ["security_id", "period_end", "form_type"]
+FACT_UPDATES = ["filed_date", "revenues", "net_income", "total_assets", "stockholders_equity"]
+
+
+def upsert_facts(target: DataFrame, source: DataFrame, update: list[str] | None = None) -> DataFrame:
+    """Silver facts with the later load's figures: matched rows change some columns, new rows are added."""
+    return upsert(target, source, FACT_KEY, FACT_UPDATES if update is None else update)
+
+
+def to_gold(
+    silver: dict[str, DataFrame], companies: DataFrame | None = None, flags: DataFrame | None = None, stamp: str | None = None
+) -> dict[str, DataFrame]:
+    """All gold tables from the silver tables, stamped with the time of the run."""
     dim, filings = silver["dim_security"], silver["filings_index"]
     facts, actions = silver["financial_facts"], silver["corporate_actions"]
-    return {
+    gold = {
         "financial_statements_annual": statements_annual(facts, dim),
         "financial_statements_quarterly": statements_quarterly(facts, dim),
-        "company_profile": company_profile(dim, filings, facts),
+        "company_profile": company_profile(dim, filings, facts, companies, flags),
         "filing_catalog": filing_catalog(filings, dim),
         "corporate_events": corporate_events(actions, dim),
     }
+    refreshed = F.lit(stamp).cast("timestamp_ntz")
+    return {name: table.withColumn("refreshed_at", refreshed) for name, table in gold.items()}
 
 
 # How gold files are clustered.

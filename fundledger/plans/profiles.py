@@ -26,10 +26,9 @@ def security_profiles(securities: DataFrame, holdings: DataFrame, funds: DataFra
     return securities.join(exposure, "constituent_ticker", "left").fillna(0, subset=["fund_count"])
 
 
-def fund_positions(holdings: DataFrame, name_length: int = 35) -> DataFrame:
+def fund_positions(holdings: DataFrame) -> DataFrame:
     """Current positions of every fund as its page lists them."""
     return at_latest(holdings).select(
         "composite_ticker", "constituent_ticker",
-        F.substring("constituent_name", 1, name_length).alias("constituent_name"),
-        F.round("weight", 4).alias("weight"), "market_value", "shares_held",
+        "constituent_name", "weight", "market_value", "shares_held",
     )

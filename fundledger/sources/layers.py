@@ -19,6 +19,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Write an empty marker file; names that begin with an underscore are not data to Spark."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def read_layer(
     spark: SparkSession, root: str, layer: str, dataset: str, date: str | None = None
 ) -> DataFrame:
@@ -39,13 +46,14 @@ def write_layer(
 ) -> bool:
     """Write one date of a dataset as Snappy Parquet; True when rows were written.
 
-    ``skip`` leaves a date that is there alone (bronze), ``overwrite_partition`` replaces that date
+    ``skip`` leaves a date alone once it has been loaded whole, which a marker beside it says (bronze), ``overwrite_partition`` replaces that date
     only (silver), ``overwrite`` replaces the dataset (gold). ``sort_by`` clusters the files by
     range, so later filters skip most of them.
     """
     path = _path(root, layer, dataset)
     column = PARTITION[layer]
-    if mode == "skip" and exists(df.sparkSession, f"{path}/{column}={date}"):
+    done = f"{path}/_loaded-{date}"
+    if mode == "skip" and exists(df.sparkSession, done):
         return False
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
@@ -57,7 +65,9 @@ def write_layer(
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if mode == "skip":
-        writer.mode("append").parquet(path)
+        # A date without its marker is a load that broke off: it is written anew as a whole.
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+        mark(df.sparkSession, done)
     elif mode == "overwrite_partition":
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     elif mode == "overwrite":
@@ -108,10 +118,10 @@ def upsert(
     Columns outside ``update`` keep the target's value where there is one; ``keep`` names columns
     that must not change even when null. Both sides have one row per key.
     """
-    new = source.withColumnsRenamed({c: f"_new_{c}" for c in source.columns})
+    new = source.withColumnsRenamed({c: f"_new_{c}" for c in source.columns}).withColumn("_arrived", F.lit(True))
     on = [target[k].eqNullSafe(new[f"_new_{k}"]) for k in keys]
     joined = target.withColumn("_old", F.lit(True)).join(new, on, "full_outer")
-    known, arrived = F.col("_old").isNotNull(), F.col(f"_new_{keys[0]}").isNotNull()
+    known, arrived = F.col("_old").isNotNull(), F.col("_arrived").isNotNull()
 
     def value(c: str):
         if f"_new_{c}" not in joined.columns:
@@ -130,14 +140,10 @@ def load_new_files(
 ) -> DataFrame:
     """Append files of ``source`` that were not loaded before to ``target``, and return ``target``.
 
-    The checkpoint is the load history: a rerun finds nothing to do. Columns are matched by name
-    and unreadable files are passed over.
+    The checkpoint is the load history: a rerun finds nothing to do. Columns are matched by name. A
+    file that cannot be read fails the load, and the run after it is mended goes on from there.
     """
-    stream = (
-        spark.readStream.schema(schema)
-        .option("ignoreCorruptFiles", True)
-        .parquet(source)
-    )
+    stream = spark.readStream.schema(schema).parquet(source)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

@@ -6,7 +6,7 @@ number of documents is spread over the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -157,6 +157,7 @@ def flatten_submissions(parsed: DataFrame) -> DataFrame:
 def explode_filings(parsed: DataFrame, also: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """One row per filing from the parallel arrays; an absent or empty array is a column of nulls.
 
+    A record whose arrays differ in length gives no rows: ``submission_faults`` reports it.
     ``also`` names columns of the input to keep beside the filing's own.
     """
     recent = F.col("s.filings.recent")
@@ -164,7 +165,8 @@ def explode_filings(parsed: DataFrame, also: tuple[str, ...] | list[str] = ()) -
         F.coalesce(recent.getField(f), F.array().cast(f"array<{schemas.filing_type(f)}>")).alias(f)
         for f in schemas.FILING_FIELDS
     ]
-    zipped = parsed.select(*also, F.col("s.cik").alias("_cik"), *arrays).select(
+    even = F.size(_lengths(recent)) <= 1
+    zipped = parsed.where(F.coalesce(even, F.lit(False))).select(*also, F.col("s.cik").alias("_cik"), *arrays).select(
         *also, "_cik", F.posexplode(F.arrays_zip(*schemas.FILING_FIELDS)).alias("position", "_f")
     )
     return zipped.select(
@@ -172,14 +174,8 @@ def explode_filings(parsed: DataFrame, also: tuple[str, ...] | list[str] = ()) -
     )
 
 
-def union_filing_pages(recent: DataFrame, pages: DataFrame, cap: int | None = None) -> DataFrame:
-    """Recent filings with those of older pages; ``cap`` keeps only that many pages per company.
-
-    By default every page is read. Missing columns are null.
-    """
-    if cap is not None:
-        order = F.dense_rank().over(Window.partitionBy("cik").orderBy("page"))
-        pages = pages.withColumn("_page", order).where(F.col("_page") <= cap).drop("_page")
+def union_filing_pages(recent: DataFrame, pages: DataFrame) -> DataFrame:
+    """Recent filings with those of all older pages. Missing columns are null."""
     return recent.unionByName(pages.drop("page"), allowMissingColumns=True)
 
 
@@ -200,7 +196,7 @@ def explode_facts(docs: DataFrame) -> DataFrame:
         "cik", "entity_name", "namespace", "concept", "label", "unit", F.inline("_entries")
     ).select(
         "cik", "entity_name", "namespace", "concept", "label", "unit",
-        "end", "start", "val", "accn", "form", "filed", "frame",
+        "end", "start", "val", "accn", "fy", "fp", "form", "filed", "frame",
     )
 
 

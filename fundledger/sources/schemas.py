@@ -77,7 +77,7 @@ SUBMISSION = ", ".join(
         f"filings struct<recent: struct<{_RECENT}>, files: array<struct<name: string, filingCount: bigint, filingFrom: string, filingTo: string>>>",
     ]
 )
-_ENTRY = "accn: string, `end`: string, start: string, val: decimal(38,4), form: string, filed: string, frame: string"
+_ENTRY = "accn: string, `end`: string, start: string, val: double, fy: int, fp: string, form: string, filed: string, frame: string"
 COMPANY_FACTS = (
     "cik bigint, entityName string, facts map<string, map<string, struct<label: string, "
     f"description: string, units: map<string, array<struct<{_ENTRY}>>>>>>"

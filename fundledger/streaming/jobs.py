@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundledger.functions.keys import cik10
+from fundledger.functions.text import pad_zeros
 from fundledger.sources.layers import exists
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -41,8 +43,8 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
 def to_filings(events: DataFrame) -> DataFrame:
     """Filing events as silver rows."""
     return events.select(
-        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("accession_number"),
-        F.lpad(F.col("user_id").cast("string"), 10, "0").alias("cik"),
+        pad_zeros("event_id", 12).alias("accession_number"),
+        cik10("user_id").alias("cik"),
         F.col("event_type").alias("form_type"),
         F.to_date("ts").alias("filed_date"),
         F.get_json_object("props", "$.k").cast("bigint").alias("item"),
@@ -55,15 +57,15 @@ def once_per_accession(filings: DataFrame, late: str = "1 day") -> DataFrame:
     return filings.withWatermark("ts", late).dropDuplicatesWithinWatermark(["accession_number"])
 
 
-def daily_forms(filings: DataFrame, late: str = "1 day") -> DataFrame:
-    """Filings and (approximate) distinct filers per day and form."""
-    day = F.window("ts", "1 day")
-    return (
-        filings.withWatermark("ts", late)
-        .groupBy(day, "form_type")
-        .agg(F.count("*").alias("filings"), F.approx_count_distinct("cik").alias("filers"))
-        .select(F.to_date("window.start").alias("filed_date"), "form_type", "filings", "filers")
-    )
+def daily_parts(batch: DataFrame) -> DataFrame:
+    """A batch's filings per day, form and filer."""
+    return batch.groupBy("filed_date", "form_type", "cik").agg(F.count("*").alias("filings"))
+
+
+def daily_forms(parts: DataFrame) -> DataFrame:
+    """Filings and distinct filers per day and form, from the parts of all batches."""
+    filers = parts.groupBy("filed_date", "form_type", "cik").agg(F.sum("filings").alias("filings"))
+    return filers.groupBy("filed_date", "form_type").agg(F.sum("filings").alias("filings"), F.count("*").alias("filers"))
 
 
 def in_universe(filings: DataFrame, universe: DataFrame) -> DataFrame:
@@ -78,29 +80,44 @@ def seen_companies(batch: DataFrame) -> DataFrame:
     )
 
 
-def upsert_batches(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
-    """A batch handler that merges companies into a versioned table below ``root``.
+def keep_parts(spark: SparkSession, root: str, reduce: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A batch handler that writes each batch's reduced rows once, below ``root``.
 
-    Version n+1 is written from version n, so a batch that is replayed after a failure rewrites the
-    same version and ends with the same rows.
+    Nothing that is there is read or rewritten, so a batch costs its own rows only and no state grows. A
+    batch replayed after a failure replaces its own part. A folder with parts of later batches belongs
+    to another checkpoint, and one that lacks an earlier part has lost history: both raise an error.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        fresh = seen_companies(batch)
-        before = f"{root}/version={number - 1}"
-        if number > 0 and exists(spark, before):
-            together = spark.read.parquet(before).unionByName(fresh)
-            fresh = together.groupBy("cik").agg(
-                F.min("first_seen_date").alias("first_seen_date"),
-                F.max("last_seen_date").alias("last_seen_date"),
-            )
-        fresh.write.mode("overwrite").parquet(f"{root}/version={number}")
-
-    return merge
-
-
-def latest_version(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a versioned table."""
-    versions = spark.read.option("basePath", root).parquet(root)
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    def keep(batch: DataFrame, number: int) -> None:
+        there = part_numbers(spark, root)
+        if any(n > number for n in there):
+            raise RuntimeError(f"{root} holds parts of another checkpoint; use a new folder")
+        if [n for n in range(number) if n not in there]:
+            raise RuntimeError(f"{root} lacks a part before {number}: its history is gone")
+        reduce(batch).write.mode("overwrite").parquet(f"{root}/part={number}")
+
+    return keep
+
+
+def part_numbers(spark: SparkSession, root: str) -> set[int]:
+    """Parts that were written whole."""
+    if not exists(spark, root):
+        return set()
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [e.getPath().getName() for e in entries]
+    found = {int(n.removeprefix("part=")) for n in names if n.startswith("part=")}
+    return {n for n in found if exists(spark, f"{root}/part={n}/_SUCCESS")}
+
+
+def read_parts(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all parts."""
+    return spark.read.option("basePath", root).parquet(*[f"{root}/part={n}" for n in sorted(part_numbers(spark, root))]).drop("part")
+
+
+def merged_companies(parts: DataFrame) -> DataFrame:
+    """Each company's first and last day over all parts."""
+    return parts.groupBy("cik").agg(
+        F.min("first_seen_date").alias("first_seen_date"), F.max("last_seen_date").alias("last_seen_date")
+    )

@@ -53,8 +53,8 @@ def test_period_bounds(spark, days, kind):
 
 
 def test_period_without_start_or_with_bad_dates(spark):
-    rows = [(None, "2020-01-01"), ("x", "2020-01-01"), ("2020-13-45", "2020-01-01")]
-    assert values(spark, dates.period_type("s", "e"), rows, "s string, e string") == ["instant", "other", "other"]
+    rows = [(None, "2020-01-01"), ("x", "2020-01-01"), ("2020-13-45", "2020-01-01"), ("2019", "2020"), ("2019-03", "2020-03-01")]
+    assert values(spark, dates.period_type("s", "e"), rows, "s string, e string") == ["instant", "other", "other", "other", "other"]
 
 
 def test_half_up(spark):
@@ -108,3 +108,17 @@ def test_map_codes_keeps_unmatched_rows(spark):
     rows = spark.createDataFrame([("US",), ("??",), (None,)], "country string")
     got = {r.country: r.iso3 for r in map_codes(rows, country_frame(spark), "country", default="none").collect()}
     assert got == {"US": "USA", "??": "none", None: "none"}
+
+
+def test_long_numbers_are_never_cut(spark):
+    rows = [(15000000001,), (15000000009,), (7,)]
+    assert values(spark, keys.cik10("c"), rows, "c long") == ["15000000001", "15000000009", "0000000007"]
+    assert len(set(values(spark, keys.security_id("c"), rows, "c long"))) == 3
+
+
+def test_code_tables_by_literal_values(spark):
+    rows = spark.createDataFrame([("BE",), ("US",), ("JP",)], "country string")
+    centre = {r.country: (r.lon, r.lat) for r in map_codes(rows, centroid_frame(spark), "country").collect()}
+    assert centre == {"BE": (4.0, 51.0), "US": (-95.0, 38.0), "JP": (138.0, 36.0)}
+    region = {r.country: r.world_region for r in map_codes(rows, region_frame(spark), "country").collect()}
+    assert region == {"BE": "Europe", "US": None, "JP": "Asia"}

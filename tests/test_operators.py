@@ -280,3 +280,41 @@ def test_duplicates_are_reported(spark):
     assert rows_of(counting.duplicate_keys(df, ["k"])) == [(1, 2)]
     with pytest.raises(ValueError):
         counting.assert_unique(df, ["k"])
+
+
+def test_null_weights_are_holdings_too(spark):
+    rows = [("2024-01-01", "F.A", "X", None), ("2024-01-01", "F.A", "Y", 1.0), ("2024-01-01", "F B", "X", 2.0), ("2024-01-01", "F B", "Z", None),
+            ("2023-01-01", "F.A", "X", None), ("2023-01-01", "F B", "X", 1.0)]
+    df = spark.createDataFrame(rows, "as_of_date string, composite_ticker string, constituent_ticker string, weight double")
+    row = overlap.overlap(df, ["F.A", "F B"]).first()
+    assert (row.fund_a, row.overlap_count, row.overlap_by_weight, row.only_in_a, row.only_in_b) == ("F B", 1, 0.0, 1, 1)
+    assert rows_of(overlap.only_in(df, "F B", "F.A")) == [("Z", None)]
+    assert rows_of(overlap.shared_holdings(df, "F.A", "F B")) == [("X", None, 2.0, None)]
+    found = {(r.composite_ticker, r.constituent_ticker): r.change for r in snapshots.holding_changes(df).collect()}
+    assert found == {("F.A", "Y"): "new_holding", ("F B", "Z"): "new_holding"}
+
+
+def test_one_third_equal_values_do_not_change_the_median(spark):
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
+    expected = np.median(np.array([r.v for r in df.collect()]))
+    assert quantiles(df, ["g"], {"m": ("v", 0.5)}).first().m == expected
+
+
+def test_sixth_value_of_a_filing_changes_no_class(spark):
+    from fundledger.functions.text import CLASS_PLACES
+
+    assert max(CLASS_PLACES.values()) < 5
+
+
+def test_pages_have_a_size(spark):
+    from fundledger.operators.ranking import page
+
+    with pytest.raises(ValueError, match="200"):
+        page(spark.range(3), "id", "id", size=201)
+
+
+def test_reported_fiscal_period_comes_before_the_calendar(spark):
+    rows = [("1", "us-gaap", "Assets", "2023-06-30", None, 5.0, "a1", "10-Q", "2023-08-01", 2023, "Q4"), ("2", "us-gaap", "Assets", "2023-06-30", None, 5.0, "a2", "10-Q", "2023-08-01", None, None)]
+    df = spark.createDataFrame(rows, "cik string, namespace string, concept string, end string, start string, val double, accn string, form string, filed string, fy int, fp string")
+    got = {r.cik: (r.fiscal_year, r.fiscal_period) for r in facts.financial_facts(df).collect()}
+    assert got == {"1": (2023, "Q4"), "2": (2023, "Q2")}
