@@ -29,9 +29,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints, the document with the smallest doc_id stays."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id or component_id is null").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Of documents with a similarity of 0.8 or more over five words, found by SimHash, the smallest doc_id stays."""
+    gone = simhash.similar_copies(docs).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

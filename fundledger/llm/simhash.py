@@ -16,12 +16,13 @@ centre is exact and linear.
 
 Defined results: a null text has no words; no words give fingerprint zero, which links like any other.
 Fewer words than a shingle give one shingle of all words. A null id takes no part in links but keeps
-its row, with its component. Repeated rows repeat in the result. Empty tables give empty results.
+its row, with its component; near copies of no words, or without an id, are never found. Repeated rows repeat in the result. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ RADIUS = 2
 SEED = 42
 # A table key with more fingerprints than this is joined through centres in place of pairs.
 PAIRED = 32
+# At a wider radius the fingerprints of a key are compared inside a task, up to so many.
+GATHERED = 8192
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -64,13 +67,17 @@ def fold(hashes: np.ndarray, block: int = 1 << 16) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a long, one row per input row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, repeats: bool = True) -> DataFrame:
+    """(doc_id, fp): the fingerprint's 64 bits as a long, one row per input row.
+
+    Without ``repeats`` each different shingle of a text counts once.
+    """
     arrow_rows(docs.sparkSession)
+    hashes = shingle_hashes if repeats else lambda text, width: np.unique(shingle_hashes(text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fold(shingle_hashes(t, width)) for t in batch.column("text").to_pylist()]
+            made = [fold(hashes(t, width)) for t in batch.column("text").to_pylist()]
             bits = np.array(made, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits)], ["doc_id", "fp"])
 
@@ -89,41 +96,147 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _keys(mask_of: Column) -> Column:
-    masks = [F.struct(F.lit(t).alias("t"), mask_of.bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(covering_masks())]
-    return F.explode(F.array(*masks))
+def _keys(mask_of: Column, radius: int) -> Column:
+    masks = covering_masks(radius=radius)
+    return F.explode(F.array(*[F.struct(F.lit(t).alias("t"), mask_of.bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks)]))
+
+
+def _spread(nodes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Every node under its key in every table, and the number of nodes of each key that has several."""
+    spread = cut_lineage(nodes.select("node", "fp", _keys(F.col("fp"), radius).alias("k")).select("node", "fp", "k.t", "k.key"))
+    return spread, cut_lineage(spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
+def _through_centres(crowd: DataFrame, radius: int) -> DataFrame:
+    """Links of a crowd: each node with the smallest one of every centre within half the radius."""
+    if radius % 2:
+        raise ValueError("centres join fingerprints at an even radius")
+    flips = [sum(1 << i for i in some) for k in range(radius // 2 + 1) for some in combinations(range(BITS), k)]
+    around = crowd.select("node", F.explode(F.transform(F.array(*[F.lit(_signed(b)) for b in flips]), lambda b: F.col("fp").bitwiseXOR(b))).alias("centre"))
+    around = cut_lineage(around)
+    least = around.groupBy("centre").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("centre", "v")
+    return around.join(least, "centre").where(F.col("node") != F.col("v")).select(F.col("node").alias("u"), "v")
 
 
 def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
     """(u, v) over ``nodes`` (node, fp; one row per distinct fp) whose transitive closure is that of all links."""
-    spread = cut_lineage(nodes.select("node", "fp", _keys(F.col("fp")).alias("k")).select("node", "fp", "k.t", "k.key"))
-    sizes = cut_lineage(spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    spread, sizes = _spread(nodes, RADIUS)
     few = spread.join(sizes.where(F.col("n") <= paired).select("t", "key"), ["t", "key"])
     left = few.select("t", "key", F.col("node").alias("u"), F.col("fp").alias("a"))
     right = few.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     pairs = left.join(right, ["t", "key"]).where(F.col("u") < F.col("v")).where(near).select("u", "v")
     crowd = spread.join(sizes.where(F.col("n") > paired).select("t", "key"), ["t", "key"], "left_semi").select("node", "fp").distinct()
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)) for i in range(BITS)])
-    around = crowd.select("node", F.explode(F.transform(flips, lambda b: F.col("fp").bitwiseXOR(b))).alias("centre"))
-    around = cut_lineage(around)
-    least = around.groupBy("centre").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("centre", "v")
-    through = around.join(least, "centre").where(F.col("node") != F.col("v")).select(F.col("node").alias("u"), "v")
-    return pairs.unionByName(through).distinct()
+    return pairs.unionByName(_through_centres(crowd, RADIUS)).distinct()
+
+
+def spanning(nodes: np.ndarray, prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that join what is within the radius, at most one per node."""
+    out, left = [], np.arange(len(nodes))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            near = np.bitwise_count(prints[left] ^ prints[front[0]]) <= radius
+            found = left[near]
+            out += [(int(nodes[front[0]]), int(nodes[k])) for k in found]
+            front, left = np.concatenate([front[1:], found]), left[~near]
+    return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+def grouped_links(nodes: DataFrame, radius: int, gathered: int = GATHERED) -> DataFrame:
+    """As ``links``, for wider radii, whose many tables fill their keys more.
+
+    The nodes of a key are compared inside a task, which puts out a spanning set of their links: at most
+    one link per node and table. A key with more than ``gathered`` nodes is joined through centres.
+    """
+    spread, sizes = _spread(nodes, radius)
+    some = spread.join(sizes.where(F.col("n") <= gathered).select("t", "key"), ["t", "key"]).repartition("t", "key").sortWithinPartitions("t", "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in _ended(batches):
+            columns = [] if batch is None else [batch.column(c).to_numpy() for c in ("t", "key", "node", "fp")]
+            if rest is not None:
+                columns = [np.concatenate(p) for p in zip(rest, columns)] if columns else rest
+            if not columns or not len(columns[0]):
+                continue
+            t, key, node, fp = columns
+            new = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
+            bounds = [0, *new.tolist()] + ([len(t)] if batch is None else [])
+            rest = [c[bounds[-1] :] for c in columns]
+            made = [link for a, b in zip(bounds, bounds[1:]) for link in spanning(node[a:b], fp[a:b].view(np.uint64), radius)]
+            both = np.array(made, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["u", "v"])
+
+    near = some.mapInArrow(run, "u long, v long")
+    crowd = spread.join(sizes.where(F.col("n") > gathered).select("t", "key"), ["t", "key"], "left_semi").select("node", "fp").distinct()
+    return near.unionByName(_through_centres(crowd, radius)).distinct()
+
+
+def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, repeats: bool = True, radius: int = RADIUS
+) -> DataFrame:
     """One row per input row: doc_id, fp, component_id (the smallest id that links reach)."""
-    marked = cut_lineage(fingerprints(docs, id_col, text_col, width))
+    marked = cut_lineage(fingerprints(docs, id_col, text_col, width, repeats))
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    found = components(links(nodes.where("node is not null")))
+    known = nodes.where("node is not null")
+    found = components(links(known) if radius == RADIUS else grouped_links(known, radius))
     grouped = nodes.join(found.withColumnRenamed("component", "c"), "node", "left").select(
         "fp", F.coalesce("c", "node").alias("component_id")
     )
-    # Only fingerprints whose component is not simply their own smallest id, or that repeat, matter; all join once.
     return marked.join(grouped, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_hex(fp: Column) -> Column:
     """16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def similar_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, rounds: int = 4
+) -> DataFrame:
+    """(doc_id, kept_id): documents that are near copies of a kept one of smaller id.
+
+    Fingerprints of different words find the groups, as one changed word touches one of them but
+    ``width`` of the shingles. In each round the smallest document of a group stays, and those whose
+    Jaccard similarity to it over shingles of ``width`` words is ``least`` or more go; the others form the
+    group of the next round. What is left after the last round stays. A document is compared with one
+    other a round, so a group costs its size.
+    """
+    grouped = near_duplicates(docs, id_col, text_col, width=1, repeats=False, radius=radius).where("doc_id is not null")
+    several = grouped.groupBy("component_id").agg(F.count_distinct("doc_id").alias("n")).where("n > 1").select("component_id")
+    members = grouped.join(several, "component_id").select(F.col("doc_id").alias("id"), "component_id").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in batch.column("text").to_pylist()]
+            lists = pa.array(made, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("component_id"), lists], ["doc_id", "component_id", "shingles"])
+
+    rows = only(docs, id_col, text_col)
+    texts = rows.join(members, rows["doc_id"] == members["id"]).select("doc_id", "component_id", "text")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    left = cut_lineage(texts.mapInArrow(run, f"doc_id {id_type}, component_id {id_type}, shingles array<long>"))
+    gone = []
+    for _ in range(rounds):
+        first = left.groupBy("component_id").agg(F.min("doc_id").alias("kept_id"))
+        heads = left.join(first, "component_id").where("doc_id = kept_id").select("component_id", "kept_id", F.col("shingles").alias("kept"))
+        heads = heads.dropDuplicates(["component_id"])
+        met = left.join(heads, "component_id").where("doc_id > kept_id")
+        shared = F.size(F.array_intersect("shingles", "kept"))
+        alike = F.try_divide(shared, F.size("shingles") + F.size("kept") - shared)
+        judged = cut_lineage(met.select("doc_id", "component_id", "kept_id", "shingles", F.coalesce(alike >= least, F.lit(False)).alias("alike")))
+        gone.append(judged.where("alike").select("doc_id", "kept_id"))
+        left = judged.where("not alike").select("doc_id", "component_id", "shingles")
+        if left.isEmpty():
+            break
+    out = gone[0]
+    for more in gone[1:]:
+        out = out.unionByName(more)
+    return out.distinct()

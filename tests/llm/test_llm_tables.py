@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from fundledger.llm import exact_dedup, language, mixing, posting_lists, queries, simhash, tool_chat
+from test_llm_text import plain_similar
+
+from fundledger.llm import exact_dedup, language, mixing, posting_lists, queries, tool_chat
 
 SF = "/root/testdata/sf0.001"
 BIG = "/root/testdata/sf0.01"
@@ -185,14 +187,8 @@ def test_pipeline_equals_a_plain_version(spark):
             if chance.max() >= 0.5:
                 first.setdefault(r["text"], (i, model.languages[int(chance.argmax())]))
     left = {i: lang for i, lang in first.values()}
-    prints = {i: simhash.fold(simhash.shingle_hashes(rows[i]["text"], 3)) for i in left}
-    group = {i: i for i in prints}
-    for i in sorted(prints):
-        for j in sorted(prints):
-            if i < j and (prints[i] ^ prints[j]).bit_count() <= simhash.RADIUS and group[i] != group[j]:
-                low, high = sorted((group[i], group[j]))
-                group = {k: low if g == high else g for k, g in group.items()}
-    kept = [i for i, g in group.items() if i == g]
+    gone = plain_similar({i: rows[i]["text"] for i in left})
+    kept = [i for i in left if i not in gone]
     frame = spark.createDataFrame([(i, rows[i]["text"], left[i], rows[i]["source"]) for i in kept], "doc_id long, text string, lang string, source string")
     mixed = {r["doc_id"] for r in mixing.mix(frame, queries.TARGETS, rate=queries.MIX_RATE, seed=queries.MIX_SEED).where("kept").collect()}
     got = corpus_pipeline.run(spark, SF).collect()

@@ -128,6 +128,49 @@ def test_crowded_keys_lose_no_link(spark, paired):
     assert {n: found.get(n, n) for n in nodes} == expected
 
 
+@pytest.mark.parametrize("gathered", [2, 8192])
+def test_grouped_links_lose_no_link(spark, gathered):
+    rng = random.Random(9)
+    prints = {rng.getrandbits(64) for _ in range(4)}
+    for _ in range(70):
+        prints.add(rng.choice(sorted(prints)) ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, 5))))
+    nodes = {i: p for i, p in enumerate(sorted(prints))}
+    df = spark.createDataFrame([(i, simhash._signed(p)) for i, p in nodes.items()], "node long, fp long")
+    found = {r["node"]: r["component"] for r in components(simhash.grouped_links(df, 4, gathered)).collect()}
+    near = [(i, j) for i in nodes for j in nodes if i < j and (nodes[i] ^ nodes[j]).bit_count() <= 4]
+    assert {n: found.get(n, n) for n in nodes} == plain_components(near, nodes)
+
+
+def plain_similar(texts, least=0.8, rounds=4):
+    """Documents that go, by the rule of similar_copies."""
+    words = {i: np.unique(simhash.shingle_hashes(t, 1)) for i, t in texts.items()}
+    prints = {i: simhash.fold(w) for i, w in words.items()}
+    near = [(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 4]
+    group, gone = defaultdict(list), set()
+    for i, c in plain_components(near, prints).items():
+        group[c].append(i)
+    shingles = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    for members in group.values():
+        left = sorted(members)
+        for _ in range(rounds):
+            if len(left) < 2:
+                break
+            head, rest = left[0], left[1:]
+            alike = {i for i in rest if shingles[head] | shingles[i] and len(shingles[head] & shingles[i]) / len(shingles[head] | shingles[i]) >= least}
+            gone |= alike
+            left = [i for i in rest if i not in alike]
+    return gone
+
+
+def test_similar_copies_equal_a_plain_version(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400").collect()}
+    texts |= {10_000 + i: t for i, t in enumerate(ODD)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("shingles", F.lit(1))
+    rows = simhash.similar_copies(df).collect()
+    assert {r["doc_id"] for r in rows} == plain_similar(texts) and len(rows) > 5
+    assert simhash.similar_copies(df.where("false")).collect() == []
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3)]
     rows = components(spark.createDataFrame(links, "u long, v long")).collect()
