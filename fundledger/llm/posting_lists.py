@@ -5,7 +5,8 @@
 * Centroids are searched through a neighbour graph held in memory, best candidate first.
 * Every vector is put into the list of its nearest centroid, and near a boundary into further lists too:
   those of the ``REPLICAS`` nearest that are at most ``SPREAD`` times as far.
-* A query reads the lists whose centroids are at most ``REACH`` times as far as its nearest one.
+* A query reads the lists whose centroids are at most ``REACH`` times as far as its nearest one, and,
+  if those lists hold fewer than ``LEAST`` vectors, the next lists until they do.
 * Lists are cut into blocks of bounded size, and so are the queries of a list; each pair of blocks is
   compared exactly, in double precision on the original vectors, and the best of all blocks are merged.
 
@@ -38,6 +39,8 @@ SPREAD = 1.03
 REPLICAS = 4
 REACH = 1.16
 PROBES = 64
+# Lists are read beyond that reach until they hold so many vectors.
+LEAST = 4096
 BLOCK = 4096
 # Below this many vectors one list is searched whole.
 SMALL = 2048
@@ -73,14 +76,17 @@ class Centroids:
         order = np.argsort(far, axis=1, kind="stable")[:, :wanted]
         return order, np.take_along_axis(far, order, axis=1)
 
-    def within(self, x: np.ndarray, ratio: float) -> list[np.ndarray]:
-        """Of each row, the centroids found that are at most ``ratio`` times as far as its nearest."""
+    def within(self, x: np.ndarray, ratio: float, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+        """Of each row, the centroids at most ``ratio`` times as far as its nearest, and the next ones
+        until their lists hold ``least`` vectors."""
         wanted = PROBES
-        found, far = self.nearest(x, wanted)
-        while wanted < len(self.points) and (far[:, -1] <= ratio * far[:, 0]).any():
-            wanted *= 4
+        while True:
             found, far = self.nearest(x, wanted)
-        return [ids[d <= ratio * d[0]] for ids, d in zip(found, far)]
+            before = np.cumsum(sizes[found], axis=1) - sizes[found]
+            read = (far <= ratio * far[:, :1]) | (before < least)
+            if wanted >= len(self.points) or not read[:, -1].any():
+                return [ids[r] for ids, r in zip(found, read)]
+            wanted *= 4
 
 
 def balanced_means(sample: np.ndarray, lists: int) -> np.ndarray:
@@ -143,8 +149,8 @@ def usable(vector: Column) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _dealt(vectors: DataFrame, index: Centroids, query: bool) -> DataFrame:
-    """(list, id, vector): the lists a vector stands in, or a query reads."""
+def _dealt(vectors: DataFrame, index: Centroids, sizes: np.ndarray | None = None) -> DataFrame:
+    """(list, id, vector): the lists a vector stands in; with ``sizes`` of the lists, those a query reads."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)  # at most MOST_LISTS centroids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +158,7 @@ def _dealt(vectors: DataFrame, index: Centroids, query: bool) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 x = np.array(part.column("vector").to_pylist(), dtype=np.float64)
-                joined = known.within(x, REACH) if query else lists_to_join(known, x)
+                joined = lists_to_join(known, x) if sizes is None else known.within(x, REACH, sizes, LEAST)
                 take = pa.array(np.repeat(np.arange(len(x)), [len(j) for j in joined]))
                 lists = pa.array(np.concatenate(joined).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([lists, part.column("id").take(take), part.column("vector").take(take)], ["list", "id", "vector"])
@@ -200,8 +206,11 @@ def search(
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, 2 * SAMPLE / sizes["n"]) * (1 << 30))
     taken = rows.where(share).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow().column(0).to_pylist()
     index = fit(np.array(taken, dtype=np.float64), sizes["n"])
-    postings = cut_lineage(_dealt(rows, index, query=False))
-    asked = cut_lineage(_dealt(rows.where(is_query), index, query=True))
+    postings = cut_lineage(_dealt(rows, index))
+    lengths = np.zeros(len(index.points), dtype=np.int64)
+    for row in postings.groupBy("list").count().collect():  # at most MOST_LISTS rows
+        lengths[row["list"]] = row["count"]
+    asked = cut_lineage(_dealt(rows.where(is_query), index, lengths))
     # Bounded by the number of lists: into how many blocks each is cut.
     blocks = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     cuts = F.broadcast(blocks(postings, "nv").join(blocks(asked, "nq"), "list"))

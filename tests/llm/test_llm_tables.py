@@ -129,6 +129,16 @@ def test_neighbours_recall(spark, monkeypatch, small):
         assert [found[i] for i in sorted(found)] == sorted(found.values(), key=lambda p: (p[1], p[0]))
 
 
+def test_a_query_in_a_tight_cluster_still_finds_enough(spark, monkeypatch):
+    for name, value in (("SMALL", 64), ("LIST_SIZE", 30), ("LEAST", 200)):
+        monkeypatch.setattr(posting_lists, name, value)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(1, 600)] + [(i, (8 + rng.normal(size=16) * 1e-3).tolist()) for i in (1000, 1001)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r["vec_id"] for r in posting_lists.search(df, F.col("id") == 1000).orderBy("rank").collect()]
+    assert len(got) == 10 and got[0] == 1001
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (100, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]),
             (6, [None, 1.0]), (7, [float("inf"), 0.0]), (8, [1.0, 2.0, 3.0]), (200, [0.0, 0.0]), (1, [1.0, 0.0])]
