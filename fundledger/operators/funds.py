@@ -42,8 +42,8 @@ def with_units(funds: DataFrame) -> DataFrame:
 
 
 def latest_funds(funds: DataFrame) -> DataFrame:
-    """Each fund's latest row."""
-    return latest_per_key(funds, ["composite_ticker"], [F.desc("as_of_date")])
+    """Each fund's latest row; of several of one date the largest, then the first by description."""
+    return latest_per_key(funds, ["composite_ticker"], [F.desc("as_of_date"), F.desc_nulls_last("aum"), F.asc_nulls_last("description")])
 
 
 def screen(funds: DataFrame, q: str | None = None, **filters) -> DataFrame:

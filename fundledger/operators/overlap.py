@@ -135,7 +135,7 @@ def largest_funds(funds: DataFrame, n: int) -> DataFrame:
     latest = top_per_group(
         funds.select("composite_ticker", "as_of_date", "aum"),
         ["composite_ticker"],
-        [F.desc("as_of_date")],
+        [F.desc("as_of_date"), F.desc_nulls_last("aum")],
         1,
     )
     return latest.orderBy(F.desc_nulls_last("aum"), "composite_ticker").limit(n).select("composite_ticker")

@@ -36,7 +36,8 @@ def latest_per_fund(table: DataFrame) -> DataFrame:
 
 
 def at_snapshot(table: DataFrame, date: DataFrame) -> DataFrame:
-    """Rows of one snapshot. The date stays in the plan as a scalar subquery and prunes the scan."""
+    """Rows of one snapshot. The date stays in the plan as a scalar subquery; a table that is partitioned
+    by it reads that partition alone, one that derives it filters after the scan."""
     return table.where(F.col("as_of_date") == date.scalar())
 
 

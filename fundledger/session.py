@@ -42,9 +42,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_RUN = uuid.uuid4().hex
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/fundledger/{_RUN}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path of its own below the shared folder; nothing is ever overwritten."""
-    return f"{shared_folder(spark)}/fundledger/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this run's scratch tables. Call it when the results that read them are used up."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-from fundledger.session import build_session  # noqa: E402
+from fundledger.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,4 +17,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
