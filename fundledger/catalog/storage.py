@@ -179,7 +179,7 @@ register(
     lambda spark, sf: _split(spark, sf)[1].select("composite_ticker", "constituent_ticker", "broken"),
     "dirty_holdings",
     """WITH x AS (SELECT composite_ticker, constituent_ticker, array_to_string(list_filter([CASE WHEN COALESCE(trim(constituent_ticker) = '', TRUE) THEN 'ticker' END,
-      CASE WHEN cusip = '' THEN 'cusip' END, CASE WHEN NOT weight > 0 THEN 'weight' END], lambda z: z IS NOT NULL), '|') AS broken FROM dirty_holdings)
+      CASE WHEN cusip = '' THEN 'cusip' END, CASE WHEN COALESCE(NOT weight > 0, TRUE) THEN 'weight' END], lambda z: z IS NOT NULL), '|') AS broken FROM dirty_holdings)
     SELECT * FROM x WHERE broken <> ''""",
 )
 register(
