@@ -36,7 +36,7 @@ from fundledger.llm.common import arrow_rows, cut_lineage
 LENGTH = 200
 GRAM = 32  # a power of two
 BLOCK = 1 << 19
-CROWD = 1000
+CROWD = 1 << 14
 SORTED = 1 << 19
 
 
