@@ -61,12 +61,9 @@ def groups(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows that stay, with the input's columns."""
-    kept = (
-        groups(docs, id_col, text_col, keep)
-        .where("kept")
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    )
-    sha = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
-    held = docs.withColumn("_sha", sha)
-    met = held.join(kept.distinct(), held[f"`{id_col}`"].eqNullSafe(kept["_kept_id"]) & (held["_sha"] == kept["_kept_sha"]), "left_semi")
-    return met.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    # The key is never null, so that the join and the removal of repeated rows share one exchange of texts.
+    key = lambda column: F.coalesce(column.cast("string"), F.lit("\0")).alias("_key")
+    kept = groups(docs, id_col, text_col, keep).where("kept").select(key(F.col("doc_id")), F.col("text_sha256").alias("_sha")).distinct()
+    sha = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("_sha")
+    held = docs.select("*", key(F.col(f"`{id_col}`")), sha)
+    return held.join(kept, ["_key", "_sha"], "left_semi").dropDuplicates(["_key", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
