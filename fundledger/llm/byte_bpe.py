@@ -33,7 +33,7 @@ from fundledger.llm.common import arrow_rows
 # Pre-tokens up to so many bytes are laid out in one matrix per length bucket.
 BUCKETS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 16, 20, 24, 32, 48, 64, 128, 256)
 MATRIX_CELLS = 1 << 21
-CACHE = 400_000
+CACHE = 150_000
 
 
 class Ranks:

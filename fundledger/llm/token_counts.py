@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from fundledger.llm.byte_bpe import Splitter
 from fundledger.llm.common import arrow_rows
 
-KEPT = 400_000
+KEPT = 150_000
 
 
 @lru_cache(maxsize=2)
