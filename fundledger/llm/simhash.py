@@ -21,8 +21,10 @@ its row, with its component; near copies of no words, or without an id, are neve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+import math
+from collections.abc import Iterable, Iterator
+from itertools import combinations, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ SEED = 42
 PAIRED = 32
 # At a wider radius the fingerprints of a key are compared inside a task, up to so many.
 GATHERED = 8192
+# Shingles of kept documents that a task compares the others of their group with at once.
+HELD = 1 << 21
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -198,43 +202,86 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _prefix(size: int, least: float) -> int:
+    """Of two sorted sets with a Jaccard similarity of ``least`` or more, the first so many values share one."""
+    return size - math.ceil(least * size - 1e-9) + 1
+
+
+def settle(rows: Iterable[tuple], least: float, held: int) -> Iterator[tuple]:
+    """Judge (id, shingles) of one component, in order of ids: (id, kept id) of what goes, (id, None) of what is open.
+
+    A row is compared with every kept row that it can be ``least`` similar to, smallest id first. Once the
+    kept rows have ``held`` shingles no more are taken in; a row that none of them matches is then open.
+    """
+    owners, sets, at, size = [], [], {}, 0
+    for own, group in groupby(rows, key=itemgetter(0)):
+        some = [h for _, h in group if len(h)]
+        match = None
+        for h in some:
+            met = {k for x in h[: _prefix(len(h), least)].tolist() for k in at.get(x, ())}
+            for k in sorted(met if match is None else (k for k in met if k < match)):
+                small, large = sorted((len(h), len(sets[k])))
+                if small < least * large:
+                    continue
+                shared = len(np.intersect1d(h, sets[k], assume_unique=True))
+                if shared / (small + large - shared) >= least:
+                    match = k
+                    break
+        if match is not None:
+            yield own, owners[match]
+        elif some and size >= held:
+            yield own, None
+        else:
+            for h in some:
+                for x in h[: _prefix(len(h), least)].tolist():
+                    at.setdefault(x, []).append(len(sets))
+                owners.append(own)
+                sets.append(h)
+                size += len(h)
+
+
 def similar_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, rounds: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, held: int = HELD
 ) -> DataFrame:
     """(doc_id, kept_id): documents that are near copies of a kept one of smaller id.
 
     Fingerprints of different words find the groups, as one changed word touches one of them but
-    ``width`` of the shingles. In each round the smallest document of a group stays, and those whose
-    Jaccard similarity to it over shingles of ``width`` words is ``least`` or more go; the others form the
-    group of the next round. What is left after the last round stays. A document is compared with one
-    other a round, so a group costs its size.
+    ``width`` of the shingles. In order of ids, a document of a group goes if its Jaccard similarity over
+    shingles of ``width`` words to any that stays is ``least`` or more, and stays otherwise. A group is
+    read by one task, which holds up to ``held`` shingles of documents that stay; what it could not
+    compare with all of them is read again, until nothing is open.
     """
     grouped = near_duplicates(docs, id_col, text_col, width=1, repeats=False, radius=radius).where("doc_id is not null")
     several = grouped.groupBy("component_id").agg(F.count_distinct("doc_id").alias("n")).where("n > 1").select("component_id")
     members = grouped.join(several, "component_id").select(F.col("doc_id").alias("id"), "component_id").distinct()
+    rows = only(docs, id_col, text_col)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in batch.column("text").to_pylist()]
-            lists = pa.array(made, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("component_id"), lists], ["doc_id", "component_id", "shingles"])
+        kinds = []
+
+        def read() -> Iterator[tuple]:
+            for batch in batches:
+                kinds[:] = [batch.column("doc_id").type]
+                for c, i, t in zip(*(batch.column(k).to_pylist() for k in ("component_id", "doc_id", "text"))):
+                    yield c, i, t
+
+        found = (
+            (i, c, kept)
+            for c, group in groupby(read(), key=itemgetter(0))
+            for i, kept in settle(((i, np.unique(shingle_hashes(t, width))) for _, i, t in group), least, held)
+        )
+        while made := list(islice(found, 1024)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, kinds[0]) for x in zip(*made)], ["doc_id", "component_id", "kept_id"])
 
-    rows = only(docs, id_col, text_col)
-    texts = rows.join(members, rows["doc_id"] == members["id"]).select("doc_id", "component_id", "text")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    left = cut_lineage(texts.mapInArrow(run, f"doc_id {id_type}, component_id {id_type}, shingles array<long>"))
     gone = []
-    for _ in range(rounds):
-        first = left.groupBy("component_id").agg(F.min("doc_id").alias("kept_id"))
-        heads = left.join(first, "component_id").where("doc_id = kept_id").select("component_id", "kept_id", F.col("shingles").alias("kept"))
-        heads = heads.dropDuplicates(["component_id"])
-        met = left.join(heads, "component_id").where("doc_id > kept_id")
-        shared = F.size(F.array_intersect("shingles", "kept"))
-        alike = F.try_divide(shared, F.size("shingles") + F.size("kept") - shared)
-        judged = cut_lineage(met.select("doc_id", "component_id", "kept_id", "shingles", F.coalesce(alike >= least, F.lit(False)).alias("alike")))
-        gone.append(judged.where("alike").select("doc_id", "kept_id"))
-        left = judged.where("not alike").select("doc_id", "component_id", "shingles")
-        if left.isEmpty():
+    while True:
+        texts = rows.join(members, rows["doc_id"] == members["id"]).select("doc_id", "component_id", "text")
+        texts = texts.repartition("component_id").sortWithinPartitions("component_id", "doc_id")
+        judged = cut_lineage(texts.mapInArrow(run, f"doc_id {id_type}, component_id {id_type}, kept_id {id_type}"))
+        gone.append(judged.where("kept_id is not null").select("doc_id", "kept_id"))
+        members = judged.where("kept_id is null").select(F.col("doc_id").alias("id"), "component_id").distinct()
+        if members.isEmpty():
             break
     out = gone[0]
     for more in gone[1:]:

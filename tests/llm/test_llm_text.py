@@ -171,6 +171,31 @@ def test_similar_copies_equal_a_plain_version(spark):
     assert simhash.similar_copies(df.where("false")).collect() == []
 
 
+def plain_copies(texts, least=0.8):
+    """Documents that go if every one is compared with all of smaller id that stay."""
+    shingles = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    stay, gone = [], set()
+    for i in sorted(texts):
+        near = (len(shingles[i] & shingles[k]) / len(shingles[i] | shingles[k]) for k in stay if shingles[i])
+        if any(s >= least for s in near):
+            gone.add(i)
+        else:
+            stay.append(i)
+    return gone
+
+
+@pytest.mark.parametrize("held", [simhash.HELD, 100])
+def test_similar_copies_have_no_limit_of_rounds(spark, held):
+    """One component, as all orders of the same words have one fingerprint: eight texts with two copies each."""
+    rng, words, texts = random.Random(12), [f"w{i}" for i in range(60)], {}
+    for k in range(8):
+        rng.shuffle(words)
+        texts |= {k: " ".join(words), 100 + k: " ".join([*words[:59], words[59].upper()]), 200 + k: " ".join([words[1], words[0], *words[2:]])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    gone = {r["doc_id"]: r["kept_id"] for r in simhash.similar_copies(df, held=held).collect()}
+    assert gone == {b + k: k for b in (100, 200) for k in range(8)} and set(gone) == plain_copies(texts)
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3)]
     rows = components(spark.createDataFrame(links, "u long, v long")).collect()
