@@ -8,6 +8,8 @@ hash of the id, so it repeats on any cluster.
 
 The cells are bounded by the targets: a value that a dimension's targets do not name counts as
 ``OTHER``, so their number is at most the product of the targets' sizes, whatever the table's size.
+Where the targets give ``OTHER`` no share, it keeps its present share of tokens, and the named targets share
+the rest.
 
 Defined results: a null source, language or topic counts as ``OTHER``; a null or empty text has no
 tokens and weight 0, and is kept with its cell's probability. A target for a value without tokens is
@@ -64,7 +66,9 @@ def rake(cells: dict[tuple[str, ...], float], targets: list[dict[str, float]], r
     for d, names in enumerate(kinds):
         sums = grid.sum(axis=tuple(a for a in range(grid.ndim) if a != d))
         share = np.array([targets[d].get(n, 0.0) for n in names]) * (sums > 0)
-        wanted.append(share / share.sum() if share.sum() > 0 else sums)
+        free = np.array([n == OTHER and n not in targets[d] for n in names])
+        scaled = share * (1 - sums[free].sum()) / share.sum() if share.sum() > 0 else sums
+        wanted.append(np.where(free, sums, scaled))
     for _ in range(rounds):
         off = 0.0
         for d, share in enumerate(wanted):

@@ -22,7 +22,7 @@ from fundledger.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
 
-# Target shares of tokens. Values not named here share OTHER's part.
+# Target shares of tokens. Values not named here keep their present share, and these are scaled to the rest.
 SOURCES = {f"src{i}": 0.297 if i == 0 else 0.037 for i in range(20)}
 LANGUAGES = {"en": 0.52, "fr": 0.17, "es": 0.14, "de": 0.17}
 TOPICS = {"prose": 0.92, "table": 0.03, "shouting": 0.04, "list": 0.01}

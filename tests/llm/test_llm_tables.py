@@ -100,6 +100,20 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix(docs.where("false"), queries.TARGETS).collect() == []
 
 
+def test_mixing_keeps_the_share_of_unnamed_values(spark):
+    kinds = [(s, v) for s in ("src0", "src1", "src2", "elsewhere", None) for v in ("en", "fr", "es", "pt", None)]
+    rows = [(len(kinds) * i + k, "a b c d", *kind) for i in range(60) for k, kind in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = mixing.mix(docs, {"source": queries.SOURCES, "lang": queries.LANGUAGES}, rate=0.5).collect()
+    assert all(r["probability"] > 0 for r in got)
+    shares = lambda test: sum(r["weight"] for r in got if test(r)) / len(got)
+    assert shares(lambda r: r["source"] in (None, "elsewhere")) == pytest.approx(0.4, abs=1e-6)
+    assert shares(lambda r: r["lang"] in (None, "pt")) == pytest.approx(0.4, abs=1e-6)
+    assert {(r["source"], r["lang"]) for r in got if r["kept"]} == set(kinds)
+    none = mixing.rake({("a", "x"): 1.0, ("other", "x"): 1.0}, [{"a": 1.0, "other": 0.0}, {"x": 1.0}])
+    assert none == {("a", "x"): 1.0, ("other", "x"): 0.0}
+
+
 def brute_neighbours(rows, wanted=10):
     ids = np.array([r[0] for r in rows])
     x = np.array([r[1] for r in rows], dtype=np.float64)
