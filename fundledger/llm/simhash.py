@@ -29,7 +29,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundledger.llm.common import arrow_rows, cut_lineage, only
@@ -44,6 +44,9 @@ PAIRED = 32
 GATHERED = 8192
 # Shingles of kept documents that a task compares the others of their group with at once.
 HELD = 1 << 21
+# Bands of minimum hashes, and the hashes of each.
+BANDS = 20
+BAND_ROWS = 5
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -202,6 +205,47 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _mixers(count: int) -> np.ndarray:
+    """So many odd multipliers, the same everywhere."""
+    drawn = [xxhash.xxh64_intdigest(i.to_bytes(8, "big"), SEED) | 1 for i in range(count)]
+    return np.array(drawn, dtype=np.uint64).reshape(-1, 1)
+
+
+def band_keys(hashes: np.ndarray, bands: int, rows: int, block: int = 1024) -> np.ndarray:
+    """One key a band: of ``rows`` minima over the shingle hashes, each under an order of its own."""
+    mixers = _mixers(bands * rows)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for start in range(0, len(hashes), block):
+        mixed = hashes[start : start + block] * mixers
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= mixers
+        np.minimum(least, mixed.min(axis=1), out=least)
+    parts = least.reshape(bands, rows)
+    return np.array([xxhash.xxh64_intdigest(p.tobytes(), b) for b, p in enumerate(parts)], dtype=np.uint64)
+
+
+def band_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
+    """(u, v): each document with the smallest one that has a band of minimum hashes in common with it.
+
+    Two texts of Jaccard similarity s over shingles have equal minima with probability s, so they share a
+    band with probability 1 - (1 - s ** rows) ** bands, which is 0.9996 at 0.8 and grows with s.
+    """
+    arrow_rows(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [np.unique(shingle_hashes(t, width)) for t in batch.column("text").to_pylist()]
+            have = np.flatnonzero([len(h) for h in made])
+            keys = np.concatenate([np.empty(0, dtype=np.uint64), *(band_keys(made[k], bands, rows) for k in have)])
+            ids = batch.column("doc_id").take(pa.array(np.repeat(have, bands)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(keys.view(np.int64))], ["u", "key"])
+
+    texts = only(docs, id_col, text_col).where("doc_id is not null")
+    keyed = texts.mapInArrow(run, f"u {texts.schema['doc_id'].dataType.simpleString()}, key long")
+    met = keyed.withColumn("v", F.min("u").over(Window.partitionBy("key")))
+    return met.where("u != v").select("u", "v").distinct()
+
+
 def _prefix(size: int, least: float) -> int:
     """Of two sorted sets with a Jaccard similarity of ``least`` or more, the first so many values share one."""
     return size - math.ceil(least * size - 1e-9) + 1
@@ -241,12 +285,13 @@ def settle(rows: Iterable[tuple], least: float, held: int) -> Iterator[tuple]:
 
 
 def similar_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, held: int = HELD
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, held: int = HELD, bands: int = 0
 ) -> DataFrame:
     """(doc_id, kept_id): documents that are near copies of a kept one of smaller id.
 
     Fingerprints of different words find the groups, as one changed word touches one of them but
-    ``width`` of the shingles. In order of ids, a document of a group goes if its Jaccard similarity over
+    ``width`` of the shingles. With ``bands``, equal bands of minimum hashes over those shingles join groups
+    too; they find what lies farther apart than ``radius``. In order of ids, a document of a group goes if its Jaccard similarity over
     shingles of ``width`` words to any that stays is ``least`` or more, and stays otherwise. A group is
     read by one task, which holds up to ``held`` shingles of documents that stay; what it could not
     compare with all of them is read again, until nothing is open.
@@ -254,6 +299,10 @@ def similar_copies(
     grouped = near_duplicates(docs, id_col, text_col, width=1, repeats=False, radius=radius).where("doc_id is not null")
     several = grouped.groupBy("component_id").agg(F.count_distinct("doc_id").alias("n")).where("n > 1").select("component_id")
     members = grouped.join(several, "component_id").select(F.col("doc_id").alias("id"), "component_id").distinct()
+    if bands:
+        more = band_links(docs, id_col, text_col, width, bands)
+        found = components(members.toDF("u", "v").unionByName(more))
+        members = found.select(F.col("node").alias("id"), F.col("component").alias("component_id"))
     rows = only(docs, id_col, text_col)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 

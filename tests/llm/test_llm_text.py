@@ -12,6 +12,8 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from fundledger.llm import byte_bpe, exact_dedup, simhash, substring_dedup, suffix_dedup, token_counts
 from fundledger.llm.components import components
 
@@ -196,6 +198,21 @@ def test_similar_copies_have_no_limit_of_rounds(spark, held):
     assert gone == {b + k: k for b in (100, 200) for k in range(8)} and set(gone) == plain_copies(texts)
 
 
+def test_near_copies_stage_equals_brute_force(spark):
+    """Pairs of five-word similarity of 0.8 or more are found wherever their fingerprints lie."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    stay = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").select("doc_id").collect()}
+    assert set(texts) - stay == plain_copies(texts) and len(texts) > len(stay)
+
+
+def test_band_links_of_odd_texts(spark):
+    texts = [None, "", " ", "a", "A", "a b c d e f", "a b c d e f", "x y"]
+    rows = simhash.band_links(frame(spark, texts).unionByName(spark.createDataFrame([(None, "a", "x", 1)], "doc_id long, text string, token_ids string, fp int"))).collect()
+    assert {(r["u"], r["v"]) for r in rows} == {(4, 3), (6, 5)}
+    assert simhash.band_links(frame(spark, texts).where("false")).collect() == []
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3)]
     rows = components(spark.createDataFrame(links, "u long, v long")).collect()
