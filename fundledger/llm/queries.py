@@ -10,6 +10,7 @@ from fundledger.llm import (
     byte_bpe,
     exact_dedup,
     language,
+    merkle,
     mixing,
     posting_lists,
     simhash,
@@ -211,6 +212,70 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=("doc_id",))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.proofs(table(spark, sf_dir, "documents"), tampered)
+
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+OP13_SQL = f"""
+WITH RECURSIVE sums AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+         )) % 2 = 0 AS even
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, source, sha256({_FIELDS} || {_FIELD.format("text")}) AS leaf,
+         sha256({_FIELDS} || {_FIELD.format("CASE WHEN even THEN replace(text, chr(10), '') ELSE text END")}) AS got
+  FROM sums
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id, leaf) AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+),
+low AS (
+  SELECT 0 AS h, s, r, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT h + 1, s, r // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY r)) FROM low WHERE n > 1 GROUP BY h, s, r // 3, n
+),
+subroots AS (SELECT s, digest AS subroot FROM low WHERE n = 1),
+high AS (
+  SELECT 100 AS h, s AS r, count(*) OVER () AS n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT h + 1, r // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY r)) FROM high WHERE n > 1 GROUP BY h, r // 3, n
+),
+nodes AS (SELECT * FROM low UNION ALL SELECT h, 0, r, n, digest FROM high),
+sides AS (
+  SELECT x.h, x.s, x.r, coalesce(string_agg(y.digest, '' ORDER BY y.r) FILTER (y.r < x.r), '') AS lefts,
+         coalesce(string_agg(y.digest, '' ORDER BY y.r) FILTER (y.r > x.r), '') AS rights
+  FROM nodes x JOIN nodes y ON x.h = y.h AND x.s = y.s AND x.r // 3 = y.r // 3 WHERE x.n > 1 GROUP BY ALL
+),
+steps AS (
+  SELECT id, lefts, rights, row_number() OVER (PARTITION BY id ORDER BY h) AS step
+  FROM (
+    SELECT id, h, lefts, rights FROM placed p JOIN sides x ON x.h < 100 AND x.s = p.s AND x.r = p.r // CAST(3 ** x.h AS BIGINT)
+    UNION ALL
+    SELECT id, h, lefts, rights FROM placed p JOIN sides x ON x.h >= 100 AND x.r = p.s // CAST(3 ** (x.h - 100) AS BIGINT)
+  )
+),
+fold AS (
+  SELECT id, 0 AS step, got AS acc FROM placed
+  UNION ALL
+  SELECT f.id, f.step + 1, sha256(t.lefts || f.acc || t.rights) FROM fold f JOIN steps t ON t.id = f.id AND t.step = f.step + 1
+),
+ends AS (SELECT id, arg_max(acc, step) AS folded_root FROM fold GROUP BY id),
+proof AS (SELECT id, sha256(coalesce(string_agg(lefts || rights, '' ORDER BY step), '')) AS proof_sha256 FROM placed LEFT JOIN steps USING (id) GROUP BY id)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (s) JOIN ends USING (id) JOIN proof USING (id), (SELECT digest AS root FROM high WHERE n = 1)
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -224,6 +289,7 @@ QUERIES = {
         op8_language,
         op9_suffix_dedup,
         op10_token_counts,
+        op13_merkle,
     )
 }
-CHECKS = {"op3_tool_chat": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mixing": OP7_SQL}
+CHECKS = {"op3_tool_chat": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mixing": OP7_SQL, "op13_merkle": OP13_SQL}
