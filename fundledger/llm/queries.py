@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundledger.llm import (
+    alignment,
     byte_bpe,
     exact_dedup,
     language,
@@ -22,6 +23,8 @@ from fundledger.llm import (
 from fundledger.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.tiktoken"
+BYTE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 # Target shares of tokens. Values not named here keep their present share, and these are scaled to the rest.
 SOURCES = {f"src{i}": 0.297 if i == 0 else 0.037 for i in range(20)}
@@ -212,6 +215,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=("doc_id",))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN, public_tokenizers.path(PIECE_FILE)
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
     tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -289,6 +297,7 @@ QUERIES = {
         op8_language,
         op9_suffix_dedup,
         op10_token_counts,
+        op12_alignment,
         op13_merkle,
     )
 }
