@@ -13,6 +13,7 @@ from fundledger.llm import (
     language,
     merkle,
     mixing,
+    personal_data,
     posting_lists,
     simhash,
     substring_dedup,
@@ -215,6 +216,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=("doc_id",))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four counts and base_sha256 are of what the patterns find; spans holds what the field adds, too."""
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find(docs, personal_data.trained(docs))
+    text = lambda some: F.array_join(F.transform(some, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    kinds = F.array(*[F.lit(k) for k in personal_data.KINDS])
+    placed = lambda x: F.struct(F.array_position(kinds, x["kind"]).alias("place"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))
+    ordered = F.array_sort(F.transform(F.concat("base", "added"), placed))
+    of_kind = lambda kind: F.filter("base", lambda x: x["kind"] == kind)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(ordered).alias("spans"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN, public_tokenizers.path(PIECE_FILE)
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
@@ -297,6 +311,7 @@ QUERIES = {
         op8_language,
         op9_suffix_dedup,
         op10_token_counts,
+        op11_personal_data,
         op12_alignment,
         op13_merkle,
     )
