@@ -18,11 +18,11 @@ __all__ = ["ARROW_ROWS", "arrow_rows", "cut_lineage", "scratch_path", "table", "
 def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of one Arrow batch, and with them a Python worker's memory.
 
-    Workers also give freed memory back to the system at once, so that idle ones stay small, and get
+    Workers also give large freed blocks back to the system, so that idle ones stay small, and get
     this package's own folder on their path, for clusters that mount it; elsewhere the package is
     shipped as any other, with --py-files.
     """
-    spark.sparkContext.environment.update(ARROW_DEFAULT_MEMORY_POOL="system", MALLOC_ARENA_MAX="2", MALLOC_TRIM_THRESHOLD_="131072")
+    spark.sparkContext.environment.update(ARROW_DEFAULT_MEMORY_POOL="system", MALLOC_ARENA_MAX="2", MALLOC_TRIM_THRESHOLD_=str(64 << 20), MALLOC_MMAP_THRESHOLD_=str(32 << 20))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     path = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in path:
