@@ -60,10 +60,19 @@ def groups(
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows that stay, with the input's columns."""
-    # The key is never null, so that the join and the removal of repeated rows share one exchange of texts.
-    key = lambda column: F.coalesce(column.cast("string"), F.lit("\0")).alias("_key")
-    kept = groups(docs, id_col, text_col, keep).where("kept").select(key(F.col("doc_id")), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("_sha")
-    held = docs.select("*", key(F.col(f"`{id_col}`")), sha)
-    return held.join(kept, ["_key", "_sha"], "left_semi").dropDuplicates(["_key", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that stay, with the input's columns.
+
+    One aggregation on (hash, text) carries a row's other columns along, so texts move once. Of rows that
+    repeat id and text the one with the smaller hash of its other columns stays.
+    """
+    if keep not in ("smallest", "largest"):
+        raise ValueError("keep is 'smallest' or 'largest'")
+    pick = F.min_by if keep == "smallest" else F.max_by
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    others = [c for c in docs.columns if c != text_col]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], text.isNull().alias("none"))
+    order = F.struct(own.alias("id"), text.isNull().alias("none"), F.xxhash64(*[F.col(f"`{c}`") for c in others]).alias("rest"))
+    held = docs.select(F.coalesce(text, F.lit("")).alias("text"), row.alias("row"), order.alias("order"))
+    same = held.groupBy(content_hash(F.col("text")).alias("content"), "text").agg(pick("row", "order").alias("row"))
+    back = {text_col: F.when(~F.col("row.none"), F.col("text")), **{c: F.col(f"row.c{i}") for i, c in enumerate(others)}}
+    return same.select(*[back[c].alias(c) for c in docs.columns])

@@ -16,20 +16,19 @@ centre is exact and linear.
 
 Defined results: a null text has no words; no words give fingerprint zero, which links like any other.
 Fewer words than a shingle give one shingle of all words. A null id takes no part in links but keeps
-its row, with its component; near copies of no words, or without an id, are never found. Repeated rows repeat in the result. Empty tables give empty results.
+its row, with its component. Repeated rows repeat in the result. Empty tables give empty results.
+Of a group :func:`drop_near_copies` keeps the row with the smallest id (null before all), of equal ids the one
+with the smaller text hash; rows equal in id and text stay or go together.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Iterator
-from itertools import combinations, groupby, islice
-from operator import itemgetter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundledger.llm.common import arrow_rows, cut_lineage, only
@@ -37,16 +36,10 @@ from fundledger.llm.components import components
 
 BITS = 64
 RADIUS = 2
+WIDTH = 3
 SEED = 42
 # A table key with more fingerprints than this is joined through centres in place of pairs.
 PAIRED = 32
-# At a wider radius the fingerprints of a key are compared inside a task, up to so many.
-GATHERED = 8192
-# Shingles of kept documents that a task compares the others of their group with at once.
-HELD = 1 << 21
-# Bands of minimum hashes, and the hashes of each.
-BANDS = 20
-BAND_ROWS = 5
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -74,17 +67,13 @@ def fold(hashes: np.ndarray, block: int = 1 << 16) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, repeats: bool = True) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a long, one row per input row.
-
-    Without ``repeats`` each different shingle of a text counts once.
-    """
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """(doc_id, fp): the fingerprint's 64 bits as a long, one row per input row."""
     arrow_rows(docs.sparkSession)
-    hashes = shingle_hashes if repeats else lambda text, width: np.unique(shingle_hashes(text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fold(hashes(t, width)) for t in batch.column("text").to_pylist()]
+            made = [fold(shingle_hashes(t, width)) for t in batch.column("text").to_pylist()]
             bits = np.array(made, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits)], ["doc_id", "fp"])
 
@@ -103,22 +92,19 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _keys(mask_of: Column, radius: int) -> Column:
-    masks = covering_masks(radius=radius)
-    return F.explode(F.array(*[F.struct(F.lit(t).alias("t"), mask_of.bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks)]))
+def _keys(mask_of: Column) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(t).alias("t"), mask_of.bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(covering_masks())]))
 
 
-def _spread(nodes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+def _spread(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every node under its key in every table, and the number of nodes of each key that has several."""
-    spread = cut_lineage(nodes.select("node", "fp", _keys(F.col("fp"), radius).alias("k")).select("node", "fp", "k.t", "k.key"))
+    spread = cut_lineage(nodes.select("node", "fp", _keys(F.col("fp")).alias("k")).select("node", "fp", "k.t", "k.key"))
     return spread, cut_lineage(spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
 
-def _through_centres(crowd: DataFrame, radius: int) -> DataFrame:
-    """Links of a crowd: each node with the smallest one of every centre within half the radius."""
-    if radius % 2:
-        raise ValueError("centres join fingerprints at an even radius")
-    flips = [sum(1 << i for i in some) for k in range(radius // 2 + 1) for some in combinations(range(BITS), k)]
+def _through_centres(crowd: DataFrame) -> DataFrame:
+    """Links of a crowd: each node with the smallest one of every centre at distance one or less."""
+    flips = [0, *(1 << i for i in range(BITS))]
     around = crowd.select("node", F.explode(F.transform(F.array(*[F.lit(_signed(b)) for b in flips]), lambda b: F.col("fp").bitwiseXOR(b))).alias("centre"))
     around = cut_lineage(around)
     least = around.groupBy("centre").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("centre", "v")
@@ -127,212 +113,40 @@ def _through_centres(crowd: DataFrame, radius: int) -> DataFrame:
 
 def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
     """(u, v) over ``nodes`` (node, fp; one row per distinct fp) whose transitive closure is that of all links."""
-    spread, sizes = _spread(nodes, RADIUS)
+    spread, sizes = _spread(nodes)
     few = spread.join(sizes.where(F.col("n") <= paired).select("t", "key"), ["t", "key"])
     left = few.select("t", "key", F.col("node").alias("u"), F.col("fp").alias("a"))
     right = few.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     pairs = left.join(right, ["t", "key"]).where(F.col("u") < F.col("v")).where(near).select("u", "v")
     crowd = spread.join(sizes.where(F.col("n") > paired).select("t", "key"), ["t", "key"], "left_semi").select("node", "fp").distinct()
-    return pairs.unionByName(_through_centres(crowd, RADIUS)).distinct()
-
-
-def spanning(nodes: np.ndarray, prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join what is within the radius, at most one per node."""
-    out, left = [], np.arange(len(nodes))
-    while len(left):
-        front, left = left[:1], left[1:]
-        while len(front) and len(left):
-            near = np.bitwise_count(prints[left] ^ prints[front[0]]) <= radius
-            found = left[near]
-            out += [(int(nodes[front[0]]), int(nodes[k])) for k in found]
-            front, left = np.concatenate([front[1:], found]), left[~near]
-    return out
+    return pairs.unionByName(_through_centres(crowd)).distinct()
 
 
-def grouped_links(nodes: DataFrame, radius: int, gathered: int = GATHERED) -> DataFrame:
-    """As ``links``, for wider radii, whose many tables fill their keys more.
-
-    The nodes of a key are compared inside a task, which puts out a spanning set of their links: at most
-    one link per node and table. A key with more than ``gathered`` nodes is joined through centres.
-    """
-    spread, sizes = _spread(nodes, radius)
-    some = spread.join(sizes.where(F.col("n") <= gathered).select("t", "key"), ["t", "key"]).repartition("t", "key").sortWithinPartitions("t", "key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _ended(batches):
-            columns = [] if batch is None else [batch.column(c).to_numpy() for c in ("t", "key", "node", "fp")]
-            if rest is not None:
-                columns = [np.concatenate(p) for p in zip(rest, columns)] if columns else rest
-            if not columns or not len(columns[0]):
-                continue
-            t, key, node, fp = columns
-            new = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
-            bounds = [0, *new.tolist()] + ([len(t)] if batch is None else [])
-            rest = [c[bounds[-1] :] for c in columns]
-            made = [link for a, b in zip(bounds, bounds[1:]) for link in spanning(node[a:b], fp[a:b].view(np.uint64), radius)]
-            both = np.array(made, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["u", "v"])
-
-    near = some.mapInArrow(run, "u long, v long")
-    crowd = spread.join(sizes.where(F.col("n") > gathered).select("t", "key"), ["t", "key"], "left_semi").select("node", "fp").distinct()
-    return near.unionByName(_through_centres(crowd, radius)).distinct()
-
-
-def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    """The batches, then None."""
-    yield from batches
-    yield None
-
-
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, repeats: bool = True, radius: int = RADIUS
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per input row: doc_id, fp, component_id (the smallest id that links reach)."""
-    marked = cut_lineage(fingerprints(docs, id_col, text_col, width, repeats))
+    marked = cut_lineage(fingerprints(docs, id_col, text_col, width))
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
     known = nodes.where("node is not null")
-    found = components(links(known) if radius == RADIUS else grouped_links(known, radius))
+    found = components(links(known))
     grouped = nodes.join(found.withColumnRenamed("component", "c"), "node", "left").select(
         "fp", F.coalesce("c", "node").alias("component_id")
     )
     return marked.join(grouped, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of linked fingerprints, with the input's columns."""
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    # Rows are told apart by id and text, as ids may repeat.
+    key = F.struct(own.alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark"))
+    rows = docs.select(key.alias("row"), text.alias("text"))
+    gone = near_duplicates(rows, "row").where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_row")).distinct()
+    # Texts move once, at every size of the table alike.
+    held = docs.withColumn("_row", key).join(gone.hint("merge"), "_row", "left_anti")
+    return held.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def fingerprint_hex(fp: Column) -> Column:
     """16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
-
-
-def _mixers(count: int) -> np.ndarray:
-    """So many odd multipliers, the same everywhere."""
-    drawn = [xxhash.xxh64_intdigest(i.to_bytes(8, "big"), SEED) | 1 for i in range(count)]
-    return np.array(drawn, dtype=np.uint64).reshape(-1, 1)
-
-
-def band_keys(hashes: np.ndarray, bands: int, rows: int, block: int = 1024) -> np.ndarray:
-    """One key a band: of ``rows`` minima over the shingle hashes, each under an order of its own."""
-    mixers = _mixers(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(hashes), block):
-        mixed = hashes[start : start + block] * mixers
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= mixers
-        np.minimum(least, mixed.min(axis=1), out=least)
-    parts = least.reshape(bands, rows)
-    return np.array([xxhash.xxh64_intdigest(p.tobytes(), b) for b, p in enumerate(parts)], dtype=np.uint64)
-
-
-def band_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """(u, v): each document with the smallest one that has a band of minimum hashes in common with it.
-
-    Two texts of Jaccard similarity s over shingles have equal minima with probability s, so they share a
-    band with probability 1 - (1 - s ** rows) ** bands, which is 0.9996 at 0.8 and grows with s.
-    """
-    arrow_rows(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [np.unique(shingle_hashes(t, width)) for t in batch.column("text").to_pylist()]
-            have = np.flatnonzero([len(h) for h in made])
-            keys = np.concatenate([np.empty(0, dtype=np.uint64), *(band_keys(made[k], bands, rows) for k in have)])
-            ids = batch.column("doc_id").take(pa.array(np.repeat(have, bands)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys.view(np.int64))], ["u", "key"])
-
-    texts = only(docs, id_col, text_col).where("doc_id is not null")
-    keyed = texts.mapInArrow(run, f"u {texts.schema['doc_id'].dataType.simpleString()}, key long")
-    met = keyed.withColumn("v", F.min("u").over(Window.partitionBy("key")))
-    return met.where("u != v").select("u", "v").distinct()
-
-
-def _prefix(size: int, least: float) -> int:
-    """Of two sorted sets with a Jaccard similarity of ``least`` or more, the first so many values share one."""
-    return size - math.ceil(least * size - 1e-9) + 1
-
-
-def settle(rows: Iterable[tuple], least: float, held: int) -> Iterator[tuple]:
-    """Judge (id, shingles) of one component, in order of ids: (id, kept id) of what goes, (id, None) of what is open.
-
-    A row is compared with every kept row that it can be ``least`` similar to, smallest id first. Once the
-    kept rows have ``held`` shingles no more are taken in; a row that none of them matches is then open.
-    """
-    owners, sets, at, size = [], [], {}, 0
-    for own, group in groupby(rows, key=itemgetter(0)):
-        some = [h for _, h in group if len(h)]
-        match = None
-        for h in some:
-            met = {k for x in h[: _prefix(len(h), least)].tolist() for k in at.get(x, ())}
-            for k in sorted(met if match is None else (k for k in met if k < match)):
-                small, large = sorted((len(h), len(sets[k])))
-                if small < least * large:
-                    continue
-                shared = len(np.intersect1d(h, sets[k], assume_unique=True))
-                if shared / (small + large - shared) >= least:
-                    match = k
-                    break
-        if match is not None:
-            yield own, owners[match]
-        elif some and size >= held:
-            yield own, None
-        else:
-            for h in some:
-                for x in h[: _prefix(len(h), least)].tolist():
-                    at.setdefault(x, []).append(len(sets))
-                owners.append(own)
-                sets.append(h)
-                size += len(h)
-
-
-def similar_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5, least: float = 0.8, held: int = HELD, bands: int = 0
-) -> DataFrame:
-    """(doc_id, kept_id): documents that are near copies of a kept one of smaller id.
-
-    Fingerprints of different words find the groups, as one changed word touches one of them but
-    ``width`` of the shingles. With ``bands``, equal bands of minimum hashes over those shingles join groups
-    too; they find what lies farther apart than ``radius``. In order of ids, a document of a group goes if its Jaccard similarity over
-    shingles of ``width`` words to any that stays is ``least`` or more, and stays otherwise. A group is
-    read by one task, which holds up to ``held`` shingles of documents that stay; what it could not
-    compare with all of them is read again, until nothing is open.
-    """
-    grouped = near_duplicates(docs, id_col, text_col, width=1, repeats=False, radius=radius).where("doc_id is not null")
-    several = grouped.groupBy("component_id").agg(F.count_distinct("doc_id").alias("n")).where("n > 1").select("component_id")
-    members = grouped.join(several, "component_id").select(F.col("doc_id").alias("id"), "component_id").distinct()
-    if bands:
-        more = band_links(docs, id_col, text_col, width, bands)
-        found = components(members.toDF("u", "v").unionByName(more))
-        members = found.select(F.col("node").alias("id"), F.col("component").alias("component_id"))
-    rows = only(docs, id_col, text_col)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = []
-
-        def read() -> Iterator[tuple]:
-            for batch in batches:
-                kinds[:] = [batch.column("doc_id").type]
-                for c, i, t in zip(*(batch.column(k).to_pylist() for k in ("component_id", "doc_id", "text"))):
-                    yield c, i, t
-
-        found = (
-            (i, c, kept)
-            for c, group in groupby(read(), key=itemgetter(0))
-            for i, kept in settle(((i, np.unique(shingle_hashes(t, width))) for _, i, t in group), least, held)
-        )
-        while made := list(islice(found, 1024)):
-            yield pa.RecordBatch.from_arrays([pa.array(x, kinds[0]) for x in zip(*made)], ["doc_id", "component_id", "kept_id"])
-
-    gone = []
-    while True:
-        texts = rows.join(members, rows["doc_id"] == members["id"]).select("doc_id", "component_id", "text")
-        texts = texts.repartition("component_id").sortWithinPartitions("component_id", "doc_id")
-        judged = cut_lineage(texts.mapInArrow(run, f"doc_id {id_type}, component_id {id_type}, kept_id {id_type}"))
-        gone.append(judged.where("kept_id is not null").select("doc_id", "kept_id"))
-        members = judged.where("kept_id is null").select(F.col("doc_id").alias("id"), "component_id").distinct()
-        if members.isEmpty():
-            break
-    out = gone[0]
-    for more in gone[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
