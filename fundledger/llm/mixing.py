@@ -12,7 +12,8 @@ Where the targets give ``OTHER`` no share, it keeps its present share of tokens,
 the rest.
 
 Defined results: a null source, language or topic counts as ``OTHER``; a null or empty text has no
-tokens and weight 0, and is kept with its cell's probability. A target for a value without tokens is
+tokens and is kept with its cell's probability; a cell without any tokens has weight 1, and the
+wanted part of all tokens as its probability. A target for a value without tokens is
 spread over the others of its dimension. Repeated rows share one draw. An empty table gives none.
 """
 
@@ -124,8 +125,9 @@ def mix(
     rows = marked.groupBy(*keys).agg(F.sum("n_tokens").alias("n")).collect()
     present = {tuple(r[k] for k in keys): float(r["n"]) for r in rows}
     fitted, total = rake(present, [targets[d] for d in dims]), sum(present.values())
-    ratio = {key: (fitted[key] / (n / total) if n else 0.0) for key, n in present.items()}
-    chance = calibrated(present, ratio, rate)
+    ratio = {key: (fitted[key] / (n / total) if n else 1.0) for key, n in present.items()}
+    full = {key: n for key, n in present.items() if n}
+    chance = {**dict.fromkeys(present, rate), **calibrated(full, {key: ratio[key] for key in full}, rate)}
     spark = docs.sparkSession
     schema = ", ".join(f"{k} string" for k in keys) + ", weight double, probability double"
     weights = [(*key, w, chance[key]) for key, w in sorted(ratio.items())]

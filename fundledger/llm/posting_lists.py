@@ -42,8 +42,6 @@ PROBES = 64
 # Lists are read beyond that reach until they hold so many vectors.
 LEAST = 4096
 BLOCK = 4096
-# Below this many vectors one list is searched whole.
-SMALL = 2048
 
 
 @dataclass
@@ -125,7 +123,7 @@ def refine(sample: np.ndarray, points: np.ndarray, rounds: int = 4) -> np.ndarra
 def fit(sample: np.ndarray, total: int) -> Centroids:
     """Centroids and their graph from sampled vectors, for ``total`` vectors."""
     lists = 1
-    while total > SMALL and lists < MOST_LISTS and lists * LIST_SIZE < total and lists * 8 <= len(sample):
+    while lists < MOST_LISTS and lists * LIST_SIZE < total and lists * 8 <= len(sample):
         lists *= 2
     points = balanced_means(sample, lists)
     if lists > 1:

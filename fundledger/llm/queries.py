@@ -62,7 +62,7 @@ SCHEMAS = {
 
 
 def op3_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn is a tool call, and each assistant turn the result of the turn before it.
+    """Each user turn is a tool call, and each assistant turn the result of the turn before it; all others are notes.
 
     A call follows the call two turns earlier. One line is looked up, several lines are written.
     """
@@ -80,42 +80,48 @@ def op3_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(known, name(2)).alias("after_id"),
     )
     results = turns.where("role = 'assistant'").select(F.when(known, name(1)).alias("call_id"), F.col("text").alias("result"))
-    made = tool_chat.format_calls(calls, results, SCHEMAS)
+    other = F.coalesce(~F.col("role").isin("user", "assistant"), F.lit(True))
+    notes = turns.where(other).select(F.when(known, name(0)).alias("note_id"), "role", "text")
+    made = tool_chat.format_calls(calls, results, SCHEMAS, notes)
     return made.withColumn("errors", F.array_join("errors", "; "))
 
 
 OP3_SQL = """
 WITH u AS (
-  SELECT conv_id, turn, text, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
-         'call:' || conv_id || ':' || turn AS call_id
-  FROM conversations WHERE role = 'user'
+  SELECT CASE WHEN lines > 1 THEN 'write' ELSE 'lookup' END AS tool, conv_id, turn, 'call:' || conv_id || ':' || turn AS call_id, chars,
+         CASE WHEN lines > 1 THEN CAST(json_object('chars', chars, 'lines', lines, 'query', text) AS VARCHAR)
+              ELSE CAST(json_object('chars', chars, 'query', text) AS VARCHAR) END AS a
+  FROM (SELECT *, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) + 1 AS lines FROM conversations WHERE role = 'user')
 ),
-c AS (
-  SELECT call_id, conv_id, turn, count(*) AS n_calls,
-         min(struct_pack(tool := CASE WHEN lines > 1 THEN 'write' ELSE 'lookup' END, a := CASE WHEN lines > 1
-             THEN CAST(json_object('chars', chars, 'lines', lines, 'query', text) AS VARCHAR)
-             ELSE CAST(json_object('chars', chars, 'query', text) AS VARCHAR) END, chars := chars)) AS x
-  FROM u GROUP BY ALL
+said AS (
+  SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY tool, a) AS nth, sum(n) OVER (PARTITION BY call_id) AS n_calls
+  FROM (SELECT *, count(*) AS n FROM u GROUP BY ALL)
 ),
-r AS (
-  SELECT 'call:' || conv_id || ':' || (turn - 1) AS call_id, min(text) AS result, count(*) AS n_results
-  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+given AS (
+  SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY text NULLS FIRST) AS nth, sum(n) OVER (PARTITION BY call_id) AS n_results
+  FROM (SELECT 'call:' || conv_id || ':' || (turn - 1) AS call_id, text, count(*) AS n FROM conversations WHERE role = 'assistant' GROUP BY ALL)
 ),
-chains AS (
-  SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM c
-),
-placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS level FROM chains
-)
-SELECT call_id, 'call' AS kind, level, n_calls, coalesce(n_results, 0) AS n_results, n_results IS NOT NULL AS linked,
-       concat_ws('; ', CASE WHEN x.chars < 1 THEN 'chars: too small' END,
-                 CASE WHEN x.chars > (CASE x.tool WHEN 'write' THEN 400 ELSE 160 END) THEN 'chars: too large' END,
-                 CASE WHEN x.chars < 1 THEN 'query: too small' END) AS errors,
-       CAST(json_object('arguments', CAST(x.a AS JSON), 'id', call_id, 'result', result, 'tool', x.tool) AS VARCHAR) AS message
-FROM placed LEFT JOIN r USING (call_id)
+first AS (SELECT * FROM said WHERE nth = 1),
+chains AS (SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM first),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS level FROM chains)
+SELECT call_id, 'call' AS kind, level, CAST(n_calls AS BIGINT) AS n_calls, CAST(coalesce(n_results, 0) AS BIGINT) AS n_results, n_results IS NOT NULL AS linked,
+       concat_ws('; ', CASE WHEN chars < 1 THEN 'chars: too small' END,
+                 CASE WHEN chars > (CASE tool WHEN 'write' THEN 400 ELSE 160 END) THEN 'chars: too large' END,
+                 CASE WHEN chars < 1 THEN 'query: too small' END) AS errors,
+       CAST(json_object('arguments', CAST(a AS JSON), 'id', call_id, 'result', text, 'tool', tool) AS VARCHAR) AS message
+FROM placed LEFT JOIN (SELECT * FROM given WHERE nth = 1) USING (call_id)
 UNION ALL
-SELECT call_id, 'orphan', NULL, 0, n_results, false, 'no call', CAST(json_object('id', call_id, 'result', result) AS VARCHAR)
-FROM r ANTI JOIN c USING (call_id)
+SELECT call_id, 'duplicate', NULL, n, 0, false, 'another call has this identifier',
+       CAST(json_object('arguments', CAST(a AS JSON), 'id', call_id, 'result', NULL, 'tool', tool) AS VARCHAR)
+FROM said WHERE nth > 1
+UNION ALL
+SELECT g.call_id, CASE WHEN f.call_id IS NULL THEN 'orphan' ELSE 'duplicate' END, NULL, 0, g.n, false,
+       CASE WHEN f.call_id IS NULL THEN 'no call' ELSE 'another result has this identifier' END, CAST(json_object('id', g.call_id, 'result', g.text) AS VARCHAR)
+FROM given g LEFT JOIN first f USING (call_id) WHERE g.nth > 1 OR f.call_id IS NULL
+UNION ALL
+SELECT 'call:' || conv_id || ':' || turn, 'note', NULL, 0, 0, false, '',
+       CAST(json_object('id', 'call:' || conv_id || ':' || turn, 'role', role, 'text', text) AS VARCHAR)
+FROM conversations WHERE role IS DISTINCT FROM 'user' AND role IS DISTINCT FROM 'assistant'
 """
 
 
@@ -160,18 +166,21 @@ d AS (
   SELECT e.*, coalesce(s_t.v, 'other') AS cs, coalesce(l_t.v, 'other') AS cl, coalesce(t_t.v, 'other') AS ct
   FROM e LEFT JOIN s_t ON s_t.v = source LEFT JOIN l_t ON l_t.v = lang LEFT JOIN t_t ON t_t.v = topic
 ),
-cells AS (SELECT cs, cl, ct, sum(n_tokens) / sum(sum(n_tokens)) OVER () AS p FROM d GROUP BY ALL),
+cells AS (SELECT cs, cl, ct, sum(n_tokens) / nullif(sum(sum(n_tokens)) OVER (), 0) AS p FROM d GROUP BY ALL),
 aims AS (
   SELECT c.*, coalesce(s.share, 0) AS a, coalesce(l.share, 0) AS b, coalesce(t.share, 0) AS c
-  FROM cells c LEFT JOIN s_t s ON s.v = cs LEFT JOIN l_t l ON l.v = cl LEFT JOIN t_t t ON t.v = ct
+  FROM cells c LEFT JOIN s_t s ON s.v = cs LEFT JOIN l_t l ON l.v = cl LEFT JOIN t_t t ON t.v = ct WHERE p > 0
 ),
+-- Values without a target keep their present share; the targets are scaled to the rest.
 there AS (
-  SELECT (SELECT sum(a) FROM (SELECT DISTINCT cs, a FROM aims)) AS sa,
-         (SELECT sum(b) FROM (SELECT DISTINCT cl, b FROM aims)) AS sb,
-         (SELECT sum(c) FROM (SELECT DISTINCT ct, c FROM aims)) AS sc
+  SELECT (SELECT sum(a) FROM (SELECT DISTINCT cs, a FROM aims)) AS sa, (SELECT coalesce(sum(p), 0) FROM aims WHERE cs = 'other') AS oa,
+         (SELECT sum(b) FROM (SELECT DISTINCT cl, b FROM aims)) AS sb, (SELECT coalesce(sum(p), 0) FROM aims WHERE cl = 'other') AS ob,
+         (SELECT sum(c) FROM (SELECT DISTINCT ct, c FROM aims)) AS sc, (SELECT coalesce(sum(p), 0) FROM aims WHERE ct = 'other') AS oc
 ),
 fit AS (
-  SELECT 0 AS i, cs, cl, ct, p, CAST(p AS DOUBLE) AS w, a / sa AS a, b / sb AS b, c / sc AS c FROM aims, there
+  SELECT 0 AS i, cs, cl, ct, p, CAST(p AS DOUBLE) AS w, CASE cs WHEN 'other' THEN oa ELSE a * (1 - oa) / sa END AS a,
+         CASE cl WHEN 'other' THEN ob ELSE b * (1 - ob) / sb END AS b, CASE ct WHEN 'other' THEN oc ELSE c * (1 - oc) / sc END AS c
+  FROM aims, there
   UNION ALL
   SELECT i + 1, cs, cl, ct, p,
          CASE i % 3 WHEN 0 THEN w * a / sum(w) OVER (PARTITION BY cs)
@@ -188,6 +197,8 @@ scales AS (
 final AS (
   SELECT cs, cl, ct, ratio, least(1.0, ratio * (SELECT scale FROM scales WHERE ratio * scale <= 1 ORDER BY n LIMIT 1)) AS chance
   FROM ends
+  UNION ALL
+  SELECT cs, cl, ct, 1, {MIX_RATE} FROM cells WHERE p = 0 OR p IS NULL
 )
 SELECT doc_id, source, lang, topic, n_tokens, round(ratio, 6) AS weight, round(chance, 6) AS probability,
        CAST('0x' || sha256('{MIX_SEED}:' || doc_id)[1:12] AS BIGINT) / 281474976710656.0 < chance AS kept

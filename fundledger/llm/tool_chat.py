@@ -2,8 +2,9 @@
 
 Everything is DataFrame and SQL functions.
 
-* ``link`` hash-joins calls and results by identifier. Of several calls or results with one identifier
-  the smallest counts and the number is kept; results without a call are returned as orphans.
+* ``link`` hash-joins calls and results by identifier. Of different calls with one identifier the smallest
+  is linked, and so is the smallest of a call's results; the others are kept as duplicates. Results without
+  a call are orphans.
 * ``levels`` orders calls topologically. A call may name one call that must come before it; its level is
   the length of that chain, found by pointer doubling, so a chain of n calls takes about log2(n) joins of
   narrow rows. Sorting by level is a topological order. Calls in or behind a cycle have no level.
@@ -11,8 +12,9 @@ Everything is DataFrame and SQL functions.
 * ``canonical`` writes a message with sorted keys, no white space and unescaped non-ASCII characters.
 
 Defined results: null identifiers link to nothing, and calls without one keep their own rows at level 0;
-a predecessor that doesn't exist counts as none; null arguments or invalid JSON are a fault. Rows that
-repeat a call are one call. Empty tables give empty results.
+a predecessor that doesn't exist counts as none; null arguments or invalid JSON are a fault. Only rows
+equal in all columns are merged, and their number is kept; no text is lost. Other turns, such as a system's,
+are messages of their own. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -41,18 +43,24 @@ class Field:
 _KINDS = {"string": "^STRING$", "integer": "^BIGINT$", "number": r"^(BIGINT|DOUBLE|DECIMAL\(.*)$", "boolean": "^BOOLEAN$"}
 
 
-def link(calls: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(calls with ``result``, ``n_results``, ``n_calls``; orphan results).
+def link(calls: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(calls with ``result``, ``n_results``, ``n_calls``; other calls of their identifiers; results that are not linked).
 
-    ``calls`` has call_id, tool, arguments, after_id; ``results`` has call_id, result; all strings.
+    ``calls`` has call_id, tool, arguments, after_id; ``results`` has call_id, result; all strings. Of what is
+    not linked ``extra`` says whether its call has another result.
     """
-    named = calls.where("call_id is not null").groupBy("call_id")
-    one = named.agg(F.min(F.struct("tool", "arguments", "after_id")).alias("call"), F.count(F.lit(1)).alias("n_calls"))
-    one = one.select("call_id", "call.*", "n_calls")
-    nameless = calls.where("call_id is null").select("call_id", "tool", "arguments", "after_id", F.lit(1).cast("long").alias("n_calls"))
-    found = results.groupBy("call_id").agg(F.min("result").alias("result"), F.count(F.lit(1)).alias("n_results"))
-    met = one.unionByName(nameless).join(found, "call_id", "left").withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
-    return met, found.join(one.select("call_id"), "call_id", "left_anti")
+    said = calls.groupBy("call_id", "tool", "arguments", "after_id").agg(F.count(F.lit(1)).alias("n_calls"))
+    given = results.groupBy("call_id", "result").agg(F.count(F.lit(1)).alias("n_results"))
+    body = F.struct("tool", "arguments", "after_id")
+    named = said.where("call_id is not null").groupBy("call_id").agg(F.min(body).alias("first"), F.sum("n_calls").alias("n_calls"))
+    one = named.select("call_id", "first.*", "n_calls").unionByName(said.where("call_id is null"))
+    others = said.join(named.select("call_id", "first"), "call_id").where(body != F.col("first")).drop("first")
+    # A null result is one like any other, and comes before them.
+    found = given.groupBy("call_id").agg(F.min(F.struct("result")).alias("answer"), F.sum("n_results").alias("n_results")).where("call_id is not null")
+    met = one.join(found, "call_id", "left").withColumns({"result": F.col("answer.result"), "n_results": F.coalesce("n_results", F.lit(0).cast("long"))})
+    known = named.select("call_id").join(found.select("call_id", "answer"), "call_id")
+    rest = given.join(known, "call_id", "left").where(F.col("answer").isNull() | (F.struct("result") != F.col("answer")))
+    return met.drop("answer"), others, rest.select("call_id", "result", "n_results", F.col("answer").isNotNull().alias("extra"))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -107,30 +115,32 @@ def canonical(**parts: Column) -> Column:
     return F.to_json(F.struct(*[parts[k].alias(k) for k in sorted(parts)]), {"ignoreNullFields": "false"})
 
 
-def format_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, Field]]) -> DataFrame:
-    """One row per call, then per orphan result: call_id, kind, level, n_calls, n_results, linked, errors, message."""
-    met, orphans = link(calls, results)
-    met = cut_lineage(met)
+def format_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, Field]], notes: DataFrame | None = None) -> DataFrame:
+    """One row per message: call_id, kind, level, n_calls, n_results, linked, errors, message.
+
+    ``kind`` is call, duplicate (another call or result of an identifier), orphan (a result without a call) or
+    note (a row of ``notes``: note_id, role, text).
+    """
+    met, others, rest = link(calls, results)
+    met, none = cut_lineage(met), F.lit(0).cast("long")
     placed = met.join(levels(met), "call_id", "left")
+    said = lambda result: canonical(arguments=F.try_parse_json("arguments"), id=F.col("call_id"), result=result, tool=F.col("tool"))
+
+    def rows(df: DataFrame, kind: Column, level: Column, n_calls: Column, n_results: Column, linked: Column, errors: Column, message: Column) -> DataFrame:
+        named = {"kind": kind, "level": level, "n_calls": n_calls, "n_results": n_results, "linked": linked, "errors": errors, "message": message}
+        return df.select("call_id", *[v.alias(k) for k, v in named.items()])
+
+    no_level, no_link = F.lit(None).cast("long"), F.lit(False)
+    level = F.when(F.col("call_id").isNull(), none).otherwise(F.col("level"))
     wrong = faults(F.col("tool"), F.col("arguments"), schemas)
-    ready = placed.select(
-        "call_id",
-        F.lit("call").alias("kind"),
-        F.when(F.col("call_id").isNull(), F.lit(0).cast("long")).otherwise(F.col("level")).alias("level"),
-        "n_calls",
-        "n_results",
-        (F.col("n_results") > 0).alias("linked"),
-        wrong.alias("errors"),
-        canonical(arguments=F.try_parse_json("arguments"), id=F.col("call_id"), result=F.col("result"), tool=F.col("tool")).alias("message"),
-    )
-    lost = orphans.select(
-        "call_id",
-        F.lit("orphan").alias("kind"),
-        F.lit(None).cast("long").alias("level"),
-        F.lit(0).cast("long").alias("n_calls"),
-        "n_results",
-        F.lit(False).alias("linked"),
-        F.array(F.lit("no call")).alias("errors"),
-        canonical(id=F.col("call_id"), result=F.col("result")).alias("message"),
-    )
-    return ready.unionByName(lost)
+    out = rows(placed, F.lit("call"), level, F.col("n_calls"), F.col("n_results"), F.col("n_results") > 0, wrong, said(F.col("result")))
+    twice = F.array(F.lit("another call has this identifier"))
+    out = out.unionByName(rows(others, F.lit("duplicate"), no_level, F.col("n_calls"), none, no_link, twice, said(F.lit(None).cast("string"))))
+    kind = F.when(F.col("extra"), "duplicate").otherwise("orphan")
+    why = F.array(F.when(F.col("extra"), "another result has this identifier").otherwise("no call"))
+    out = out.unionByName(rows(rest, kind, no_level, none, F.col("n_results"), no_link, why, canonical(id=F.col("call_id"), result=F.col("result"))))
+    if notes is not None:
+        text = canonical(id=F.col("call_id"), role=F.col("role"), text=F.col("text"))
+        held = notes.withColumnRenamed("note_id", "call_id")
+        out = out.unionByName(rows(held, F.lit("note"), no_level, none, none, no_link, F.array().cast("array<string>"), text))
+    return out

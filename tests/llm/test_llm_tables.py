@@ -3,6 +3,7 @@
 import json
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from check import compare, connect
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from test_llm_text import plain_similar
+from test_llm_text import plain_near
 
 from fundledger.llm import exact_dedup, language, mixing, posting_lists, queries, tool_chat
 
@@ -125,10 +126,9 @@ def brute_neighbours(rows, wanted=10):
     return out
 
 
-@pytest.mark.parametrize("small", [posting_lists.SMALL, 64])
-def test_neighbours_recall(spark, monkeypatch, small):
-    monkeypatch.setattr(posting_lists, "SMALL", small)
-    monkeypatch.setattr(posting_lists, "LIST_SIZE", 100)
+@pytest.mark.parametrize("size", [posting_lists.LIST_SIZE, 64])
+def test_neighbours_recall(spark, monkeypatch, size):
+    monkeypatch.setattr(posting_lists, "LIST_SIZE", size)
     monkeypatch.setattr(posting_lists, "BLOCK", 70)
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{BIG}/embeddings.parquet").collect()]
     expected = brute_neighbours(rows)
@@ -144,7 +144,7 @@ def test_neighbours_recall(spark, monkeypatch, small):
 
 
 def test_a_query_in_a_tight_cluster_still_finds_enough(spark, monkeypatch):
-    for name, value in (("SMALL", 64), ("LIST_SIZE", 30), ("LEAST", 200)):
+    for name, value in (("LIST_SIZE", 30), ("LEAST", 200)):
         monkeypatch.setattr(posting_lists, name, value)
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=16).tolist()) for i in range(1, 600)] + [(i, (8 + rng.normal(size=16) * 1e-3).tolist()) for i in (1000, 1001)]
@@ -178,17 +178,24 @@ def test_tool_calls(spark):
         ],
         "call_id string, tool string, arguments string, after_id string",
     )
-    results = spark.createDataFrame([("a", "r2"), ("a", "r1"), ("zz", "lost"), (None, "nobody's"), ("b", None)], "call_id string, result string")
-    rows = tool_chat.format_calls(calls, results, schemas).collect()
+    results = [("a", "r2"), ("a", "r1"), ("a", "r1"), ("zz", "lost"), ("zz", "lost too"), (None, "nobody's"), (None, "nor theirs"), ("b", None)]
+    results = spark.createDataFrame(results, "call_id string, result string")
+    calls = calls.unionByName(spark.createDataFrame([("d", "zzz", "{}", None)], calls.schema))
+    notes = spark.createDataFrame([("s", "system", "be kind"), (None, None, None)], "note_id string, role string, text string")
+    rows = tool_chat.format_calls(calls, results, schemas, notes).collect()
     got = {r["call_id"]: r for r in rows if r["kind"] == "call"}
     assert {k: r["level"] for k, r in got.items()} == {"a": 0, "b": 1, "c": 2, "d": 0, "e": None, "f": None, None: 0}
-    assert got["a"]["errors"] == [] and got["a"]["n_results"] == 2 and got["b"]["n_calls"] == 2
+    assert got["a"]["errors"] == [] and got["a"]["n_results"] == 3 and got["b"]["n_calls"] == 2
     assert got["a"]["message"] == '{"arguments":{"n":3,"q":"é\\n"},"id":"a","result":"r1","tool":"find"}'
     assert got["b"]["errors"] == ["unknown: z", "n: too large", "q: not a string"]
     assert got["c"]["errors"] == ["not an object"] == got["f"]["errors"] == got["e"]["errors"]
     assert got["d"]["errors"] == ["unknown tool"]
     assert got[None]["errors"] == ["n: not a integer", "q: missing"]
-    assert {r["call_id"] for r in rows if r["kind"] == "orphan"} == {"zz", None}
+    lost = sorted((r["call_id"] or "", json.loads(r["message"])["result"]) for r in rows if r["kind"] == "orphan")
+    assert lost == [("", "nobody's"), ("", "nor theirs"), ("zz", "lost"), ("zz", "lost too")]
+    again = sorted((r["call_id"], r["n_calls"], r["n_results"], r["message"]) for r in rows if r["kind"] == "duplicate")
+    assert again == [("a", 0, 1, '{"id":"a","result":"r2"}'), ("d", 1, 0, '{"arguments":{},"id":"d","result":null,"tool":"zzz"}')]
+    assert [r["message"] for r in rows if r["kind"] == "note" and r["call_id"]] == ['{"id":"s","role":"system","text":"be kind"}']
     for r in rows:
         assert json.dumps(json.loads(r["message"]), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r["message"]
     assert tool_chat.format_calls(calls.where("false"), results.where("false"), schemas).collect() == []
@@ -211,8 +218,9 @@ def test_pipeline_equals_a_plain_version(spark):
             if chance.max() >= 0.5:
                 first.setdefault(r["text"], (i, model.languages[int(chance.argmax())]))
     left = {i: lang for i, lang in first.values()}
-    gone = plain_similar({i: rows[i]["text"] for i in left})
-    kept = [i for i in left if i not in gone]
+    order = [(i, rows[i]["text"]) for i in left]
+    gone = plain_near(order)
+    kept = [i for k, (i, _) in enumerate(order) if k not in gone]
     frame = spark.createDataFrame([(i, rows[i]["text"], left[i], rows[i]["source"]) for i in kept], "doc_id long, text string, lang string, source string")
     mixed = {r["doc_id"] for r in mixing.mix(frame, queries.TARGETS, rate=queries.MIX_RATE, seed=queries.MIX_SEED).where("kept").collect()}
     got = corpus_pipeline.run(spark, SF).collect()
@@ -232,3 +240,29 @@ def test_stages_take_empty_and_odd_tables(spark):
             assert name == "byte_bpe" or tuple(out.columns) == corpus_pipeline.COLUMNS
     assert {r["doc_id"] for r in corpus_pipeline.drop_copies(spark, odd, SF).collect()} == {1, 3}
     assert exact_dedup.deduplicate(odd).count() == 2
+
+
+def test_mixing_sql_holds_for_unnamed_and_empty_cells(spark, tmp_path):
+    """Sources and languages without a target, and cells whose texts are all empty."""
+    kinds = [(s, v) for s in ("src0", "src1", "elsewhere", None) for v in ("en", "fr", "pt", None)]
+    rows = [(100 * i + k, "" if kind == ("src1", "fr") or i == 5 else "a b c d " * (1 + i % 3), *kind) for i in range(20) for k, kind in enumerate(kinds)]
+    rows += [(9000 + i, text, "src5", "de") for i, text in enumerate([None, "", " "])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    outcome, detail, _ = compare(spark, con, str(tmp_path), "op7_mixing", queries.op7_mixing, queries.OP7_SQL)
+    assert outcome == "same", detail
+    got = {r["doc_id"]: r for r in queries.op7_mixing(spark, str(tmp_path)).collect()}
+    assert {got[i]["probability"] for i in (9000, 9001, 9002)} == {queries.MIX_RATE} and got[9000]["weight"] == 1
+
+
+def test_tool_chat_sql_holds_for_repeated_turns(spark, tmp_path):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "one"), (1, 2, "assistant", "two"), (1, 1, "user", "another one"), (1, 1, "user", "one"),
+            (1, 2, "assistant", "zwei"), (1, 2, "assistant", None), (2, 4, "assistant", "no call"), (2, 4, "assistant", "nor here"),
+            (3, 3, None, "no role"), (3, 5, "user", "a\nb"), (3, 7, "user", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    outcome, detail, _ = compare(spark, con, str(tmp_path), "op3_tool_chat", queries.op3_tool_chat, queries.OP3_SQL)
+    assert outcome == "same", detail

@@ -130,88 +130,6 @@ def test_crowded_keys_lose_no_link(spark, paired):
     assert {n: found.get(n, n) for n in nodes} == expected
 
 
-@pytest.mark.parametrize("gathered", [2, 8192])
-def test_grouped_links_lose_no_link(spark, gathered):
-    rng = random.Random(9)
-    prints = {rng.getrandbits(64) for _ in range(4)}
-    for _ in range(70):
-        prints.add(rng.choice(sorted(prints)) ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, 5))))
-    nodes = {i: p for i, p in enumerate(sorted(prints))}
-    df = spark.createDataFrame([(i, simhash._signed(p)) for i, p in nodes.items()], "node long, fp long")
-    found = {r["node"]: r["component"] for r in components(simhash.grouped_links(df, 4, gathered)).collect()}
-    near = [(i, j) for i in nodes for j in nodes if i < j and (nodes[i] ^ nodes[j]).bit_count() <= 4]
-    assert {n: found.get(n, n) for n in nodes} == plain_components(near, nodes)
-
-
-def plain_similar(texts, least=0.8, rounds=4):
-    """Documents that go, by the rule of similar_copies."""
-    words = {i: np.unique(simhash.shingle_hashes(t, 1)) for i, t in texts.items()}
-    prints = {i: simhash.fold(w) for i, w in words.items()}
-    near = [(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 4]
-    group, gone = defaultdict(list), set()
-    for i, c in plain_components(near, prints).items():
-        group[c].append(i)
-    shingles = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
-    for members in group.values():
-        left = sorted(members)
-        for _ in range(rounds):
-            if len(left) < 2:
-                break
-            head, rest = left[0], left[1:]
-            alike = {i for i in rest if shingles[head] | shingles[i] and len(shingles[head] & shingles[i]) / len(shingles[head] | shingles[i]) >= least}
-            gone |= alike
-            left = [i for i in rest if i not in alike]
-    return gone
-
-
-def test_similar_copies_equal_a_plain_version(spark):
-    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400").collect()}
-    texts |= {10_000 + i: t for i, t in enumerate(ODD)}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("shingles", F.lit(1))
-    rows = simhash.similar_copies(df).collect()
-    assert {r["doc_id"] for r in rows} == plain_similar(texts) and len(rows) > 5
-    assert simhash.similar_copies(df.where("false")).collect() == []
-
-
-def plain_copies(texts, least=0.8):
-    """Documents that go if every one is compared with all of smaller id that stay."""
-    shingles = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
-    stay, gone = [], set()
-    for i in sorted(texts):
-        near = (len(shingles[i] & shingles[k]) / len(shingles[i] | shingles[k]) for k in stay if shingles[i])
-        if any(s >= least for s in near):
-            gone.add(i)
-        else:
-            stay.append(i)
-    return gone
-
-
-@pytest.mark.parametrize("held", [simhash.HELD, 100])
-def test_similar_copies_have_no_limit_of_rounds(spark, held):
-    """One component, as all orders of the same words have one fingerprint: eight texts with two copies each."""
-    rng, words, texts = random.Random(12), [f"w{i}" for i in range(60)], {}
-    for k in range(8):
-        rng.shuffle(words)
-        texts |= {k: " ".join(words), 100 + k: " ".join([*words[:59], words[59].upper()]), 200 + k: " ".join([words[1], words[0], *words[2:]])}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    gone = {r["doc_id"]: r["kept_id"] for r in simhash.similar_copies(df, held=held).collect()}
-    assert gone == {b + k: k for b in (100, 200) for k in range(8)} and set(gone) == plain_copies(texts)
-
-
-def test_near_copies_stage_equals_brute_force(spark):
-    """Pairs of five-word similarity of 0.8 or more are found wherever their fingerprints lie."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    stay = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").select("doc_id").collect()}
-    assert set(texts) - stay == plain_copies(texts) and len(texts) > len(stay)
-
-
-def test_band_links_of_odd_texts(spark):
-    texts = [None, "", " ", "a", "A", "a b c d e f", "a b c d e f", "x y"]
-    rows = simhash.band_links(frame(spark, texts).unionByName(spark.createDataFrame([(None, "a", "x", 1)], "doc_id long, text string, token_ids string, fp int"))).collect()
-    assert {(r["u"], r["v"]) for r in rows} == {(4, 3), (6, 5)}
-    assert simhash.band_links(frame(spark, texts).where("false")).collect() == []
-
 
 def test_components_of_chains_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3)]
@@ -350,3 +268,26 @@ def test_trie_shares_prefixes_of_long_pretokens():
     scores = token_counts.zipf_scores(RANK_FILE)
     tokens = [b"a" * n for n in (1, 700, 699, 3)] + [b"", b"b" * 500 + b"c", b"b" * 500 + b"d"]
     assert token_counts.trie_counts(tokens, scores, 128) == [plain_count(t, scores, 128) for t in tokens]
+
+
+def plain_near(rows):
+    """Keys (id, text) of rows of (id, text) that go: all but the smallest id of each group of linked fingerprints."""
+    prints = {k: simhash.fold(simhash.shingle_hashes(t, 3)) for k, (_, t) in enumerate(rows)}
+    near = [(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 2]
+    groups = defaultdict(list)
+    for k, c in plain_components(near, prints).items():
+        groups[c].append(k)
+    return {k for g in groups.values() for k in g if rows[k][0] != min(rows[x][0] for x in g)}
+
+
+def test_near_copies_go_and_rows_that_share_their_id_stay(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 300").orderBy("doc_id").collect()]
+    rows = [*enumerate(texts), (900, texts[3]), (7, "an unrelated text under a used id"), (901, None), (902, ""), (903, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"fp": F.lit(1), "_other": F.lit("x"), "component_id": F.lit(2)})
+    left = simhash.drop_near_copies(df)
+    gone = plain_near(rows)
+    assert left.columns == df.columns and len(gone) > 5
+    assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == sorted((i, t or "") for k, (i, t) in enumerate(rows) if k not in gone)
+    assert simhash.drop_near_copies(df.where("false")).collect() == []
+    nameless = spark.createDataFrame([(None, "a b c d"), (5, "a b c d"), (None, None)], "doc_id long, text string")
+    assert sorted((r["text"] or "") for r in simhash.drop_near_copies(nameless).collect()) == ["", "a b c d"]
