@@ -29,9 +29,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with a similarity of 0.8 or more over five words, found by SimHash and minimum hashes, the smallest doc_id stays."""
-    gone = simhash.similar_copies(docs, bands=simhash.BANDS).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents whose SimHash fingerprints of three-word shingles link at two bits, the smallest doc_id stays."""
+    return simhash.drop_near_copies(docs).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
