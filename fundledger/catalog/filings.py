@@ -248,6 +248,8 @@ register(
     f"""SELECT cik, concept, {d('period_end')} AS "end", {d('period_start')} AS start, form, {r('val')} AS val, accn, {d('filed')} AS filed FROM facts
     QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, namespace, concept, unit, period_start, period_end, form ORDER BY facts.filed DESC, accn DESC, facts.val DESC) = 1""",
 )
+# The years of the test data: a view needs its columns named.
+YEARS = range(1995, 2002)
 _REVENUE = f"""revenue AS (SELECT *, CAST(val AS DOUBLE) / 1e9 AS bn FROM facts WHERE namespace = 'us-gaap'
   AND concept IN ('Revenues', 'RevenueFromContractWithCustomerExcludingAssessedTax') AND unit = 'USD' AND form IN ('10-K', '10-K/A') AND {_KIND} = 'annual'
   QUALIFY ROW_NUMBER() OVER (PARTITION BY cik ORDER BY period_end DESC, filed DESC, accn DESC, val DESC) <= 5)"""
@@ -261,8 +263,18 @@ register(
     "revenue_by_year",
     lambda spark, sf: fa.pivot_years(fa.annual_revenue(v.facts(spark, sf), 5).withColumn("revenue_k", F.col("revenue_bn") * 1e6), "revenue_k"),
     "facts",
-    f"""WITH {_REVENUE}, one AS (SELECT * FROM revenue QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, period_end ORDER BY filed DESC, bn DESC) = 1)
-    PIVOT (SELECT cik, year(period_end) AS y, {r('bn * 1e6')} AS k FROM one) ON y USING MAX(k) GROUP BY cik""",
+    f"""WITH {_REVENUE}, one AS (SELECT * FROM revenue QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, period_end ORDER BY filed DESC, bn DESC) = 1),
+    k AS (SELECT cik, year(period_end) AS y, {r('bn * 1e6')} AS k FROM one)
+    SELECT cik, {', '.join(f'MAX(k) FILTER (y = {y}) AS "{y}"' for y in YEARS)} FROM k GROUP BY cik""",
+)
+register(
+    "revenue_first_per_year",
+    lambda spark, sf: fa.first_per(
+        fa.annual_revenue(v.facts(spark, sf), 5).withColumn("year", F.year(F.col("end"))), ["cik", "year"], [F.desc("end"), F.desc("filed"), F.desc("revenue_bn")]
+    ).select("cik", "year", "form", "filed", "revenue_bn"),
+    "facts",
+    f"""WITH {_REVENUE} SELECT cik, year(period_end) AS "year", form, {d('filed')} AS filed, {r('bn')} AS revenue_bn FROM revenue
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY cik, year(period_end) ORDER BY period_end DESC, filed DESC, bn DESC) = 1""",
 )
 register(
     "pilot_facts",

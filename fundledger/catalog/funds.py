@@ -12,7 +12,7 @@ from fundledger.operators.alerts import aum_changes
 from fundledger.operators.overlap import overlap_against
 from fundledger.operators.quantiles import metric_card, quartiles_by
 from fundledger.operators.ranking import latest_per_key, page, running_share, sample_rows, share_at, top_n
-from fundledger.operators.semantic import measure_by
+from fundledger.operators.semantic import measure_by, measures_across
 from fundledger.plans.profiles import fund_profiles
 
 
@@ -22,6 +22,17 @@ def _now(spark, sf):
 
 _AUM = "CAST(aum AS DOUBLE) / 1e9"
 
+
+def _dec(x: str) -> str:
+    return f"SUM(CAST({x} AS DECIMAL(28,12)))"
+
+
+def _mean(x: str) -> str:
+    """SQL: a mean of positive numbers to seven places, rounded half up in whole numbers."""
+    return f"(2 * CAST({_dec(x)} * 1000000000000 AS HUGEINT) + COUNT(*) * 100000) // (COUNT(*) * 200000) / 1e7"
+
+
+
 register(
     "fund_units",
     lambda spark, sf: f.with_units(v.funds(spark, sf)).select("as_of_date", "composite_ticker", "aum_bn", "net_expenses_bps"),
@@ -122,7 +133,7 @@ register(
     "aum_card",
     lambda spark, sf: metric_card(f.with_units(_now(spark, sf)).where("aum > 0"), "aum_bn", "composite_ticker"),
     "last_funds",
-    f"""SELECT COUNT(*) AS n, {r(f'SUM({_AUM})')} AS total, {r(f'MIN({_AUM})')} AS min, {r(f'AVG({_AUM})')} AS mean, {r(f'MAX({_AUM})')} AS max,
+    f"""SELECT COUNT(*) AS n, {r(_dec(_AUM))} AS total, {r(f'MIN({_AUM})')} AS min, {r(_mean(_AUM))} AS mean, {r(f'MAX({_AUM})')} AS max,
     (SELECT composite_ticker FROM last_funds WHERE aum > 0 ORDER BY aum DESC, composite_ticker LIMIT 1) AS top_key, {r(f'MEDIAN({_AUM})')} AS median FROM last_funds WHERE aum > 0""",
 )
 register(
@@ -130,7 +141,7 @@ register(
     lambda spark, sf: metric_card(f.fee_funds(_now(spark, sf)), "net_expenses_bps", "composite_ticker"),
     "last_funds",
     f"""WITH x AS (SELECT composite_ticker, net_expenses * 100 AS b FROM last_funds WHERE net_expenses > 0)
-    SELECT COUNT(*) AS n, {r('SUM(b)')} AS total, {r('MIN(b)')} AS min, {r('AVG(b)')} AS mean, {r('MAX(b)')} AS max,
+    SELECT COUNT(*) AS n, {r(_dec('b'))} AS total, {r('MIN(b)')} AS min, {r(_mean('b'))} AS mean, {r('MAX(b)')} AS max,
     (SELECT composite_ticker FROM x ORDER BY b DESC, composite_ticker LIMIT 1) AS top_key, {r('MEDIAN(b)')} AS median FROM x""",
 )
 register(
@@ -301,6 +312,44 @@ register(
     f"""SELECT s.security_type, n.country_of_exchange, {r('SUM(market_value)')} AS market_value FROM newest n
     LEFT JOIN securities s ON n.constituent_ticker = s.constituent_ticker WHERE n.country_of_exchange IS NOT NULL GROUP BY 1, 2""",
 )
+# Each table is summed on its own; a fund counts once for each value that its positions reach.
+register(
+    "measures_across_industries",
+    lambda spark, sf: measures_across(_model(spark, sf), ["assets under management", "fund_count", "portfolio weight", "expense ratio"], ["sic_description"]),
+    "newest last_funds securities",
+    f"""WITH reached AS (SELECT DISTINCT composite_ticker, sic_description FROM newest LEFT JOIN securities USING (constituent_ticker)),
+    a AS (SELECT sic_description, SUM(aum) AS aum, COUNT(*) AS fund_count, AVG(net_expenses) AS net_expenses FROM last_funds LEFT JOIN reached USING (composite_ticker) GROUP BY 1),
+    b AS (SELECT sic_description, SUM(weight) AS weight FROM newest LEFT JOIN securities USING (constituent_ticker) GROUP BY 1)
+    SELECT COALESCE(a.sic_description, b.sic_description) AS sic_description, {r('aum')} AS aum, fund_count, {r('weight')} AS weight, {r('net_expenses')} AS net_expenses
+    FROM a FULL JOIN b ON a.sic_description IS NOT DISTINCT FROM b.sic_description""",
+)
+register(
+    "measures_across_issuers",
+    lambda spark, sf: measures_across(_model(spark, sf), ["security_count", "position value", "AUM"], ["provider", "securities.exchange"]),
+    "newest last_funds securities",
+    f"""WITH links AS (SELECT n.composite_ticker, n.constituent_ticker, n.market_value, f.issuer, s.exchange FROM newest n
+      LEFT JOIN last_funds f ON n.composite_ticker = f.composite_ticker LEFT JOIN securities s ON n.constituent_ticker = s.constituent_ticker),
+    counted AS (SELECT issuer, s.exchange, COUNT(*) AS security_count FROM securities s
+      LEFT JOIN (SELECT DISTINCT constituent_ticker, issuer FROM links) l ON s.constituent_ticker = l.constituent_ticker GROUP BY ALL),
+    summed AS (SELECT issuer, exchange, SUM(market_value) AS market_value FROM links GROUP BY ALL),
+    owned AS (SELECT f.issuer, l.exchange, SUM(aum) AS aum FROM last_funds f
+      LEFT JOIN (SELECT DISTINCT composite_ticker, exchange FROM links) l ON f.composite_ticker = l.composite_ticker GROUP BY ALL),
+    every AS (SELECT issuer, exchange, security_count, NULL AS mv, NULL AS aum FROM counted UNION ALL SELECT issuer, exchange, NULL, market_value, NULL FROM summed
+      UNION ALL SELECT issuer, exchange, NULL, NULL, aum FROM owned)
+    SELECT issuer, exchange, MAX(security_count) AS security_count, {r('MAX(mv)')} AS market_value, {r('MAX(aum)')} AS aum FROM every GROUP BY ALL""",
+)
+register(
+    "measures_across_filtered",
+    lambda spark, sf: measures_across(
+        _model(spark, sf), ["fund size", "position_count", "dollar value"], ["fund asset class"], {"securities.state_of_inc": lambda c: c.isin("DE", "NY")}
+    ),
+    "newest last_funds securities",
+    f"""WITH hit AS (SELECT n.* FROM newest n JOIN securities s ON n.constituent_ticker = s.constituent_ticker WHERE s.state_of_inc IN ('DE', 'NY')),
+    a AS (SELECT asset_class, SUM(aum) AS aum FROM last_funds WHERE composite_ticker IN (SELECT composite_ticker FROM hit) GROUP BY 1),
+    b AS (SELECT f.asset_class, COUNT(*) AS position_count, SUM(market_value) AS market_value FROM hit LEFT JOIN last_funds f ON hit.composite_ticker = f.composite_ticker GROUP BY 1)
+    SELECT COALESCE(a.asset_class, b.asset_class) AS asset_class, {r('aum')} AS aum, position_count, {r('market_value')} AS market_value
+    FROM a FULL JOIN b ON a.asset_class IS NOT DISTINCT FROM b.asset_class""",
+)
 register(
     "question_aum_by_sector",
     lambda spark, sf: measure_by(_model(spark, sf), ["assets"], ["sector"]),

@@ -1,15 +1,15 @@
 """How much two funds hold in common.
 
-The funds to compare are chosen by the caller, two to four as pairs, or one against all others.
-The number of rows a security gives is bounded by that choice and never grows with the square of
-the funds that hold it.
+The funds to compare are chosen by the caller, two to four as pairs, or one against all others: then a
+security gives no more rows than that choice. :func:`overlap_above` finds all pairs of funds whose common
+weight reaches a threshold, without listing the pairs that share a security.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundledger.operators.ranking import top_per_group
@@ -130,6 +130,49 @@ def overlap_against(holdings: DataFrame, anchor: DataFrame) -> DataFrame:
     )
 
 
+def rare_parts(holdings: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(positions with a weight, at each fund's latest snapshot; of them those that a pair must meet in).
+
+    Securities are ordered from rare to common, in steps of a quarter of a doubling. A fund's weight from a step
+    onwards falls along this order; its part is all steps from which ``least`` is still left. If two
+    funds have ``least`` in common, the rarest security that they share lies in the part of both. Weights are
+    summed for each fund and step, of which a fund has few, so no fund's positions are sorted in one task.
+    """
+    rows = latest_positions(holdings).where("weight > 0").select(
+        F.col("composite_ticker").alias("fund"), F.col("constituent_ticker").alias("security"), F.col("weight").cast("double").alias("weight")
+    )
+    held = rows.groupBy("security").agg(F.floor(4 * F.log2(F.count(F.lit(1)))).cast("int").alias("step"))
+    stepped = rows.join(held, "security")
+    onwards = Window.partitionBy("fund").orderBy(F.desc("step"))
+    sums = stepped.groupBy("fund", "step").agg(F.sum("weight").alias("w")).withColumn("left", F.sum("w").over(onwards))
+    # A little below the threshold, as sums of doubles depend on their order.
+    last = sums.where(F.col("left") >= least - 1e-6).groupBy("fund").agg(F.max("step").alias("last"))
+    return rows, stepped.join(last, "fund").where("step <= last").select("fund", "security", "step")
+
+
+def candidate_pairs(part: DataFrame) -> DataFrame:
+    """(fund_a, fund_b): funds whose parts meet, each pair once."""
+    a = part.select(F.col("fund").alias("fund_a"), "security")
+    b = part.select(F.col("fund").alias("fund_b"), "security")
+    return a.join(b, "security").where("fund_a < fund_b").select("fund_a", "fund_b").distinct()
+
+
+def overlap_above(holdings: DataFrame, least: float) -> DataFrame:
+    """fund_a, fund_b, overlap_count, overlap_by_weight of every pair with at least ``least`` common weight.
+
+    ``least`` is positive, in percent like the weights. Positions without a weight count for nothing.
+    """
+    if least <= 0:
+        raise ValueError("the threshold is positive")
+    rows, part = rare_parts(holdings, least)
+    pairs = candidate_pairs(part)
+    a = rows.select(F.col("fund").alias("fund_a"), "security", F.col("weight").alias("wa"))
+    b = rows.select(F.col("fund").alias("fund_b"), "security", F.col("weight").alias("wb"))
+    both = pairs.join(a, "fund_a").join(b, ["fund_b", "security"])
+    common = both.groupBy("fund_a", "fund_b").agg(F.count(F.lit(1)).alias("overlap_count"), F.sum(F.least("wa", "wb")).alias("overlap_by_weight"))
+    return common.where(F.col("overlap_by_weight") >= least)
+
+
 def largest_funds(funds: DataFrame, n: int) -> DataFrame:
     """Tickers of the ``n`` funds with the most assets at each fund's latest row."""
     latest = top_per_group(

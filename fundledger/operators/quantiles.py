@@ -134,14 +134,18 @@ def describe(df: DataFrame, value: str) -> DataFrame:
 
 
 def metric_card(df: DataFrame, value: str, key: str) -> DataFrame:
-    """Total, count, min, median, mean, max and the key of the largest value (first key on ties)."""
+    """Total, count, min, median, mean, max and the key of the largest value (first key on ties).
+
+    Total and mean are decimals, of twelve and seven places, so they do not depend on the order of addition.
+    """
     some = df.where(F.col(value).isNotNull())
     first_top = some.orderBy(F.desc(value), F.asc(key)).limit(1).select(key)
+    total = F.sum(F.col(value).cast("decimal(28,12)"))
     card = some.agg(
         F.count("*").alias("n"),
-        F.sum(value).alias("total"),
+        total.alias("total"),
         F.min(value).alias("min"),
-        F.avg(value).alias("mean"),
+        F.round(total / F.count("*"), 7).alias("mean"),
         F.max(value).alias("max"),
     )
     return with_quantiles(

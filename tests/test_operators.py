@@ -1,3 +1,4 @@
+import itertools
 import random
 from datetime import date
 from decimal import Decimal
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fundledger.operators import counting, enrichment, facts, filings, overlap, snapshots
+from fundledger.operators import counting, enrichment, facts, filings, overlap, semantic, snapshots
 from fundledger.operators.alerts import aum_changes
 from fundledger.operators.funds import screen
 from fundledger.operators.quantiles import describe, median_by, quantiles
@@ -318,3 +319,61 @@ def test_reported_fiscal_period_comes_before_the_calendar(spark):
     df = spark.createDataFrame(rows, "cik string, namespace string, concept string, end string, start string, val double, accn string, form string, filed string, fy int, fp string")
     got = {r.cik: (r.fiscal_year, r.fiscal_period) for r in facts.financial_facts(df).collect()}
     assert got == {"1": (2023, "Q4"), "2": (2023, "Q2")}
+
+
+def test_measures_across_tables_count_rows_once(spark):
+    funds = spark.createDataFrame([("A", 100.0, 0.1, "x"), ("B", 10.0, 0.3, "x"), ("C", 1.0, None, None)], "composite_ticker string, aum double, net_expenses double, issuer string")
+    securities = spark.createDataFrame([("p", "s1", "US"), ("q", "s1", "DE"), ("r", "s2", "US"), ("z", None, "US")], "constituent_ticker string, sector_name string, country_of_exchange string")
+    rows = [("A", "p", 60.0), ("A", "q", 30.0), ("A", "r", 10.0), ("B", "p", 99.0), ("B", "gone", 1.0)]
+    tables = {"holdings": spark.createDataFrame(rows, "composite_ticker string, constituent_ticker string, weight double"), "funds": funds, "securities": securities}
+    got = {r["sector_name"]: (r["aum"], r["weight"], r["security_count"]) for r in semantic.measures_across(tables, ["fund size", "allocation", "security_count"], ["sector_name"]).collect()}
+    # Fund A holds two securities of s1 and counts once there; C holds nothing.
+    assert got == {"s1": (110.0, 189.0, 2), "s2": (100.0, 10.0, 1), None: (11.0, 1.0, 1)}
+    whole = semantic.measures_across(tables, ["AUM", "position_count", "expense ratio"], []).collect()
+    assert [tuple(r) for r in whole] == [(111.0, 5, pytest.approx(0.2))]
+    only = semantic.measures_across(tables, ["aum", "weight"], ["issuer"], {"country": lambda c: c == "US"}).collect()
+    assert {tuple(r) for r in only} == {("x", 110.0, 169.0)}
+    both = semantic.measures_across(tables, ["aum"], ["issuer", "sector_name"]).collect()
+    assert {tuple(r) for r in both} == {("x", "s1", 110.0), ("x", "s2", 100.0), ("x", None, 10.0), (None, None, 1.0)}
+    assert semantic.resolve("funds.fund family", tables, []) == ("funds", "issuer")
+    assert sum(len(w) for t in semantic.DECLARED.values() for w in t.values()) > 150
+    for bad in ("no such thing", "funds.country_of_exchange"):
+        with pytest.raises(ValueError):
+            semantic.resolve(bad, tables, [])
+    with pytest.raises(ValueError):
+        semantic.resolve_measure("issuer")
+
+
+def _weights(seed, funds, securities, most):
+    """Positions whose weights sum to 100 a fund; low security numbers are common, and some funds are alike."""
+    rng, rows = random.Random(seed), []
+    for f in range(funds):
+        if f % 7 == 6:
+            rows += [("2024-01-01", f"F{f}", s, w * rng.uniform(0.8, 1)) for _, g, s, w in list(rows) if g == f"F{f - 1}"]
+            continue
+        held = {int(securities * rng.random() ** 3) for _ in range(rng.randint(1, most))}
+        raw = {s: rng.random() for s in held}
+        rows += [("2024-01-01", f"F{f}", f"S{s}", 100 * w / sum(raw.values())) for s, w in raw.items()]
+    return rows
+
+
+@pytest.mark.parametrize("least", [0.5, 30, 80])
+def test_overlap_above_equals_brute_force(spark, least):
+    rows = [*_weights(int(least), 120, 3000, 60), ("2024-01-01", "F0", "S-none", None), ("2023-01-01", "F1", "S0", 100.0)]
+    df = spark.createDataFrame(rows, "as_of_date string, composite_ticker string, constituent_ticker string, weight double")
+    own = {}
+    for day, f, s, w in rows:
+        if w and day == "2024-01-01":
+            own.setdefault(f, {})[s] = w
+    brute = {}
+    for a, b in itertools.combinations(sorted(own), 2):
+        common = [min(w, own[b][s]) for s, w in own[a].items() if s in own[b]]
+        if sum(common) >= least:
+            brute[a, b] = (len(common), pytest.approx(sum(common)))
+    got = {(r["fund_a"], r["fund_b"]): (r["overlap_count"], r["overlap_by_weight"]) for r in overlap.overlap_above(df, least).collect()}
+    assert got == brute and len(brute) > 10
+    if least == 80:
+        sharing = sum(bool(own[a].keys() & own[b].keys()) for a, b in itertools.combinations(own, 2))
+        assert overlap.candidate_pairs(overlap.rare_parts(df, least)[1]).count() < sharing / 5
+    with pytest.raises(ValueError):
+        overlap.overlap_above(df, 0)
