@@ -8,11 +8,12 @@ from fundledger.catalog import views as v
 from fundledger.catalog.registry import d, r, register
 from fundledger.functions.codes import COUNTRY_CODES, REGIONS, CENTROIDS, country_frame, map_codes
 from fundledger.functions.status import reason_label, with_status
-from fundledger.operators import counting, securities as sec, snapshots as s
+from fundledger.operators import counting, searching, securities as sec, snapshots as s
 from fundledger.operators.alerts import alert_counts, alerts
 from fundledger.operators.quantiles import median_by
 from fundledger.operators.ranking import top_n
 from fundledger.plans.profiles import security_profiles
+from fundledger.session import scratch_path
 from fundledger.catalog.holdings import _CHANGES
 
 _STATUS = "CASE WHEN active_flag THEN 'Active' WHEN NOT active_flag THEN 'Inactive' ELSE 'Not Enriched' END"
@@ -107,6 +108,27 @@ register(
     """SELECT constituent_ticker, constituent_name, asset_class FROM securities WHERE constituent_ticker ILIKE '%blue%' OR constituent_name ILIKE '%blue%'
     ORDER BY constituent_ticker LIMIT 10""",
 )
+
+
+def _searched(spark, sf):
+    """Terms from the names and tickers themselves, two of them of two characters, all in one plan."""
+    table = v.securities(spark, sf)
+    index = searching.write_postings(searching.postings(table, "constituent_ticker", ["constituent_ticker", "constituent_name"]), scratch_path(spark, "postings"))
+    word = F.split("constituent_name", " ")
+    first = table.select(F.explode(F.array(F.lower(F.get(word, F.lit(0))), F.upper(F.get(word, F.lit(1))), F.substring("constituent_ticker", -4, 4), F.lit("B"))).alias("term"))
+    terms = first.unionByName(spark.createDataFrame([("en",), ("zz",), ("100%",), ("no such text",)], "term string"))
+    return searching.search(terms, table, "constituent_ticker", ["constituent_ticker", "constituent_name"], index)
+
+
+register(
+    "security_terms",
+    _searched,
+    "securities",
+    """WITH terms AS (SELECT DISTINCT term FROM (SELECT lower(split_part(constituent_name, ' ', 1)) AS term FROM securities UNION ALL
+      SELECT upper(split_part(constituent_name, ' ', 2)) FROM securities UNION ALL SELECT right(constituent_ticker, 4) FROM securities UNION ALL SELECT 'en'))
+    SELECT term, constituent_ticker FROM terms JOIN securities ON contains(lower(constituent_ticker), lower(term)) OR contains(lower(constituent_name), lower(term))
+    WHERE length(term) >= 2""",
+)
 _COVERED = ["isin", "cusip", "edgar_cik", "shares_outstanding"]
 register(
     "identifier_coverage",

@@ -18,7 +18,7 @@ from fundledger.operators.filings import daily_changes
 from fundledger.operators.funds import screen
 from fundledger.plans import layers as plans
 from fundledger.session import scratch_path
-from fundledger.sources import layers, raw, schemas
+from fundledger.sources import layers, loads, raw, schemas
 from fundledger.sources.layers import ensure_columns
 
 DAY, NEXT_DAY, STAMP = "2024-01-25", "2024-01-26", "2024-01-25 06:30:00"
@@ -341,3 +341,33 @@ def _loaded_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("load_new_files", _loaded_once, "filings", 'SELECT cik, accession AS "accessionNumber", form FROM filings')
+
+
+def _load_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads of good files and one broken file among them; the history after both, by load."""
+    source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "loads")
+    rows = _bronze(spark, sf).select("cik", "accessionNumber", "form")
+    schema = "cik string, accessionNumber string, form string"
+    rows.where("form = '10-Q'").write.mode("append").parquet(source)
+    # A text file under a name that readers take for Parquet.
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{source}/broken.parquet")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.writeBytes("not a table, but longer than a footer")
+    out.close()
+    loads.load_files(spark, source, schema, root)
+    rows.where("form <> '10-Q'").write.mode("append").parquet(source)
+    for _ in range(2):
+        loads.load_files(spark, source, schema, root)
+    known = loads.history(spark, root).groupBy("load").agg(F.sum("rows").alias("rows"), F.count("error").alias("rejected"))
+    held = loads.loaded(spark, root, schema).groupBy((F.col("form") != "10-Q").cast("int").alias("later")).agg(F.count_distinct("accessionNumber").alias("accessions"))
+    return known.join(held, known["load"] == held["later"] + 1).select("load", "rows", "rejected", "accessions")
+
+
+register(
+    "load_history",
+    _load_history,
+    "filings",
+    """SELECT CASE form WHEN '10-Q' THEN 1 ELSE 2 END AS load, COUNT(*) AS "rows", CASE form WHEN '10-Q' THEN 1 ELSE 0 END AS rejected,
+    COUNT(DISTINCT accession) AS accessions FROM (SELECT accession, CASE form WHEN '10-Q' THEN form ELSE 'other' END AS form FROM filings) GROUP BY form""",
+)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fundledger.functions.keys import cik10
 from fundledger.functions.text import pad_zeros
+from fundledger.sources.buckets import upsert_buckets
 from fundledger.sources.layers import exists
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -121,3 +122,59 @@ def merged_companies(parts: DataFrame) -> DataFrame:
     return parts.groupBy("cik").agg(
         F.min("first_seen_date").alias("first_seen_date"), F.max("last_seen_date").alias("last_seen_date")
     )
+
+
+COMPANIES = "cik string, first_seen_date date, last_seen_date date"
+
+
+def upsert_companies(spark: SparkSession, path: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A batch handler that merges each batch's companies into a bucketed table.
+
+    A batch reads and rewrites only the buckets of its companies; a replayed batch changes nothing.
+    """
+
+    def spans(batch: DataFrame, known: DataFrame) -> DataFrame:
+        both = batch.unionByName(known.join(batch.select("cik"), "cik", "left_semi"))
+        return merged_companies(both)
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = seen_companies(batch.where("cik is not null"))
+        upsert_buckets(spark, path, COMPANIES, rows, ["cik"], ["first_seen_date", "last_seen_date"], buckets, spans)
+
+    return each
+
+
+def daily_windows(filings: DataFrame, late: str = "1 day") -> DataFrame:
+    """Filings of each day of event time and form, with a sketch of their filers.
+
+    A day is given out once the watermark, ``late`` behind the latest event, has passed its end, and its state
+    is freed then. Rows that come later are not counted here. Sketches of several days or forms merge.
+    """
+    days = filings.withWatermark("ts", late).groupBy(F.window("ts", "1 day").alias("day"), "form_type")
+    sums = days.agg(F.count(F.lit(1)).alias("filings"), F.hll_sketch_agg("cik").alias("filers"))
+    return sums.select(F.to_date("day.start").alias("filed_date"), "form_type", "filings", "filers")
+
+
+def distinct_filers(windows: DataFrame, by: list[str]) -> DataFrame:
+    """Filings and distinct filers of closed windows, merged to coarser groups."""
+    return windows.groupBy(*by).agg(F.sum("filings").alias("filings"), F.hll_sketch_estimate(F.hll_union_agg("filers")).alias("filers"))
+
+
+PROGRESS = "batch long, watermark string, input_rows long, state_rows long, late_groups long"
+
+
+def run_windows(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str, progress: str) -> None:
+    """Run windowed sums over what is there; each batch's state and what came too late go to a side table.
+
+    ``late_groups`` counts what the watermark turned away after sums within a task, that is groups of late rows.
+    A restart writes a further part of the side table.
+    """
+    query = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = []
+    for p in query.recentProgress:
+        state = p.stateOperators[0] if p.stateOperators else None
+        mark = p.eventTime.get("watermark") if p.eventTime else None
+        rows.append((p.batchId, mark, p.numInputRows, state.numRowsTotal if state else 0, state.numRowsDroppedByWatermark if state else 0))
+    if rows:
+        spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(progress)
