@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from fundledger.llm.common import arrow_rows, cut_lineage, only
 
 # Bytes of text that are aligned together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 # Latin letters with their marks, and common punctuation.
 _OTHER = re.compile("[^\x00-ɏ‐-‧€]")
 
@@ -154,16 +154,22 @@ class Aligner:
         }
 
     def _groups(self, rows: int, a, b, doc_a, doc_b, end_a, end_b) -> tuple[list[str], np.ndarray]:
-        stops = np.intersect1d(end_a, end_b)
-        group_a, group_b = np.searchsorted(stops, end_a), np.searchsorted(stops, end_b)
-        last = lambda g: np.append(g[1:] != g[:-1], True) if len(g) else np.empty(0, dtype=bool)
+        # Ends ascend on both sides; a group ends where they meet.
+        meet = np.searchsorted(end_b, end_a)
+        stop_a = end_b[np.minimum(meet, len(end_b) - 1)] == end_a if len(end_b) else np.zeros(0, dtype=bool)
+        stop_b = np.zeros(len(b), dtype=bool)
+        stop_b[meet[stop_a]] = True
+        group_a, group_b = np.cumsum(stop_a) - stop_a, np.cumsum(stop_b) - stop_b
+        of_a, of_b = np.bincount(group_a), np.bincount(group_b)
+        # In the text of a group its A tokens stand first, then its B tokens.
+        words = np.empty(len(a) + len(b), dtype=np.int64)
         size = len(self.size_a)
-        words = np.concatenate([a + np.where(last(group_a), size, 0), b + 2 * size + np.where(last(group_b), len(self.size_b), 0)])
-        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        text = self.words[words[order]].tolist()
+        words[np.arange(len(a)) + (np.cumsum(of_b) - of_b)[group_a]] = a + np.where(stop_a, size, 0)
+        words[np.arange(len(b)) + np.cumsum(of_a)[group_b]] = b + 2 * size + np.where(stop_b, len(self.size_b), 0)
+        text = self.words[words].tolist()
         ends = np.cumsum(np.bincount(doc_a, minlength=rows) + np.bincount(doc_b, minlength=rows)).tolist()
         digests = [hashlib.sha256("".join(text[x:y])[:-1].encode()).hexdigest() if y > x else "" for x, y in zip([0, *ends], ends)]
-        return digests, np.bincount(doc_a[last(group_a)], minlength=rows)
+        return digests, np.bincount(doc_a[stop_a], minlength=rows)
 
 
 @lru_cache(maxsize=1)
