@@ -14,7 +14,7 @@ from it to such a word; words without digit or ``@`` have none. A document witho
 no spans, and messages run only where matches and words like them meet.
 
 Weights are learned from ``docs`` by pseudo-likelihood, on a bounded sample (``SAMPLE`` documents of at most
-``SAMPLE_CHARS`` characters, drawn by a hash of the id): the labels are the patterns' own. Everything else
+``SAMPLE_CHARS`` characters, drawn by a hash): the labels are the patterns' own. Everything else
 covers whole texts of all rows.
 
 Defined results: a null text is empty and has no spans. Patterns are matched for each kind on its own,
@@ -295,7 +295,10 @@ def fit(texts: list[str], steps: int = 1500, rate: float = 1.0, decay: float = 2
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Field:
     """A field fitted on up to ``sample`` texts with a digit or ``@``, of at most ``chars`` characters each."""
     rows = only(docs, id_col, text_col).where(F.length("text") <= chars).where(F.col("text").rlike("[0-9@]"))
-    drawn = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    # About twice the sample by the hash alone, so that little more than it is ever gathered.
+    share = min(1.0, 2 * sample / max(1, rows.count())) * (1 << 30)
+    drawn = rows.where(drawn < int(share)).orderBy(drawn, "doc_id").limit(sample)
     return fit(drawn.select("text").toArrow().column(0).to_pylist())
 
 

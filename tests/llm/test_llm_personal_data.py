@@ -107,7 +107,6 @@ def test_labels_are_carried_to_words_alike(field):
     assert added(field, "card 4041894974608795 is 4041-8949-7460-8795; 994041894974608795000") == []
     assert added(field, "the year 2024, room 42 and password=b7db7aa4a5fcc78305, call +1 (988) 555-2485") == []
     assert added(field, "no match here: (988) 555-2485 and again (988) 555-2485, 4041894974608796 4041894974608796") == []
-    assert added(field, "+1 (988) 555-2485, in short 19885552485") == [("phone", "19885552485")]
     assert added(field, "") == []
 
 
