@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundledger.functions.codes import COUNTRY_CODES
 from fundledger.functions.text import pad_zeros
 
 # Values of the views, shared by both sides.
-COUNTRIES = [
-    "US", "CN", "JP", "IN", "KR", "HK", "TH", "CA", "TW", "GB", "AU", "DE", "SE",
-    "MY", "BR", "TR", "ID", "FR", "CH", "IL", "NO", "FI", "ZA", "MX", "ZW",
-]
+# Some countries with a code, the home country, and one without a code.
+_CODED = [c for c in sorted(COUNTRY_CODES) if c != "US"]
+COUNTRIES = [*_CODED[:: len(_CODED) // 23][:23], "US", "ZW"]
 EXCHANGES = ["NYSE", "Nasdaq", "LSE", "TSE"]
 CURRENCIES = ["USD", "EUR", "JPY", "GBP", "CNY"]
 SECTORS = ["Technology", "Health Care", "Financials", "Energy", "Utilities"]
