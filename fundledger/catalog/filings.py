@@ -40,6 +40,11 @@ def _dim(spark, sf):
     return layers.dim_security(v.tickers(spark, sf), DAY, companies=_companies(spark, sf), stamp=STAMP)
 
 
+def _keys(spark, sf):
+    """The dimension for joins: keys and names, without the company documents."""
+    return layers.dim_security(v.tickers(spark, sf), DAY, stamp=STAMP)
+
+
 register("listed_tickers", lambda spark, sf: layers.listed_only(v.tickers(spark, sf)), "tickers", "SELECT * FROM tickers WHERE exchange IN ('NYSE', 'Nasdaq')")
 register(
     "security_ids",
@@ -175,7 +180,7 @@ _SILVER = f"""{_DIM}, silver AS (SELECT dim.security_id, f.cik, accession AS acc
 
 
 def _silver_filings(spark, sf):
-    return fi.silver_filings(v.filings(spark, sf), _dim(spark, sf))
+    return fi.silver_filings(v.filings(spark, sf), _keys(spark, sf))
 
 
 register(
@@ -199,14 +204,14 @@ register(
 )
 register(
     "corporate_events",
-    lambda spark, sf: fi.corporate_events(fi.corporate_actions(_silver_filings(spark, sf)), _dim(spark, sf)),
+    lambda spark, sf: fi.corporate_events(fi.corporate_actions(_silver_filings(spark, sf)), _keys(spark, sf)),
     "filings tickers",
     f"""WITH {_EVENTS} SELECT e.security_id, e.cik, ticker, company_name, event_type, {d('event_date')} AS event_date, effective_date, form_type, {d('filed_date')} AS filed_date,
     description FROM events e JOIN dim ON e.security_id = dim.security_id""",
 )
 register(
     "filing_catalog",
-    lambda spark, sf: fi.filing_catalog(_silver_filings(spark, sf), _dim(spark, sf)),
+    lambda spark, sf: fi.filing_catalog(_silver_filings(spark, sf), _keys(spark, sf)),
     "filings tickers",
     f"""WITH {_SILVER} SELECT s.security_id, s.cik, ticker, company_name, accession_number, form_type, {d('filed_date')} AS filed_date, {d('period_of_report')} AS period_of_report,
     filing_url, primary_document FROM silver s JOIN dim ON s.security_id = dim.security_id""",
@@ -309,7 +314,7 @@ register("financial_facts", lambda spark, sf: fa.financial_facts(v.facts(spark,
 
 
 def _silver_facts(spark, sf):
-    return fa.silver_facts(v.facts(spark, sf), _dim(spark, sf))
+    return fa.silver_facts(v.facts(spark, sf), _keys(spark, sf))
 
 
 _SILVER_FACTS = f"{_DIM}, {_WIDE}, sf AS (SELECT wide.*, dim.security_id, ticker, company_name, exchange FROM wide JOIN dim ON wide.cik = dim.cik)"
@@ -328,7 +333,7 @@ def _sql_ratio(n: str, m: str, zero: str) -> str:
 for _name, _zero in (("statements_annual", "null"), ("statements_annual_zero_ratio", "zero")):
     register(
         _name,
-        lambda spark, sf, zero=_zero: fa.statements_annual(_silver_facts(spark, sf), _dim(spark, sf), zero),
+        lambda spark, sf, zero=_zero: fa.statements_annual(_silver_facts(spark, sf), _keys(spark, sf), zero),
         "facts tickers",
         f"""WITH {_SILVER_FACTS} SELECT {_STATEMENT_HEAD}, {_sql_ratio('net_income', 'revenues', _zero)} AS net_margin,
         {_sql_ratio('net_income', 'stockholders_equity', _zero)} AS return_on_equity, {_sql_ratio('long_term_debt', 'stockholders_equity', _zero)} AS debt_to_equity
@@ -336,7 +341,7 @@ for _name, _zero in (("statements_annual", "null"), ("statements_annual_zero_rat
     )
 register(
     "statements_quarterly",
-    lambda spark, sf: fa.statements_quarterly(_silver_facts(spark, sf), _dim(spark, sf), 8),
+    lambda spark, sf: fa.statements_quarterly(_silver_facts(spark, sf), _keys(spark, sf), 8),
     "facts tickers",
     f"""WITH {_SILVER_FACTS} SELECT {_STATEMENT_HEAD}, fiscal_period FROM sf WHERE form_type IN ('10-Q', '10-Q/A')
     QUALIFY ROW_NUMBER() OVER (PARTITION BY security_id ORDER BY sf.period_end DESC, form_type) <= 8""",
@@ -353,7 +358,7 @@ _LAST = "(list({c} ORDER BY period_end DESC, filed_date DESC, form_type DESC) FI
 register(
     "company_profile",
     lambda spark, sf: fa.company_profile(
-        _dim(spark, sf), _silver_filings(spark, sf), _silver_facts(spark, sf), _companies(spark, sf), en.active_flags(v.filings(spark, sf), AS_OF)
+        _keys(spark, sf), _silver_filings(spark, sf), _silver_facts(spark, sf), _companies(spark, sf), en.active_flags(v.filings(spark, sf), AS_OF)
     ),
     "facts filings tickers",
     f"""WITH {_SILVER_FACTS}, {_SENT}, {_FLAGS}, d10 AS (SELECT cik, MAX(filing_date) FILTER (form = '10-K') AS k, MAX(filing_date) FILTER (form = '10-Q') AS q FROM filings GROUP BY 1),

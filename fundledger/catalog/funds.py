@@ -11,7 +11,7 @@ from fundledger.operators import counting, funds as f, holdings as h, snapshots
 from fundledger.operators.alerts import aum_changes
 from fundledger.operators.overlap import overlap_against
 from fundledger.operators.quantiles import metric_card, quartiles_by
-from fundledger.operators.ranking import latest_per_key, page, running_share, sample_rows, share_at, top_n
+from fundledger.operators.ranking import latest_per_key, page, page_after, pages, running_share, sample_rows, share_at, top_n
 from fundledger.operators.semantic import measure_by, measures_across
 from fundledger.plans.profiles import fund_profiles
 
@@ -51,6 +51,29 @@ register(
     "last_funds",
     f"SELECT composite_ticker, {r('aum')} AS aum, num_holdings FROM last_funds ORDER BY last_funds.num_holdings DESC NULLS LAST, composite_ticker LIMIT 25 OFFSET 25",
 )
+
+
+def _next_page(spark, sf):
+    """The page behind the last row of the first page, found by that row's value and key."""
+    rows = _now(spark, sf).select("composite_ticker", "aum", "num_holdings")
+    end = page(rows, "num_holdings", "composite_ticker", size=25).orderBy(F.asc_nulls_first("num_holdings"), F.desc("composite_ticker")).limit(1)
+    last = (end.select("num_holdings").scalar(), end.select("composite_ticker").scalar())
+    return page_after(rows, "num_holdings", "composite_ticker", last, size=25)
+
+
+register(
+    "fund_page_next",
+    _next_page,
+    "last_funds",
+    f"SELECT composite_ticker, {r('aum')} AS aum, num_holdings FROM last_funds ORDER BY last_funds.num_holdings DESC NULLS LAST, composite_ticker LIMIT 25 OFFSET 25",
+)
+register(
+    "fund_pages",
+    lambda spark, sf: pages(_now(spark, sf).select("composite_ticker", "aum"), "aum", "composite_ticker", size=40),
+    "last_funds",
+    f"""SELECT composite_ticker, {r('aum')} AS aum, (place - 1) // 40 + 1 AS page, (place - 1) % 40 + 1 AS place
+    FROM (SELECT composite_ticker, aum, ROW_NUMBER() OVER (ORDER BY last_funds.aum DESC NULLS LAST, composite_ticker) AS place FROM last_funds)""",
+)
 register(
     "screener",
     lambda spark, sf: f.screen(

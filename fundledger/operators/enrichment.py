@@ -122,10 +122,10 @@ def _latest_points(points: DataFrame) -> DataFrame:
         F.col("form").isin(REPORT_FORMS) & (F.col("val") != 0) & F.col("filed").isNotNull()
     )
     key = ["cik", "concept"]
-    newest = usable.groupBy(*key).agg(F.max(F.struct("filed", "accn", "form")).alias("_new"))
-    same = usable.join(newest, key).where(
-        (F.col("filed") == F.col("_new.filed")) & (F.col("form") == F.col("_new.form"))
-    )
+    # Only the last day's rows leave a task; the filing's form is that of the day's highest accession.
+    newest = usable.withColumn("_day", F.rank().over(Window.partitionBy(*key).orderBy(F.desc("filed")))).where("_day = 1")
+    last = Window.partitionBy(*key).orderBy(F.desc("accn"), F.desc("form"))
+    same = newest.withColumn("_form", F.first("form").over(last)).where(F.col("form") == F.col("_form"))
     ranked = top_per_group(
         same.select(*key, "val", "end", "accn"),
         key,
@@ -231,12 +231,13 @@ def enrichment_report(enriched: DataFrame) -> DataFrame:
 
 
 def first_source(sources: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Union of sources in order of preference; each key keeps the row of its first source."""
+    """Union of sources in order of preference; each key keeps the row of its first source.
+
+    Of several rows in that source the smallest stays, by all columns in order, nulls last.
+    """
     tagged = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
     together = tagged[0]
     for other in tagged[1:]:
         together = together.unionByName(other, allowMissingColumns=True)
-    first = Window.partitionBy(*keys).orderBy("_source")
-    return (
-        together.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank", "_source")
-    )
+    order = [F.asc("_source"), *[F.asc_nulls_last(c) for c in together.columns if c not in (*keys, "_source")]]
+    return top_per_group(together, keys, order, 1).drop("_source")

@@ -34,6 +34,45 @@ def page(df: DataFrame, sort_by: str, key: str, ascending: bool = False, number:
     return df.orderBy(first, F.asc(key)).offset((number - 1) * size).limit(size)
 
 
+def page_after(df: DataFrame, sort_by: str, key: str, last: tuple, ascending: bool = False, size: int = 50) -> DataFrame:
+    """The page behind the row ``last`` (its value and key), in the order of :func:`page`.
+
+    What comes before is filtered out in the scan, so page ten thousand costs what page one does. The parts
+    of ``last`` are plain values or scalar columns.
+    """
+    if not 0 < size <= 200:
+        raise ValueError("a page has 1 to 200 rows")
+    x, value, at = F.col(sort_by), F.lit(last[0]), F.lit(last[1])
+    beyond = (x > value) if ascending else (x < value)
+    rest = beyond | (x.eqNullSafe(value) & (F.col(key) > at)) | (x.isNull() & value.isNotNull())
+    first = F.asc_nulls_last(sort_by) if ascending else F.desc_nulls_last(sort_by)
+    return df.where(rest).orderBy(first, F.asc(key)).limit(size)
+
+
+def ranked(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
+    """Rows numbered from one in a total order, without gathering them in one task.
+
+    The sorted layout is written once; the offsets are one row per partition of it.
+    """
+    placed = cut_lineage(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("_part").orderBy(*order)
+    numbered = placed.join(F.broadcast(offsets), "_part")
+    return numbered.withColumn(rank, F.col("_before") + F.row_number().over(inside)).drop("_part", "_before")
+
+
+def pages(df: DataFrame, sort_by: str, key: str, ascending: bool = False, size: int = 50) -> DataFrame:
+    """Every row with the number of its page and its place there. Written by page, any page is one read."""
+    first = F.asc_nulls_last(sort_by) if ascending else F.desc_nulls_last(sort_by)
+    at = F.col("rank") - 1
+    return ranked(df, [first, F.asc(key)]).withColumns(
+        {"page": F.floor(at / size) + 1, "place": at % size + 1}
+    ).drop("rank")
+
+
 def top_n(df: DataFrame, value: str, key: str, n: int, largest: bool = True) -> DataFrame:
     """The ``n`` rows with the largest (or smallest) value, ties by key."""
     first = F.desc_nulls_last(value) if largest else F.asc_nulls_last(value)

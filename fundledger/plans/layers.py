@@ -20,6 +20,7 @@ from fundledger.operators.filings import (
     filing_catalog,
     silver_filings,
 )
+from fundledger.operators.ranking import top_per_group
 from fundledger.sources.layers import upsert
 
 # Columns of the security dimension that a new day may change.
@@ -59,18 +60,26 @@ def dim_security(
         F.lit(stamp).cast("timestamp_ntz").alias("created_at"),
         F.lit(stamp).cast("timestamp_ntz").alias("updated_at"),
     )
-    if companies is None:
-        rows = rows.withColumns({"sic": F.lit(None).cast("string"), "entity_type": F.lit(None).cast("string")})
-    else:
-        rows = rows.join(companies.select("cik", "sic", F.col("entityType").alias("entity_type")), "cik", "left")
-    today = rows.groupBy("security_id").agg(
-        F.min_by(F.struct(*[c for c in rows.columns if c != "security_id"]), "ticker").alias("_r")
-    ).select("security_id", "_r.*")
+    order = [F.asc_nulls_last("ticker"), F.asc_nulls_last("company_name"), F.asc("exchange")]
+    today = with_company(top_per_group(rows, ["security_id"], order, 1), companies)
     if previous is None:
         return today
     return upsert(previous, today, ["security_id"], DIM_UPDATES, keep=("first_seen_date", "created_at"))
 
 
+def with_company(dim: DataFrame, companies: DataFrame | None) -> DataFrame:
+    """The dimension with industry and entity type, null without ``companies``.
+
+    This is the only step that reads company documents; what needs keys and names alone goes without it.
+    A company that was submitted several times gives one row.
+    """
+    if companies is None:
+        return dim.withColumns({"sic": F.lit(None).cast("string"), "entity_type": F.lit(None).cast("string")})
+    known = companies.select("cik", "sic", F.col("entityType").alias("entity_type"))
+    known = top_per_group(known, ["cik"], [F.asc_nulls_last("sic"), F.asc_nulls_last("entity_type")], 1)
+    return dim.join(known, "cik", "left").select(*dim.columns, "sic", "entity_type")
+
+
 def to_silver(
     tickers: DataFrame,
     filings: DataFrame,
@@ -81,12 +90,12 @@ def to_silver(
     stamp: str | None = None,
 ) -> dict[str, DataFrame]:
     """All silver tables of a day from its bronze tables."""
-    dim = dim_security(tickers, date, previous, companies=companies, stamp=stamp)
-    indexed = silver_filings(filings, dim)
+    keys = dim_security(tickers, date, previous, stamp=stamp)
+    indexed = silver_filings(filings, keys)
     return {
-        "dim_security": dim,
+        "dim_security": dim_security(tickers, date, previous, companies=companies, stamp=stamp),
         "filings_index": indexed,
-        "financial_facts": silver_facts(facts, dim),
+        "financial_facts": silver_facts(facts, keys),
         "corporate_actions": corporate_actions(indexed),
     }
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fundledger.operators import counting, enrichment, facts, filings, overlap, semantic, snapshots
+from fundledger.operators import counting, enrichment, facts, filings, overlap, ranking, semantic, snapshots
 from fundledger.operators.alerts import aum_changes
 from fundledger.operators.funds import screen
 from fundledger.operators.quantiles import describe, median_by, quantiles
@@ -201,6 +201,38 @@ def test_first_source_wins_per_key(spark):
     assert rows_of(enrichment.first_source([a, b], ["k"])) == [(1, "a"), (2, "b")]
 
 
+def test_first_source_breaks_ties_inside_a_source(spark):
+    a = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, None, 0)], "k int, v string, n int")
+    for rows in (a, a.orderBy(F.desc("n")), a.repartition(3)):
+        assert rows_of(enrichment.first_source([rows], ["k"])) == [(1, "a", 2)]
+
+
+def test_pages_by_seeking_and_by_rank_equal_pages_by_offset(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else float(i % 5)) for i in range(60)], "k int, v double").repartition(5)
+    for up in (False, True):
+        whole = [tuple(r) for r in df.orderBy(F.asc_nulls_last("v") if up else F.desc_nulls_last("v"), "k").collect()]
+        last, met = None, []
+        for number in range(1, 8):
+            got = ranking.page(df, "v", "k", up, 1, 9) if last is None else ranking.page_after(df, "v", "k", last, up, 9)
+            rows = [tuple(r) for r in got.collect()]
+            assert rows == whole[(number - 1) * 9 : number * 9]
+            met += rows
+            last = (rows[-1][1], rows[-1][0]) if rows else last
+        assert met == whole
+        numbered = {(r["page"], r["place"]): (r["k"], r["v"]) for r in ranking.pages(df, "v", "k", up, 9).collect()}
+        assert numbered == {(i // 9 + 1, i % 9 + 1): row for i, row in enumerate(whole)}
+
+
+def test_joins_by_the_dimension_leave_company_documents_unread(spark):
+    from fundledger.catalog import all_queries
+
+    def parsed(name):
+        return "from_json" in all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert parsed("dim_security")
+    assert not any(parsed(n) for n in ("filing_catalog", "corporate_actions", "statements_annual", "silver_facts"))
+
+
 def test_daily_changes_keep_first_seen_order(spark):
     rows = [("f", 9, "1", "late name", "10-K"), ("f", 3, "1", "first name", "8-K"), ("f", 5, "1", "x", "10-K"), ("f", 6, "1", "x", "")]
     df = spark.createDataFrame(rows, "path string, line long, cik string, company_name string, form string").withColumn("ingestion_date", F.lit("d"))
