@@ -18,7 +18,7 @@ from fundledger.operators.filings import daily_changes
 from fundledger.operators.funds import screen
 from fundledger.plans import layers as plans
 from fundledger.session import scratch_path
-from fundledger.sources import layers, loads, raw, schemas
+from fundledger.sources import checked, layers, loads, raw, schemas
 from fundledger.sources.layers import ensure_columns
 
 DAY, NEXT_DAY, STAMP = "2024-01-25", "2024-01-26", "2024-01-25 06:30:00"
@@ -156,6 +156,22 @@ register(
     "facts",
     f"""SELECT cik, entity_name, namespace, concept, concept AS label, unit, fy, fp, {d('period_end')} AS "end", {d('period_start')} AS start, {r('val')} AS val, accn, form, {d('filed')} AS filed, frame FROM facts""",
 )
+
+
+def _variants(spark, sf):
+    """Documents with a field that no schema declares, read back from the variant that keeps it."""
+    docs = v.fact_docs(spark, sf).withColumn("raw", F.regexp_replace("raw", r'"accn":"([^"]*)"', r'"segment":{"id":"s-$1"},"accn":"$1"'))
+    rows = raw.explode_fact_variants(docs)
+    return rows.withColumn("segment", F.variant_get("entry", "$.segment.id", "string")).drop("entry")
+
+
+register(
+    "fact_variants",
+    _variants,
+    "facts",
+    f"""SELECT cik, entity_name, namespace, concept, concept AS label, unit, fy, fp, {d('period_end')} AS "end", {d('period_start')} AS start, {r('val')} AS val, accn, form, {d('filed')} AS filed, frame,
+    's-' || accn AS segment FROM facts""",
+)
 register(
     "concept_documents",
     lambda spark, sf: raw.explode_concept(v.concept_docs(spark, sf)).select("cik", "namespace", "concept", "val", "end", "form", "filed", "accn"),
@@ -164,14 +180,42 @@ register(
 )
 
 
-def _split(spark, sf):
-    """Positions as a careless source sends them, held against three rules."""
-    rules = {
+def _position_rules():
+    return {
         "ticker": F.trim("constituent_ticker") != "",
         "cusip": F.col("cusip") != "",
         "weight": F.col("weight") > 0,
     }
-    return raw.validate(v.dirty_holdings(spark, sf), rules)
+
+
+def _split(spark, sf):
+    """Positions as a careless source sends them, held against three rules."""
+    return raw.validate(v.dirty_holdings(spark, sf), _position_rules())
+
+
+def _checked(spark, sf):
+    """The same positions checked while they are written: the figures of the write beside counts of what was written."""
+    path = scratch_path(spark, "checked")
+    rows = v.dirty_holdings(spark, sf).select("composite_ticker", "constituent_ticker", "cusip", "isin", "weight")
+    figures = checked.write_checked(rows, _position_rules(), path, ["isin", "weight"])
+    checked.gate_figures({"positions": figures})
+    good, bad = checked.read_checked(spark, path, "composite_ticker string, constituent_ticker string, cusip string, isin string, weight double")
+    counted = spark.createDataFrame(list(figures.items()), "figure string, n long")
+    return counted.select("*", *[side.agg(F.count("*")).scalar().alias(name) for name, side in (("good", good), ("bad", bad))])
+
+
+register(
+    "checked_write",
+    _checked,
+    "dirty_holdings",
+    """WITH x AS (SELECT COALESCE(trim(constituent_ticker) <> '', FALSE) AS a, COALESCE(cusip <> '', FALSE) AS b, COALESCE(weight > 0, FALSE) AS c, isin, weight FROM dirty_holdings),
+    totals AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (a AND b AND c) AS good FROM x),
+    figures AS (SELECT 'rows' AS figure, n FROM totals UNION ALL SELECT 'accepted', good FROM totals UNION ALL SELECT 'rejected', n - good FROM totals
+      UNION ALL SELECT 'broken: ticker', COUNT(*) FILTER (NOT a) FROM x UNION ALL SELECT 'broken: cusip', COUNT(*) FILTER (NOT b) FROM x
+      UNION ALL SELECT 'broken: weight', COUNT(*) FILTER (NOT c) FROM x UNION ALL SELECT 'null: isin', COUNT(*) FILTER (isin IS NULL) FROM x
+      UNION ALL SELECT 'null: weight', COUNT(*) FILTER (weight IS NULL) FROM x)
+    SELECT figure, figures.n, good, totals.n - good AS bad FROM figures, totals""",
+)
 
 
 register(

@@ -200,6 +200,37 @@ def explode_facts(docs: DataFrame) -> DataFrame:
     )
 
 
+def explode_fact_variants(docs: DataFrame) -> DataFrame:
+    """One row per tagged value, without a schema for what a document holds.
+
+    Namespaces, concepts and units are opened level by level, so rows leave one by one and no map of a whole
+    document is built. The declared fields of an entry are typed, null where their value does not fit;
+    ``entry`` keeps all of it as a variant, fields that nobody declared included. Documents that are no JSON, or
+    hold no facts, give no rows.
+    """
+    tvf = docs.sparkSession.tvf
+
+    def opened(df: DataFrame, column: str, key: str, value: str) -> DataFrame:
+        cells = df.lateralJoin(tvf.variant_explode(F.col(column).outer()))
+        return cells.drop(column, "pos").withColumnsRenamed({"key": key, "value": value})
+
+    doc = docs.select(F.try_parse_json("raw").alias("_d")).select(
+        cik10(F.try_variant_get("_d", "$.cik", "string")).alias("cik"),
+        F.try_variant_get("_d", "$.entityName", "string").alias("entity_name"),
+        F.try_variant_get("_d", "$.facts", "variant").alias("_facts"),
+    )
+    concepts = opened(opened(doc, "_facts", "namespace", "_space"), "_space", "concept", "_concept")
+    units = concepts.select(
+        "cik", "entity_name", "namespace", "concept",
+        F.try_variant_get("_concept", "$.label", "string").alias("label"),
+        F.try_variant_get("_concept", "$.units", "variant").alias("_units"),
+    )
+    entries = opened(opened(units, "_units", "unit", "_list"), "_list", "_key", "entry").drop("_key")
+    types = {"end": "string", "start": "string", "val": "double", "accn": "string", "fy": "int", "fp": "string", "form": "string", "filed": "string", "frame": "string"}
+    fields = [F.try_variant_get("entry", f"$.{name}", kind).alias(name) for name, kind in types.items()]
+    return entries.select("cik", "entity_name", "namespace", "concept", "label", "unit", *fields, "entry")
+
+
 def explode_concept(docs: DataFrame, unit: str = "shares") -> DataFrame:
     """Points of one unit from company-concept documents."""
     doc = docs.select(F.from_json("raw", schemas.COMPANY_CONCEPT).alias("d"))
@@ -211,16 +242,20 @@ def explode_concept(docs: DataFrame, unit: str = "shares") -> DataFrame:
     )
 
 
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """Names of the rules a row breaks; a rule that comes out null counts as broken."""
+    return F.filter(
+        F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]),
+        lambda x: x.isNotNull(),
+    )
+
+
 def validate(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Split rows into those that keep every rule and those that do not, with the broken rules' names.
 
     A rule that comes out null counts as broken; good and bad together are all rows.
     """
-    broken = F.filter(
-        F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]),
-        lambda x: x.isNotNull(),
-    )
-    checked = df.withColumn("broken", broken)
+    checked = df.withColumn("broken", broken_rules(rules))
     good = checked.where(F.size("broken") == 0).drop("broken")
     return good, checked.where(F.size("broken") > 0)
 

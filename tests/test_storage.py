@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundledger.plans.layers import dim_security
-from fundledger.sources import layers, raw
+from fundledger.session import scratch_path
+from fundledger.sources import checked, layers, raw
 from fundledger.streaming import jobs
 
 
@@ -189,3 +190,50 @@ def test_small_values_and_reported_periods_survive(spark):
     doc = {"cik": 5, "entityName": "E", "facts": {"us-gaap": {"Assets": {"label": "L", "units": {"USD": [entry]}}}}}
     row = raw.explode_facts(documents(spark, doc)).first()
     assert (row.val, row.fy, row.fp) == (0.00003, 2022, "Q3")
+
+
+def test_rows_are_checked_by_the_job_that_writes_them(spark):
+    source, path = scratch_path(spark, "source"), scratch_path(spark, "checked")
+    schema = "k long, v double"
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 != 0, F.col("id") % 7 - 1.0).alias("v"))
+    rows.repartition(6).write.parquet(source)
+    table = spark.read.schema(schema).parquet(source)
+    spark.sparkContext.setJobGroup("checked", "one pass")
+    figures = checked.write_checked(table, {"present": F.col("v").isNotNull(), "positive": F.col("v") > 0}, path, ["v"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("checked")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    low = sum(i % 10 == 0 or i % 7 - 1.0 <= 0 for i in range(1000))
+    assert figures == {"rows": 1000, "accepted": 1000 - low, "rejected": low, "broken: present": 100, "broken: positive": low, "null: v": 100}
+    good, bad = checked.read_checked(spark, path, schema)
+    assert good.count() == 1000 - low and bad.count() == low
+    assert bad.where("v is null").select("broken").distinct().collect()[0][0] == ["present", "positive"]
+    checked.gate_figures({"a": figures})
+    with pytest.raises(RuntimeError, match="too many"):
+        checked.gate_figures({"a": figures}, rejected_share=0.1)
+
+
+def test_an_empty_table_is_checked_and_stopped_at_the_gate(spark):
+    none = spark.createDataFrame([], "k long, v double")
+    figures = checked.write_checked(none, {"present": F.col("v").isNotNull()}, scratch_path(spark, "none"), ["v"])
+    assert figures == {"rows": 0, "accepted": 0, "rejected": 0, "broken: present": 0, "null: v": 0}
+    with pytest.raises(RuntimeError, match="no accepted rows for a"):
+        checked.gate_figures({"a": figures})
+
+
+def test_facts_without_a_schema(spark):
+    docs = [
+        '{"cik": 7, "entityName": "N", "facts": {"odd-space": {"C.1": {"label": "L", "units": {"USD/shares": [{"val": 1.5, "accn": "a", "end": "2024-01-01", "fy": "x", "note": {"deep": [1, 2]}}, {"val": "no number"}]}}}}}',
+        '{"cik": "8", "facts": {"s": {"c": {"units": {}}, "d": {"label": null, "units": {"pure": [{"val": 2}]}}}}}',
+        '{"cik": 9}', '{"cik": 10, "facts": null}', "no json", "", None,
+    ]
+    rows = raw.explode_fact_variants(spark.createDataFrame([("p", x) for x in docs], "path string, raw string"))
+    got = rows.where("namespace is not null and entry is not null").select(
+        "cik", "namespace", "concept", "label", "unit", "val", "accn", "fy", F.variant_get("entry", "$.note.deep[1]", "int").alias("deep")
+    )
+    assert {tuple(r) for r in got.collect()} == {
+        ("0000000007", "odd-space", "C.1", "L", "USD/shares", 1.5, "a", None, 2),
+        ("0000000007", "odd-space", "C.1", "L", "USD/shares", None, None, None, None),
+        ("0000000008", "s", "d", None, "pure", 2.0, None, None, None),
+    }
+    assert rows.count() == 3
