@@ -8,10 +8,10 @@ in a document of smaller id is removed.
    seed, known by the hashes of its anchor and of all its words.
 2. Anchors found in a single document are dropped after one grouped minimum and maximum.
 3. Seeds join on what is left. Seeds with the same words match over their whole length, and only the
-   smallest id of each kind is carried on. Kinds that share their anchor alone are extended both ways
-   from it: bucket by bucket, each of their windows is compared with those of the other kinds, and
-   matches shorter than ``length`` fall away. An anchor with more than CROWD kinds is not gathered: its
-   windows are spread by hash and met by a grouped minimum.
+   smallest id of each kind is carried on. Kinds that share their anchor alone are extended from it, bucket
+   by bucket: all kinds at once, word by word to the left and to the right, into classes that still agree.
+   A match of l words before the anchor and r words after it counts where together they reach ``length``.
+   An anchor with more than CROWD kinds is not gathered: its windows' words meet in a grouped minimum.
 4. Overlapping and touching matches of a document are merged to maximal repeats, and cut out.
 
 No pairs of documents are listed, so a passage in n documents costs n rows.
@@ -38,7 +38,8 @@ LENGTH = 13
 GRAM = 5
 BLOCK = 1 << 17
 CROWD = 2000
-GATHERED = 1 << 19
+# Bytes of words that are extended together; one anchor has at most CROWD kinds.
+GATHERED = 1 << 23
 
 _ODD = int(MIX)
 _BACK = pow(_ODD, -1, 1 << 64)
@@ -102,8 +103,13 @@ def _windows(place: str = "place"):
     return F.col(place).bitwiseAND(F.lit(255).cast("long"))
 
 
-def _window_hashes(rows: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
-    """(doc_id, anchor, content, hot, hashes): the window hashes of each open kind, from its smallest document."""
+def _short(word: bytes) -> bytes:
+    """The word, or for a long one its digest; no word is written like a digest, as such a word is long itself."""
+    return word if len(word) <= 64 else b"\0" + hashlib.sha256(word).hexdigest().encode()
+
+
+def _seed_words(rows: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
+    """(doc_id, anchor, content, hot, at, words): the words of each open kind and the place of its anchor in them."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
     wanted = kinds.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("anchor", "content", "hot", "place")).alias("open"))
     text = packed(rows)
@@ -111,50 +117,83 @@ def _window_hashes(rows: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, anchors, contents, hot, hashes = [], [], [], [], []
+            ids, anchors, contents, hot, at, words = [], [], [], [], [], []
             for doc, raw, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                symbols = word_hashes(unpack(raw).split())
-                rolling, last = Rolling(symbols), len(symbols) - length + 1
-                every = rolling.of(np.arange(last), np.arange(last) + length).view(np.int64)
+                own = unpack(raw).split()
+                rolling, last = Rolling(word_hashes(own)), len(own) - GRAM + 1
+                grams = rolling.of(np.arange(last), np.arange(last) + GRAM).view(np.int64)
                 for kind in found:
-                    start, count = kind["place"] >> 8, kind["place"] & 255
+                    start, size = kind["place"] >> 8, (kind["place"] & 255) + length - 1
                     ids.append(doc), anchors.append(kind["anchor"]), contents.append(kind["content"]), hot.append(kind["hot"])
-                    hashes.append(every[start : start + count])
-            flat = np.concatenate(hashes) if hashes else np.empty(0, np.int64)
-            offsets = np.concatenate(([0], np.cumsum([len(h) for h in hashes]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
-            columns = [pa.array(ids, batch.schema.field(0).type), pa.array(anchors, pa.int64()), pa.array(contents, pa.int64()), pa.array(hot, pa.bool_()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor", "content", "hot", "hashes"])
+                    # Windows choose the leftmost of equal grams.
+                    at.append(int((grams[start : start + size - GRAM + 1] == kind["anchor"]).argmax()))
+                    words.append(b" ".join(map(_short, own[start : start + size])))
+            columns = [
+                pa.array(ids, batch.schema.field(0).type), pa.array(anchors, pa.int64()), pa.array(contents, pa.int64()),
+                pa.array(hot, pa.bool_()), pa.array(at, pa.int32()), pa.array(words, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor", "content", "hot", "at", "words"])
 
-    return met.mapInArrow(run, f"doc_id {id_type}, anchor long, content long, hot boolean, hashes array<long>")
+    return met.mapInArrow(run, f"doc_id {id_type}, anchor long, content long, hot boolean, at int, words binary")
 
 
 _HIT = "anchor long, content long, first int, count int"
 
 
-def _extended(hashed: DataFrame) -> DataFrame:
+class Extension:
+    """Classes of kinds that agree on ever more words to one side of their anchors."""
+
+    def __init__(self, words: np.ndarray, begins: np.ndarray, stops: np.ndarray):
+        self.words, self.begins, self.stops, self.spread = words, begins, stops, int(words.max(initial=0)) + 1
+
+    def further(self, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Classes that also agree on the word at ``places``; -1 for kinds that end before it."""
+        alive = np.flatnonzero((classes >= 0) & (places >= self.begins) & (places < self.stops))
+        out = np.full(len(classes), -1, dtype=np.int64)
+        out[alive] = np.unique(classes[alive] * self.spread + self.words[places[alive]], return_inverse=True)[1]
+        return out
+
+
+def extend(docs: np.ndarray, anchors: np.ndarray, at: np.ndarray, words: list[list[bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kind, first): the windows of each kind that a kind of the same anchor and a smaller document holds too."""
+    number: dict[bytes, int] = {}
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    flat = np.fromiter((number.setdefault(w, len(number)) for own in words for w in own), dtype=np.int64, count=int(sizes.sum()))
+    begins = np.cumsum(sizes) - sizes
+    side, middle = Extension(flat, begins, begins + sizes), begins + at
+    classes = np.unique(anchors, return_inverse=True)[1].astype(np.int64)
+    for k in range(GRAM):
+        classes = side.further(classes, middle + k)
+    left, right = [classes], [classes]
+    for k in range(length - GRAM):
+        left.append(side.further(left[-1], middle - 1 - k))
+        right.append(side.further(right[-1], middle + GRAM + k))
+    kinds, firsts = [], []
+    for before in range(length - GRAM + 1):
+        one, two = left[before], right[length - GRAM - before]
+        whole = np.flatnonzero((one >= 0) & (two >= 0))
+        match = np.unique(one[whole] * len(words) + two[whole], return_inverse=True)[1]
+        least = np.full(int(match.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, match, docs[whole])
+        hit = whole[docs[whole] > least[match]]
+        kinds.append(hit), firsts.append(at[hit] - before)
+    kind, first = np.concatenate(kinds), np.concatenate(firsts)
+    order = np.lexsort((first, kind))
+    return kind[order], first[order]
+
+
+def _extended(open_kinds: DataFrame, length: int) -> DataFrame:
     """(anchor, content, first, count): runs of windows that a kind shares with one of a smaller document."""
-    buckets = hashed.where("!hot").repartition("anchor").sortWithinPartitions("anchor")
+    buckets = open_kinds.where("!hot").repartition("anchor").sortWithinPartitions("anchor")
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         anchors = np.array([h[1] for h in held], dtype=np.int64)
-        counts = np.array([len(h[3]) for h in held])
-        owner = np.repeat(np.arange(len(held)), counts)
-        inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        flat = np.fromiter((x for h in held for x in h[3]), dtype=np.int64, count=int(counts.sum()))
+        contents = np.array([h[2] for h in held], dtype=np.int64)
         # Ids are compared, not counted with, so their ranks do.
         _, rank = np.unique(np.array([h[0] for h in held]), return_inverse=True)
-        order = np.lexsort((rank[owner], flat, anchors[owner]))
-        a, f, r = anchors[owner][order], flat[order], rank[owner][order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (a[1:] != a[:-1]) | (f[1:] != f[:-1])
-        least = r[np.flatnonzero(new)][np.cumsum(new) - 1]
-        hit = np.zeros(len(order), dtype=bool)
-        hit[order] = r > least
-        own, at = owner[hit], inner[hit]
+        own, at = extend(rank, anchors, np.array([h[3] for h in held], dtype=np.int64), [h[4].split() for h in held], length)
         first, count = runs(own, at, own)
         rows = own[first]
-        contents = np.array([h[2] for h in held], dtype=np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(anchors[rows]), pa.array(contents[rows]), pa.array(at[first].astype(np.int32)), pa.array(count.astype(np.int32))],
             ["anchor", "content", "first", "count"],
@@ -162,26 +201,39 @@ def _extended(hashed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        windows = 0
+        size = 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "anchor", "content", "hashes"))):
-                if windows >= GATHERED and held[-1][1] != row[1]:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "anchor", "content", "at", "words"))):
+                if size >= GATHERED and held[-1][1] != row[1]:
                     yield settle(held)
-                    held, windows = [], 0
+                    held, size = [], 0
                 held.append(row)
-                windows += len(row[3])
+                size += len(row[4])
         if held:
             yield settle(held)
 
     return buckets.mapInArrow(run, _HIT)
 
 
-def _crowded(hashed: DataFrame) -> DataFrame:
+def _crowded(open_kinds: DataFrame, length: int) -> DataFrame:
     """The same for anchors of very many kinds, one row per window."""
-    each = hashed.where("hot").select("doc_id", "anchor", "content", F.posexplode("hashes").alias("first", "hash"))
-    least = each.groupBy("anchor", "hash").agg(F.min("doc_id").alias("least"))
-    met = each.join(least, ["anchor", "hash"]).where("least < doc_id")
-    return met.select("anchor", "content", F.col("first").cast("int").alias("first"), F.lit(1).cast("int").alias("count"))
+    id_type = open_kinds.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take, firsts, windows = [], [], []
+            for i, raw in enumerate(batch.column("words").to_pylist()):
+                own = raw.split()
+                for first in range(len(own) - length + 1):
+                    take.append(i), firsts.append(first), windows.append(b" ".join(own[first : first + length]))
+            at = pa.array(take, pa.int32())
+            columns = [batch.column(c).take(at) for c in ("doc_id", "anchor", "content")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.int32()), pa.array(windows, pa.binary())], ["doc_id", "anchor", "content", "first", "words"])
+
+    each = open_kinds.where("hot").mapInArrow(run, f"doc_id {id_type}, anchor long, content long, first int, words binary")
+    least = each.groupBy("anchor", "words").agg(F.min("doc_id").alias("least"))
+    met = each.join(least, ["anchor", "words"]).where("least < doc_id")
+    return met.select("anchor", "content", "first", F.lit(1).cast("int").alias("count"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
@@ -197,8 +249,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     at = F.min(F.struct("doc_id", "mark", "place")).alias("at")
     kinds = cut_lineage(met.groupBy("anchor", "content").agg(at).select("anchor", "content", "at.*"))
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > crowd).alias("hot"))
-    hashed = cut_lineage(_window_hashes(rows, kinds.join(several, "anchor"), length))
-    hits = cut_lineage(_extended(hashed).unionByName(_crowded(hashed)))
+    open_kinds = cut_lineage(_seed_words(rows, kinds.join(several, "anchor"), length))
+    hits = cut_lineage(_extended(open_kinds, length).unionByName(_crowded(open_kinds, length)))
     first = kinds.select("anchor", "content", F.col("doc_id").alias("least"))
     # A kind's later documents lose all of its windows; its first document those that others had before.
     later = met.join(first, ["anchor", "content"]).where("doc_id > least")

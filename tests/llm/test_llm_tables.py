@@ -32,7 +32,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 def test_every_operator_has_one_query():
     names = [n for n in registered.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in registered.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in registered.queries()
 
 
 def test_codewords_differ_in_many_bits():

@@ -291,3 +291,35 @@ def test_near_copies_go_and_rows_that_share_their_id_stay(spark):
     assert simhash.drop_near_copies(df.where("false")).collect() == []
     nameless = spark.createDataFrame([(None, "a b c d"), (5, "a b c d"), (None, None)], "doc_id long, text string")
     assert sorted((r["text"] or "") for r in simhash.drop_near_copies(nameless).collect()) == ["", "a b c d"]
+
+
+def test_kinds_are_extended_word_by_word():
+    """Windows of kinds round one anchor against all pairs of windows, with words that look alike when joined."""
+    rng = random.Random(11)
+    core, length = [b"k%d" % i for i in range(substring_dedup.GRAM)], substring_dedup.GRAM + 4
+    for _ in range(30):
+        docs, anchors, at, words = [], [], [], []
+        for _ in range(rng.randint(1, 12)):
+            before, after = rng.randint(0, 4), rng.randint(0, 4)
+            if before + after < 4:
+                after = 4 - before
+            docs.append(rng.randint(0, 5)), anchors.append(rng.randint(1, 2)), at.append(before)
+            words.append([rng.choice([b"a", b"aa"]) for _ in range(before)] + core + [rng.choice([b"b", b"bb"]) for _ in range(after)])
+        cut = [[tuple(w[i : i + length]) for i in range(len(w) - length + 1)] for w in words]
+        expected = [
+            (k, i) for k, own in enumerate(cut) for i, x in enumerate(own)
+            if any(anchors[j] == anchors[k] and docs[j] < docs[k] and x in cut[j] for j in range(len(cut)))
+        ]
+        kind, first = substring_dedup.extend(np.array(docs), np.array(anchors), np.array(at), words, length)
+        assert list(zip(kind.tolist(), first.tolist())) == expected
+
+
+def test_substring_dedup_of_very_long_words(spark):
+    rng = random.Random(3)
+    shared = ["x" * 5000 + str(i) if i % 4 == 0 else f"w{i}" for i in range(20)]
+    texts = [" ".join([*(f"p{d}{rng.random()}" for _ in range(9)), *shared, *(f"s{d}{rng.random()}" for _ in range(9))]) for d in range(3)]
+    texts.append(texts[0].replace("x" * 5000 + "8", "x" * 4999 + "y8"))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(rows).collect()}
+    # The fourth text differs in its eighteenth word: 17 words before it and 20 after it are of the first.
+    assert got == {0: 0, 1: 20, 2: 20, 3: 37}
