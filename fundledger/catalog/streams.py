@@ -51,23 +51,23 @@ def _once(spark: SparkSession, sf: str) -> DataFrame:
 register("stream_once_per_accession", _once, "", f"SELECT {_ROWS} FROM events")
 
 
-def _parts(spark: SparkSession, sf: str, name: str, reduce) -> DataFrame:
-    """Each micro-batch adds its own part; all parts together are the answer."""
+def _parts(spark: SparkSession, sf: str, name: str, reduce, merge) -> DataFrame:
+    """Each micro-batch adds its own part, and pairs of parts are compacted; all parts together are the answer."""
     root, mark = scratch_path(spark, name), scratch_path(spark, "mark")
-    jobs.run_batches(_filings(spark, sf, per_batch=2), mark, jobs.keep_parts(spark, root, reduce))
+    jobs.run_batches(_filings(spark, sf, per_batch=1), mark, jobs.keep_parts(spark, root, reduce, merge, every=2))
     return jobs.read_parts(spark, root)
 
 
 register(
     "stream_daily_forms",
-    lambda spark, sf: jobs.daily_forms(_parts(spark, sf, "daily", jobs.daily_parts)),
+    lambda spark, sf: jobs.daily_forms(_parts(spark, sf, "daily", jobs.daily_parts, jobs.merged_days)),
     "",
     """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS filed_date, event_type AS form_type, COUNT(*) AS filings, COUNT(DISTINCT user_id) AS filers
     FROM events GROUP BY 1, 2""",
 )
 register(
     "stream_upsert_companies",
-    lambda spark, sf: jobs.merged_companies(_parts(spark, sf, "companies", jobs.seen_companies)),
+    lambda spark, sf: jobs.merged_companies(_parts(spark, sf, "companies", jobs.seen_companies, jobs.merged_companies)),
     "",
     """SELECT lpad(CAST(user_id AS VARCHAR), CAST(greatest(length(CAST(user_id AS VARCHAR)), 10) AS INTEGER), '0') AS cik, CAST(MIN(CAST(ts AS DATE)) AS VARCHAR) AS first_seen_date,
     CAST(MAX(CAST(ts AS DATE)) AS VARCHAR) AS last_seen_date FROM events GROUP BY 1""",

@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Write an empty marker file; names that begin with an underscore are not data to Spark."""
     jvm = spark.sparkContext._jvm

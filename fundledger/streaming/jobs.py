@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fundledger.functions.keys import cik10
 from fundledger.functions.text import pad_zeros
 from fundledger.sources.buckets import upsert_buckets
-from fundledger.sources.layers import exists
+from fundledger.sources.layers import exists, remove
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
@@ -65,8 +65,7 @@ def daily_parts(batch: DataFrame) -> DataFrame:
 
 def daily_forms(parts: DataFrame) -> DataFrame:
     """Filings and distinct filers per day and form, from the parts of all batches."""
-    filers = parts.groupBy("filed_date", "form_type", "cik").agg(F.sum("filings").alias("filings"))
-    return filers.groupBy("filed_date", "form_type").agg(F.sum("filings").alias("filings"), F.count("*").alias("filers"))
+    return merged_days(parts).groupBy("filed_date", "form_type").agg(F.sum("filings").alias("filings"), F.count("*").alias("filers"))
 
 
 def in_universe(filings: DataFrame, universe: DataFrame) -> DataFrame:
@@ -81,40 +80,95 @@ def seen_companies(batch: DataFrame) -> DataFrame:
     )
 
 
-def keep_parts(spark: SparkSession, root: str, reduce: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def keep_parts(
+    spark: SparkSession,
+    root: str,
+    reduce: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame] | None = None,
+    every: int = 16,
+) -> Callable[[DataFrame, int], None]:
     """A batch handler that writes each batch's reduced rows once, below ``root``.
 
-    Nothing that is there is read or rewritten, so a batch costs its own rows only and no state grows. A
-    batch replayed after a failure replaces its own part. A folder with parts of later batches belongs
-    to another checkpoint, and one that lacks an earlier part has lost history: both raise an error.
+    No state grows, and a batch replayed after a failure replaces its own part. A folder with parts of later
+    batches belongs to another checkpoint, and one that lacks an earlier part has lost history: both raise
+    an error.
+
+    With ``merge``, which reduces the rows of several parts to rows of the same columns, parts of finished
+    batches are compacted: ``every`` parts in a row become one, ``every`` of those become one again, and so
+    on. After n batches there are at most ``every`` times log n parts, and a row was rewritten log n times.
+    What a compaction replaced is deleted a batch later, so that readers that have just listed it can end.
     """
 
     def keep(batch: DataFrame, number: int) -> None:
-        there = part_numbers(spark, root)
-        if any(n > number for n in there):
+        there = part_runs(spark, root)
+        if any(high > number for _, high in there):
             raise RuntimeError(f"{root} holds parts of another checkpoint; use a new folder")
-        if [n for n in range(number) if n not in there]:
+        live = live_runs(there)
+        known = sum(high - low + 1 for low, high in live if high < number)
+        if known != number:
             raise RuntimeError(f"{root} lacks a part before {number}: its history is gone")
-        reduce(batch).write.mode("overwrite").parquet(f"{root}/part={number}")
+        for run in there - set(live):
+            remove(spark, _part(root, *run))
+        reduce(batch).write.mode("overwrite").parquet(_part(root, number, number))
+        if merge:
+            compact_parts(spark, root, merge, every, number)
 
     return keep
 
 
-def part_numbers(spark: SparkSession, root: str) -> set[int]:
-    """Parts that were written whole."""
+def compact_parts(spark: SparkSession, root: str, merge: Callable[[DataFrame], DataFrame], every: int, before: int) -> None:
+    """Merge every ``every`` neighbouring parts of one length, of batches below ``before`` only: those aren't replayed."""
+    if every < 2:
+        raise ValueError("every is 2 or more")
+    live, width = live_runs(part_runs(spark, root)), every
+    while width <= before:
+        for low in range(0, before - width + 1, width):
+            inside = [run for run in live if low <= run[0] and run[1] < low + width]
+            # A run of this length or longer is merged already.
+            if len(inside) > 1:
+                merge(_read_runs(spark, root, inside)).write.mode("overwrite").parquet(_part(root, low, low + width - 1))
+                live = sorted({*live, (low, low + width - 1)} - set(inside))
+        width *= every
+
+
+def _part(root: str, low: int, high: int) -> str:
+    return f"{root}/part={low}" if low == high else f"{root}/part={low}-{high}"
+
+
+def part_runs(spark: SparkSession, root: str) -> set[tuple[int, int]]:
+    """First and last batch of each part that was written whole, replaced ones included."""
     if not exists(spark, root):
         return set()
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(root)
     entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
     names = [e.getPath().getName() for e in entries]
-    found = {int(n.removeprefix("part=")) for n in names if n.startswith("part=")}
-    return {n for n in found if exists(spark, f"{root}/part={n}/_SUCCESS")}
+    found = [n.removeprefix("part=").split("-") for n in names if n.startswith("part=")]
+    runs = {(int(ends[0]), int(ends[-1])) for ends in found}
+    return {run for run in runs if exists(spark, f"{_part(root, *run)}/_SUCCESS")}
+
+
+def live_runs(runs: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts that no longer one replaces, in order."""
+    live: list[tuple[int, int]] = []
+    for low, high in sorted(runs, key=lambda run: (run[0], -run[1])):
+        if not live or low > live[-1][1]:
+            live.append((low, high))
+    return live
+
+
+def _read_runs(spark: SparkSession, root: str, runs: list[tuple[int, int]]) -> DataFrame:
+    return spark.read.option("basePath", root).parquet(*[_part(root, *run) for run in runs]).drop("part")
 
 
 def read_parts(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of all parts."""
-    return spark.read.option("basePath", root).parquet(*[f"{root}/part={n}" for n in sorted(part_numbers(spark, root))]).drop("part")
+    """The rows of all parts, each batch once."""
+    return _read_runs(spark, root, live_runs(part_runs(spark, root)))
+
+
+def merged_days(parts: DataFrame) -> DataFrame:
+    """Parts' filings per day, form and filer, as one part."""
+    return parts.groupBy("filed_date", "form_type", "cik").agg(F.sum("filings").alias("filings"))
 
 
 def merged_companies(parts: DataFrame) -> DataFrame:

@@ -157,6 +157,41 @@ def test_replayed_batch_changes_nothing_and_lost_parts_are_noticed(spark, tmp_pa
         keep(day(5), 5)
 
 
+def test_parts_of_finished_batches_are_compacted(spark, tmp_path):
+    root, every = str(tmp_path / "t"), 3
+    spans = lambda rows: rows.groupBy("cik").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+    keep = jobs.keep_parts(spark, root, spans, spans, every)
+    batch = lambda n: spark.range(1).select(F.lit(n % 4).alias("cik"), F.lit(n).alias("first"), F.lit(n).alias("last"), F.lit(1).cast("long").alias("n")).coalesce(1)
+    for number in range(29):
+        keep(batch(number), number)
+        keep(batch(number), number)
+        live = jobs.live_runs(jobs.part_runs(spark, root))
+        assert [n for low, high in live for n in range(low, high + 1)] == list(range(number + 1))
+        assert len(live) <= every * 4 and len(jobs.part_runs(spark, root)) <= 2 * every * 4
+        # The last batch may be replayed, so it is never in a longer part.
+        assert live[-1] == (number, number)
+    assert (0, 26) in live
+    got = sorted(tuple(r) for r in spans(jobs.read_parts(spark, root)).collect())
+    assert got == [(k, k, max(range(k, 29, 4)), len(range(k, 29, 4))) for k in range(4)]
+
+
+def test_a_compaction_that_broke_off_is_done_again(spark, tmp_path):
+    root = str(tmp_path / "t")
+    once = lambda rows: rows.groupBy("cik").agg(F.sum("n").alias("n"))
+    batch = lambda: spark.range(1).select(F.lit(1).alias("cik"), F.lit(1).cast("long").alias("n"))
+    for number in range(3):
+        jobs.keep_parts(spark, root, once)(batch(), number)
+    # Files without the mark of a whole write.
+    once(batch()).write.parquet(f"{root}/part=0-1")
+    (tmp_path / "t" / "part=0-1" / "_SUCCESS").unlink()
+    assert jobs.live_runs(jobs.part_runs(spark, root)) == [(0, 0), (1, 1), (2, 2)]
+    jobs.keep_parts(spark, root, once, once, 2)(batch(), 3)
+    assert jobs.live_runs(jobs.part_runs(spark, root)) == [(0, 1), (2, 2), (3, 3)]
+    assert jobs.read_parts(spark, root).agg(F.sum("n")).first()[0] == 4
+    with pytest.raises(ValueError, match="2 or more"):
+        jobs.compact_parts(spark, root, once, 1, 3)
+
+
 def test_days_and_filers_over_parts(spark):
     parts = spark.createDataFrame([("d", "f", 1, 2), ("d", "f", 1, 1), ("d", "f", 2, 1)], "filed_date string, form_type string, cik int, filings long")
     assert [tuple(r) for r in jobs.daily_forms(parts).collect()] == [("d", "f", 4, 2)]
