@@ -35,6 +35,9 @@ SAMPLE = 16_384
 LIST_SIZE = 512
 MOST_LISTS = 2048
 DEGREE = 24
+ENTRIES = 64
+# Centroids that a search opens at once.
+OPENED = 4
 SPREAD = 1.03
 REPLICAS = 4
 REACH = 1.16
@@ -52,27 +55,45 @@ class Centroids:
 
     def nearest(self, x: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each row, up to ``wanted`` centroids found through the graph, nearest first, and their distances."""
+        found, far, _ = self.walk(x, wanted)
+        return found, far
+
+    def walk(self, x: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The same, and how many pairs of row and centroid were compared.
+
+        Each row holds the ``wanted`` nearest centroids it has met. It opens the best ones not yet opened, that is
+        it compares those of their neighbours that it hasn't met, until all it holds are open.
+        """
         rows, lists = len(x), len(self.points)
         wanted = min(wanted, lists)
-        far = np.full((rows, lists), np.inf)
-        done = np.zeros((rows, lists), dtype=bool)
-        far[:, self.entries] = np.linalg.norm(x[:, None, :] - self.points[self.entries], axis=2)
-        live = np.arange(rows)
-        while len(live):
-            # Each row opens its best centroid not yet opened, until that is no longer among the wanted.
-            open_far = np.where(done[live], np.inf, far[live])
-            best = open_far.argmin(axis=1)
-            best_far = open_far[np.arange(len(live)), best]
-            edge = np.partition(far[live], wanted - 1, axis=1)[:, wanted - 1]
-            going = np.isfinite(best_far) & (best_far <= edge)
-            live, best = live[going], best[going]
-            if not len(live):
+        held, far = np.full((rows, wanted), -1, dtype=np.int64), np.full((rows, wanted), np.inf)
+        opened, met, compared = np.zeros((rows, wanted), dtype=bool), np.zeros((rows, lists), dtype=bool), 0
+        row, new = np.repeat(np.arange(rows), len(self.entries)), np.tile(self.entries, rows)
+        while True:
+            if len(row):
+                met[row, new] = True
+                compared += len(row)
+                counts = np.bincount(row, minlength=rows)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                ids, apart = np.full((rows, counts.max()), -1, dtype=np.int64), np.full((rows, counts.max()), np.inf)
+                ids[row, place], apart[row, place] = new, np.linalg.norm(x[row] - self.points[new], axis=1)
+                both = np.concatenate((far, apart), axis=1)
+                best = np.argpartition(both, wanted - 1, axis=1)[:, :wanted]
+                far = np.take_along_axis(both, best, axis=1)
+                held = np.take_along_axis(np.concatenate((held, ids), axis=1), best, axis=1)
+                opened = np.take_along_axis(np.concatenate((opened, np.zeros_like(ids, dtype=bool)), axis=1), best, axis=1)
+            waiting = np.where(opened, np.inf, far)
+            pick = np.argpartition(waiting, min(OPENED, wanted) - 1, axis=1)[:, :OPENED]
+            at, which = np.nonzero(np.isfinite(np.take_along_axis(waiting, pick, axis=1)))
+            if not len(at):
                 break
-            done[live, best] = True
-            near = self.graph[best]
-            far[live[:, None], near] = np.linalg.norm(x[live][:, None, :] - self.points[near], axis=2)
-        order = np.argsort(far, axis=1, kind="stable")[:, :wanted]
-        return order, np.take_along_axis(far, order, axis=1)
+            place = pick[at, which]
+            opened[at, place] = True
+            pairs = np.unique(at[:, None] * lists + self.graph[held[at, place]])
+            pairs = pairs[~met.ravel()[pairs]]
+            row, new = pairs // lists, pairs % lists
+        order = np.lexsort((held, far), axis=1)
+        return np.take_along_axis(held, order, axis=1), np.take_along_axis(far, order, axis=1), compared
 
     def within(self, x: np.ndarray, ratio: float, sizes: np.ndarray, least: int) -> list[np.ndarray]:
         """Of each row, the centroids at most ``ratio`` times as far as its nearest, and the next ones
@@ -131,9 +152,9 @@ def fit(sample: np.ndarray, total: int) -> Centroids:
     between = np.sqrt(np.maximum((points**2).sum(1)[:, None] - 2 * points @ points.T + (points**2).sum(1), 0))
     order = np.argsort(between, axis=1, kind="stable")
     near = order[:, 1 : DEGREE + 1] if lists > 1 else np.zeros((1, 1), dtype=np.int64)
-    # Links to centroids of other parts keep the graph in one piece.
-    hops = np.stack([(np.arange(lists) + (1 << i)) % lists for i in range(max(1, lists.bit_length() - 1))], axis=1)
-    return Centroids(points, np.concatenate([near, hops], axis=1), np.unique(np.linspace(0, lists - 1, min(lists, 16)).astype(int)))
+    # A ring keeps the graph in one piece.
+    ring = (np.arange(lists) + 1)[:, None] % lists
+    return Centroids(points, np.concatenate([near, ring], axis=1), np.unique(np.linspace(0, lists - 1, min(lists, ENTRIES)).astype(int)))
 
 
 def lists_to_join(index: Centroids, x: np.ndarray) -> list[np.ndarray]:

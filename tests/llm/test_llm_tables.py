@@ -143,6 +143,25 @@ def test_neighbours_recall(spark, monkeypatch, size):
         assert [found[i] for i in sorted(found)] == sorted(found.values(), key=lambda p: (p[1], p[0]))
 
 
+def test_the_graph_compares_few_centroids():
+    rng = np.random.default_rng(4)
+    sample = rng.normal(size=(posting_lists.SAMPLE, 12))
+    index = posting_lists.fit(sample, 10**8)
+    assert len(index.points) == posting_lists.MOST_LISTS
+    x, wanted = sample[:200], 16
+    found, far, compared = index.walk(x, wanted)
+    every = np.linalg.norm(x[:, None, :] - index.points, axis=2)
+    nearest = np.argsort(every, axis=1)[:, :wanted]
+    assert np.mean([len({*a} & {*b}) / wanted for a, b in zip(found.tolist(), nearest.tolist())]) >= 0.9
+    assert compared <= 0.2 * every.size
+    assert np.allclose(far, np.take_along_axis(every, found, axis=1)) and (np.diff(far, axis=1) >= 0).all()
+    # All of them, where as many are wanted as there are.
+    whole = posting_lists.fit(sample[:256], 10**8)
+    assert (np.sort(whole.nearest(x, 10**6)[0], axis=1) == np.arange(len(whole.points))).all()
+    one = posting_lists.fit(sample[:3], 3)
+    assert one.nearest(x, 5)[0].tolist() == [[0]] * len(x)
+
+
 def test_a_query_in_a_tight_cluster_still_finds_enough(spark, monkeypatch):
     for name, value in (("LIST_SIZE", 30), ("LEAST", 200)):
         monkeypatch.setattr(posting_lists, name, value)
