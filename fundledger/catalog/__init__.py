@@ -6,7 +6,7 @@ from importlib import import_module
 
 from fundledger.catalog import registry
 
-SECTIONS = ("holdings", "funds", "securities", "filings", "storage", "streams", "rollups")
+SECTIONS = ("holdings", "funds", "securities", "filings", "storage", "streams", "rollups", "bucketed")
 
 
 def _load() -> None:

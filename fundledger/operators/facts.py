@@ -15,6 +15,7 @@ from fundledger.functions.codes import (
 from fundledger.functions.dates import ANNUAL_DAYS, fiscal_period, iso_date, period_days, period_type
 from fundledger.functions.numbers import half_up, safe_ratio
 from fundledger.operators.ranking import latest_per_key, top_per_group
+from fundledger.sources.copartitioned import SALT, join_keys, one_copy
 from fundledger.sources.layers import ensure_columns
 
 MONEY = "decimal(22,2)"
@@ -163,8 +164,9 @@ _STATEMENT = [c for c in CONCEPT_COLUMNS if c != "shares_outstanding"]
 
 def statements_annual(silver: DataFrame, dim: DataFrame, zero: str = "null") -> DataFrame:
     """Yearly statements with ticker, name and three ratios; a zero denominator gives null or 0."""
-    names = dim.select("security_id", "ticker", "company_name", "exchange")
-    rows = silver.where(F.col("form_type").isin(ANNUAL_FORMS)).join(names, "security_id")
+    on = join_keys(silver, dim, ["security_id"])
+    names = dim.select(*on, "ticker", "company_name", "exchange")
+    rows = silver.where(F.col("form_type").isin(ANNUAL_FORMS)).join(names, on)
     ratio = "decimal(10,6)"
     return rows.select(
         "security_id", "cik", "ticker", "company_name", "exchange", "fiscal_year", "period_end",
@@ -176,14 +178,16 @@ def statements_annual(silver: DataFrame, dim: DataFrame, zero: str = "null") ->
 
 
 def last_quarters(silver: DataFrame, n: int = 8) -> DataFrame:
-    """The ``n`` latest quarterly rows of each security."""
-    rows = silver.where(F.col("form_type").isin(QUARTERLY_FORMS))
-    return top_per_group(rows, ["security_id"], [F.desc("period_end"), F.asc("form_type")], n)
+    """The ``n`` latest quarterly rows of each security; salted tables are cut inside their buckets first."""
+    rows, order = silver.where(F.col("form_type").isin(QUARTERLY_FORMS)), [F.desc("period_end"), F.asc("form_type")]
+    if SALT in rows.columns:
+        rows = top_per_group(rows, ["security_id", SALT], order, n)
+    return top_per_group(rows, ["security_id"], order, n)
 
 
 def statements_quarterly(silver: DataFrame, dim: DataFrame, n: int = 8) -> DataFrame:
     """The ``n`` latest quarters of each security with ticker and name."""
-    names = dim.select("security_id", "ticker", "company_name", "exchange")
+    names = one_copy(dim).select("security_id", "ticker", "company_name", "exchange")
     return last_quarters(silver, n).join(names, "security_id").select(
         "security_id", "cik", "ticker", "company_name", "exchange", "fiscal_year", "fiscal_period",
         "period_end", "form_type", "filed_date", "taxonomy", *_STATEMENT,
@@ -217,7 +221,7 @@ def company_profile(
         last("shares_outstanding").alias("latest_shares_outstanding"),
         last("eps_diluted").alias("latest_eps_diluted"),
     )
-    base = dim.select("security_id", "cik", "ticker", "company_name", "exchange", F.col("active_flag").alias("_known"))
+    base = one_copy(dim).select("security_id", "cik", "ticker", "company_name", "exchange", F.col("active_flag").alias("_known"))
     named = {"sic": "sic", "sicDescription": "sic_description", "stateOfIncorporation": "state_of_incorporation", "fiscalYearEnd": "fiscal_year_end"}
     if companies is None:
         base = base.withColumns({name: F.lit(None).cast("string") for name in named.values()})

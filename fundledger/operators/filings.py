@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fundledger.functions.codes import event_frame
 from fundledger.functions.dates import iso_date
 from fundledger.functions.keys import filing_url
+from fundledger.sources.copartitioned import join_keys
 
 
 def daily_changes(index: DataFrame) -> DataFrame:
@@ -86,8 +87,9 @@ def corporate_actions(filings: DataFrame) -> DataFrame:
 
 def filing_catalog(filings: DataFrame, dim: DataFrame) -> DataFrame:
     """Silver filings with ticker and company name."""
-    names = dim.select("security_id", "ticker", "company_name")
-    return filings.join(names, "security_id").select(
+    on = join_keys(filings, dim, ["security_id"])
+    names = dim.select(*on, "ticker", "company_name")
+    return filings.join(names, on).select(
         "security_id", "cik", "ticker", "company_name", "accession_number", "form_type",
         "filed_date", "period_of_report", "filing_url", "primary_document",
     )
@@ -95,8 +97,9 @@ def filing_catalog(filings: DataFrame, dim: DataFrame) -> DataFrame:
 
 def corporate_events(actions: DataFrame, dim: DataFrame) -> DataFrame:
     """Corporate actions with ticker and company name."""
-    names = dim.select("security_id", "ticker", "company_name")
-    return actions.join(names, "security_id").select(
+    on = join_keys(actions, dim, ["security_id"])
+    names = dim.select(*on, "ticker", "company_name")
+    return actions.join(names, on).select(
         "security_id", "cik", "ticker", "company_name", "event_type", "event_date",
         "effective_date", "form_type", "filed_date", "description",
     )

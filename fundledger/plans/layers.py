@@ -21,6 +21,8 @@ from fundledger.operators.filings import (
     silver_filings,
 )
 from fundledger.operators.ranking import top_per_group
+from fundledger.session import scratch_path
+from fundledger.sources.copartitioned import SALT, replicated, salted, write_bucketed
 from fundledger.sources.layers import upsert
 
 # Columns of the security dimension that a new day may change.
@@ -127,6 +129,30 @@ def to_gold(
     return {name: table.withColumn("refreshed_at", refreshed) for name, table in gold.items()}
 
 
+# What spreads the rows of one security over salts, in each silver table with many rows a security.
+SALTED_BY = {
+    "filings_index": ["accession_number"],
+    "financial_facts": ["period_end", "form_type"],
+    "corporate_actions": ["filed_date", "form_type", "event_type"],
+}
+
+
+def bucket_silver(silver: dict[str, DataFrame], buckets: int = 64, salts: int = 8, root: str | None = None) -> dict[str, DataFrame]:
+    """The given silver tables, written in buckets of security and salt, so that ``to_gold`` joins them in place.
+
+    Annual statements, the catalog and the events then need no exchange at all. Quarters are cut inside the
+    buckets, and only the rows that are left, at most eight a security and salt, meet by security; the profile
+    likewise moves one row a security and bucket. Without ``root`` the tables are of this run alone.
+    """
+    laid = {}
+    for name, rows in silver.items():
+        path = scratch_path(rows.sparkSession, name) if root is None else f"{root}/{name}"
+        parts = replicated(rows, salts) if name == "dim_security" else salted(rows, SALTED_BY[name], salts)
+        table = f"{name}_{path.rsplit('-', 1)[-1]}" if root is None else name
+        laid[name] = write_bucketed(parts, table, path, ["security_id", SALT], buckets)
+    return laid
+
+
 # How gold files are clustered.
 GOLD_SORT = {
     "financial_statements_annual": ["ticker", "fiscal_year"],
