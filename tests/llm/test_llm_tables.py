@@ -1,7 +1,10 @@
 """Languages, mixing, neighbours, tool calls and the pipeline."""
 
+import collections
 import json
+import math
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -63,6 +66,82 @@ def test_language_of_odd_texts(spark):
     assert language.fit([]) is None and language.trained(docs.where("false")) is None
 
 
+def plain_grams(text):
+    """N-gram codes one by one, with Python integers."""
+    raw, codes = text.encode("utf-8", "surrogatepass").lower(), []
+    for n in language.SIZES:
+        for at in range(len(raw) - n + 1):
+            h = n
+            for byte in raw[at : at + n]:
+                h = (h * 0x01000193 + byte) % 2**32
+            codes.append((h * 0x9E3779B1 % 2**32) >> (32 - language.HASH_BITS))
+    return codes
+
+
+def plain_language_model(samples):
+    """Weights of every bit and code as a dictionary, by the definition: log odds of the mean rates of both sides."""
+    names = sorted({lang for _, lang in samples})
+    counts = {lang: collections.Counter() for lang in names}
+    for text, lang in samples:
+        counts[lang].update(plain_grams(text))
+    codes, space = set().union(*counts.values()), 1 << language.HASH_BITS
+    total = {lang: sum(counts[lang].values()) + 0.5 * space for lang in names}
+    rate = {lang: {c: (counts[lang][c] + 0.5) / total[lang] for c in codes} for lang in names}
+    unseen = {lang: 0.5 / total[lang] for lang in names}
+    words = language.codewords(len(names)).tolist()
+    bits = range(len(words[0]))
+    weights = []
+    for bit in bits:
+        ones, zeros = ([lang for lang, word in zip(names, words) if word[bit] == side] for side in (1, 0))
+        odds = lambda of: math.log(sum(map(of, ones)) / len(ones)) - math.log(sum(map(of, zeros)) / len(zeros))
+        weights.append(({c: odds(lambda lang: rate[lang][c]) for c in codes}, odds(lambda lang: unseen[lang])))
+
+    def margins(text):
+        grams = plain_grams(text)
+        return [sum(known.get(c, other) for c in grams) / max(len(grams), 1) for known, other in weights]
+
+    right = [0] * len(words[0])
+    for text, lang in samples:
+        word = words[names.index(lang)]
+        for bit, margin in enumerate(margins(text)):
+            right[bit] += (margin > 0) == (word[bit] == 1)
+    trust = [min(max(n / len(samples), 0.5), 1.0) for n in right]
+
+    def chances(text):
+        found = margins(text)
+        far = [sum(t * math.log1p(math.exp(-language.SHARPNESS * (2 * b - 1) * m)) for t, b, m in zip(trust, word, found)) for word in words]
+        near = [math.exp(min(far) - f) for f in far]
+        return {lang: n / sum(near) for lang, n in zip(names, near)}
+
+    return chances
+
+
+def test_language_equals_a_plain_version(spark):
+    """Learned and decoded n-gram by n-gram; texts of all kinds, also very long labelled ones, which are not learned from."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("length(text) < 6000")
+    longest = docs.where("lang = 'en'").limit(1).select(F.lit(-4).cast("long").alias("doc_id"), F.expr(f"repeat('zq ', {language.LONGEST // 3 + 1})").alias("text"), F.lit("fr").alias("lang"))
+    docs = spark.createDataFrame(docs.unionByName(longest).collect(), "doc_id long, text string, lang string")
+    rows = docs.collect()
+    learned = [
+        (r["text"], r["lang"]) for r in rows
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] and r["text"] and language.has_letter(r["text"]) and len(r["text"]) <= language.LONGEST
+    ]
+    assert len(learned) < language.PER_LANGUAGE and len({lang for _, lang in learned}) > 2
+    chances = plain_language_model(learned)
+    got = {r["doc_id"]: r for r in language.identify(docs, language.trained(docs)).collect()}
+    assert len(got) == len(rows)
+    for row in rows:
+        found = got[row["doc_id"]]
+        if not language.has_letter(row["text"]):
+            assert (found["lang_pred"], found["score"]) == (language.UNKNOWN, 0)
+            continue
+        want = chances(row["text"])
+        assert found["score"] == pytest.approx(max(want.values()), abs=1e-4)
+        assert want[found["lang_pred"]] == pytest.approx(max(want.values()), abs=1e-4)
+        ranked = sorted(want.values(), reverse=True)
+        assert found["ambiguous"] == (ranked[0] - ranked[1] < 0.2) or abs(ranked[0] - ranked[1] - 0.2) < 1e-3
+
+
 def test_long_texts_are_read_whole():
     text = "ab cd é" * 9
     whole = np.bincount(language.codes_between(np.frombuffer(text.encode(), np.uint8), 0, 10**6), minlength=1 << language.HASH_BITS)
