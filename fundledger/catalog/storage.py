@@ -6,7 +6,7 @@ Files go to a new directory below the shared folder on every run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundledger.catalog import views as v
@@ -17,7 +17,7 @@ from fundledger.operators.counting import ratio_report, value_counts
 from fundledger.operators.filings import daily_changes
 from fundledger.operators.funds import screen
 from fundledger.plans import layers as plans
-from fundledger.session import scratch_path
+from fundledger.session import cut_lineage, scratch_path
 from fundledger.sources import checked, layers, loads, raw, schemas
 from fundledger.sources.layers import ensure_columns
 
@@ -135,12 +135,12 @@ register(
 def _with_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Each company's newest document as its recent filings, the rest as older pages."""
     docs = v.filing_docs(spark, sf)
-    newest = docs.groupBy("cik").agg(F.max("page").alias("_last"))
-    docs = docs.join(newest, "cik")
+    newest = v.paged_filings(spark, sf).groupBy("cik").agg(F.max("page").alias("_last"))
+    # Written once, as the source has them: both readers parse their own documents only.
+    docs = cut_lineage(docs.join(newest, "cik").select("page", "_last", "raw"))
 
     recent = raw.explode_filings(raw.parse_submissions(docs.where("page = _last")))
-    older = docs.where("page < _last")
-    paged = raw.explode_filings(older.select("page", F.from_json("raw", schemas.SUBMISSION).alias("s")), ["page"])
+    paged = raw.explode_filings(raw.parse_submissions(docs.where("page < _last"), ["page"]), ["page"])
     return raw.union_filing_pages(recent, paged)
 
 

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from fundledger.catalog import storage, views
 from fundledger.plans.layers import dim_security
 from fundledger.session import scratch_path
 from fundledger.sources import checked, layers, raw
@@ -272,3 +273,55 @@ def test_facts_without_a_schema(spark):
         ("0000000008", "s", "d", None, "pure", 2.0, None, None, None),
     }
     assert rows.count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_submission_is_parsed_once(spark):
+    """Filters on parsed fields must not parse the document again for every field they name."""
+    docs = documents(spark, {"cik": "1", "name": "A", "filings": {"recent": {"form": ["4"]}}}, "none").select(F.lit(1).alias("page"), "raw")
+    good = raw.flatten_submissions(raw.submission_faults(raw.parse_submissions(docs)).where("fault IS NULL"))
+    filed = raw.explode_filings(raw.parse_submissions(docs, ["page"]), ["page"])
+    for df in (good, filed, raw.submission_faults(raw.parse_submissions(docs)).where("fault IS NOT NULL")):
+        assert _plan(df).count("from_json(") == 1 and df.count() == 1
+    assert filed.select("page", "cik", "form").first() == (1, "0000000001", "4")
+
+
+def _tables(spark, path):
+    spark.range(1, 40).selectExpr("id AS c_custkey", "'C' || id AS c_name", "'BUILDING' AS c_mktsegment").write.parquet(f"{path}/customer.parquet")
+    spark.range(3000).selectExpr("id AS o_orderkey", "if(id = 7, NULL, id % 3) AS o_custkey", "timestamp'1998-01-01' AS o_orderdate").write.parquet(f"{path}/orders.parquet")
+    spark.range(9000).selectExpr("id div 3 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1.5D AS l_extendedprice", "timestamp'1998-01-01' AS l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_documents_are_spread_and_grouped_in_place(spark, tmp_path):
+    _tables(spark, str(tmp_path))
+    assert "REBALANCE_PARTITIONS" in _plan(views.company_docs(spark, str(tmp_path)))
+    docs = views.fact_docs(spark, str(tmp_path))
+    # One shuffle brings a document's rows together; those below it are the join's.
+    above = _plan(docs).split("Join")[0]
+    assert above.count("Exchange") == 1
+    # Orders without a company make documents of their own, as any company does.
+    assert docs.count() == 3 * 3 + 1
+    rows = raw.explode_facts(docs)
+    assert rows.count() == 9000 and rows.where("cik IS NULL").count() == 3
+
+
+def test_newest_documents_and_older_pages_are_written_once(spark, tmp_path):
+    _tables(spark, str(tmp_path))
+    pages = storage._with_pages(spark, str(tmp_path))
+    assert "collect_list" not in _plan(pages) and _plan(pages).count("from_json(") == 2
+    assert pages.count() == 2999 and pages.select("accessionNumber").distinct().count() == 2999
+
+
+def test_index_files_grow_with_lines_not_with_keys(spark):
+    """Two days, one of them with most lines, over a wide range of keys."""
+    rows = spark.range(2000).selectExpr("if(id % 10 = 0, '2024-01-01', '2024-01-02') AS day", "id * 7 + 10 AS line")
+    rows = rows.unionByName(spark.createDataFrame([(None, 10), (None, 10**9)], "day string, line long"))
+    placed, files = storage.day_files(rows, 100)
+    assert placed.count() == 2002
+    spans = placed.groupBy("day", "file").agg(F.count("*").alias("n"), F.min("line").alias("first"), F.max("line").alias("last")).orderBy("day", "file").collect()
+    assert max(r["n"] for r in spans) <= 100 and len(spans) <= 2 * 2002 / 100 + 3
+    assert all(a["last"] < b["first"] for a, b in zip(spans, spans[1:]) if a["day"] == b["day"])
+    assert {(r["day"], r["file"]) for r in files.collect()} == {(r["day"], r["file"]) for r in spans}
