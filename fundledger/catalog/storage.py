@@ -57,17 +57,30 @@ register("ticker_map_files", _map_files, "tickers", "SELECT ticker, lpad(CAST(ci
 INDEX_PAGE = 100_000
 
 
+def day_files(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with the file of their day, the files): a day's lines in order, at most ``size`` in a file.
+
+    Lines are counted in runs of half a file's keys, and runs fill a day's files one after the other: files grow in
+    number with the lines of a day, however wide its keys. One row a file is broadcast.
+    """
+    half = size // 2
+    run = F.floor(F.col("line") / half)
+    before = Window.partitionBy("day").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy("day", run.alias("run")).agg(F.count("*").alias("n")).withColumn(
+        "file", F.lpad(F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / half).cast("string"), 9, "0")
+    )
+    files = runs.groupBy("day", "file").agg(F.min("run").alias("first"), F.max("run").alias("last"))
+    at = F.broadcast(files.withColumnRenamed("day", "_day"))
+    placed = rows.join(at, rows["day"].eqNullSafe(at["_day"]) & run.between(F.col("first"), F.col("last")))
+    return placed.drop("_day", "first", "last"), files.select("day", "file")
+
+
 def _index_files(spark: SparkSession, sf: str) -> DataFrame:
     """Index files of a day, each with its header and at most INDEX_PAGE orders, read back as text."""
     path = scratch_path(spark, "index")
-    rows = index_lines(spark, sf).where("line >= 10").select(
-        F.col("path").alias("day"),
-        F.lpad(F.floor((F.col("line") - 10) / INDEX_PAGE).cast("string"), 9, "0").alias("file"),
-        "line",
-        "value",
-    )
+    rows, files = day_files(index_lines(spark, sf).where("line >= 10").select(F.col("path").alias("day"), "line", "value"), INDEX_PAGE)
     head = F.array(F.lit("Description: daily index"), F.lit("CIK|Company Name|Form Type|Date Filed|Filename"), F.lit("---|---|---"))
-    heads = rows.select("day", "file").distinct().select("day", "file", F.posexplode(head).alias("line", "value"))
+    heads = files.select("day", "file", F.posexplode(head).alias("line", "value"))
     lines = heads.withColumn("line", F.col("line").cast("long")).unionByName(rows)
     ordered = lines.repartition("day", "file").sortWithinPartitions("day", "file", "line")
     ordered.select("day", "file", "value").write.partitionBy("day", "file").text(path)
