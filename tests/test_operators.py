@@ -426,3 +426,11 @@ def test_overlap_above_equals_brute_force(spark, least):
         assert overlap.candidate_pairs(overlap.rare_parts(df, least)[1]).count() < sharing / 5
     with pytest.raises(ValueError):
         overlap.overlap_above(df, 0)
+
+
+def test_tickers_are_spelled_once_each(spark):
+    df = spark.createDataFrame([("AB",), ("A.B",), ("A B",), (None,)], "constituent_ticker string")
+    got = {}
+    for r in enrichment.spelled_tickers(df).orderBy("_place").collect():
+        got.setdefault(r["constituent_ticker"], []).append(r["ticker"])
+    assert got == {"AB": ["AB"], "A.B": ["A.B", "A-B", "AB"], "A B": ["A B", "A-B", "AB", "A.B"], None: [None]}
