@@ -27,7 +27,9 @@ def postings(table: DataFrame, key: str, columns: list[str]) -> DataFrame:
     Write it once, with :func:`write_postings`, and search often.
     """
     runs = F.array_distinct(F.flatten(F.array(*[grams(F.col(c), n) for c in columns for n in (2, 3)])))
-    return table.where(F.col(key).isNotNull()).select(F.explode(runs).alias("gram"), F.col(key).alias("key"))
+    # A row becomes some fifty, and the table may be one file that one task reads: rows are dealt out first.
+    rows = table.where(F.col(key).isNotNull()).select(key, *[c for c in columns if c != key]).hint("rebalance")
+    return rows.select(F.explode(runs).alias("gram"), F.col(key).alias("key"))
 
 
 def write_postings(index: DataFrame, path: str) -> DataFrame:
@@ -55,7 +57,11 @@ def search(terms: DataFrame, table: DataFrame, key: str, columns: list[str], ind
     rarest = Window.partitionBy("term").orderBy(F.coalesce("n", F.lit(0)), "gram")
     chosen = looked.withColumn("nth", F.row_number().over(rarest)).where(F.col("nth") <= LOOKED_UP)
     wanted = chosen.groupBy("term").agg(F.count(F.lit(1)).alias("wanted"))
-    met = chosen.select("term", "gram").join(index, "gram").groupBy("term", "key").agg(F.count(F.lit(1)).alias("held"))
+    # A task of the join hardly ever meets a pair twice, so pairs move first and are counted where they meet. Their
+    # tasks are all that the session shuffles into: pairs pack so well that adaptive merging would fill a task's memory.
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = chosen.select("term", "gram").join(index, "gram").repartition(tasks, "key")
+    met = pairs.groupBy("term", "key").agg(F.count(F.lit(1)).alias("held"))
     few = met.join(wanted, "term").where("held = wanted").select("term", "key")
     rows = table.select(F.col(key).alias("key"), *[F.lower(F.col(c)).alias(f"_c{i}") for i, c in enumerate(columns)])
     hit = F.lit(False)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundledger.catalog import storage, views
+from fundledger.operators import searching
 from fundledger.plans.layers import dim_security
 from fundledger.session import scratch_path
 from fundledger.sources import checked, layers, raw
@@ -325,3 +326,14 @@ def test_index_files_grow_with_lines_not_with_keys(spark):
     assert max(r["n"] for r in spans) <= 100 and len(spans) <= 2 * 2002 / 100 + 3
     assert all(a["last"] < b["first"] for a, b in zip(spans, spans[1:]) if a["day"] == b["day"])
     assert {(r["day"], r["file"]) for r in files.collect()} == {(r["day"], r["file"]) for r in spans}
+
+
+def test_search_counts_pairs_where_they_meet(spark):
+    table = spark.createDataFrame([("P1", "blue steel"), ("P2", "steel"), ("P3", None)], "t string, name string")
+    terms = spark.createDataFrame([("steel",), ("blue s",), ("p3",), ("none",)], "term string")
+    index = searching.postings(table, "t", ["t", "name"])
+    assert "REBALANCE_PARTITIONS" in _plan(index)
+    found = searching.search(terms, table, "t", ["t", "name"], index)
+    # Partial counts of pairs, which hardly meet in a task, are not kept below the shuffle.
+    assert "REPARTITION_BY_NUM" in _plan(found)
+    assert sorted(map(tuple, found.collect())) == [("blue s", "P1"), ("p3", "P3"), ("steel", "P1"), ("steel", "P2")]
