@@ -1,11 +1,12 @@
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from fundledger.catalog import storage, views
+from fundledger.catalog import all_queries, storage, views
 from fundledger.operators import searching
+from fundledger.operators.securities import securities
 from fundledger.plans.layers import dim_security
 from fundledger.session import scratch_path
 from fundledger.sources import checked, layers, raw
@@ -337,3 +338,19 @@ def test_search_counts_pairs_where_they_meet(spark):
     # Partial counts of pairs, which hardly meet in a task, are not kept below the shuffle.
     assert "REPARTITION_BY_NUM" in _plan(found)
     assert sorted(map(tuple, found.collect())) == [("blue s", "P1"), ("p3", "P3"), ("steel", "P1"), ("steel", "P2")]
+
+
+def test_master_moves_keys_before_names(spark, tmp_path):
+    lines = "l_partkey long, l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_quantity double"
+    at = datetime(2020, 5, 1)
+    spark.createDataFrame([(k, k % 5, at, 1.0, 1.0) for k in range(1, 200)] + [(7, 1, at, 1.0, 1.0), (7, 2, at, 2.0, 1.0), (8, None, None, 1.0, 1.0), (None, 1, at, 1.0, 1.0)], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, f"name {k}", "TYPE") for k in range(1, 190)], "p_partkey long, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    rows = views.dirty_identities(spark, str(tmp_path))
+    plan = _plan(rows)
+    # Keys move into all shuffle tasks, then become text: no adaptive merging, nothing summed.
+    moved = plan.index("REPARTITION_BY_NUM")
+    assert "HashAggregate" not in plan and "lpad" not in plan[moved:].split("FileScan")[0] and "lpad" in plan[:moved]
+    same = views.dirty_holdings(spark, str(tmp_path)).select(*rows.columns)
+    assert rows.count() > same.count() and set(map(tuple, rows.collect())) == set(map(tuple, same.collect()))
+    master = all_queries()["security_master"](spark, str(tmp_path))
+    assert master.count() > 150 and sorted(map(str, master.collect())) == sorted(map(str, securities(same).collect()))
